@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.clock import bucket_start, stream_order
+from ..functions.clock import bucket_start, stream_order, to_stored
 from ..functions.health import half_even
 from ..schemas import GOLD_COLUMNS, READING_GOLD
 
@@ -105,7 +105,7 @@ def hourly_metrics(
 def gold_hourly(silver: DataFrame, aggregated_at: Column) -> DataFrame:
     return (
         hourly_metrics(dedupe_events(silver))
-        .withColumn("aggregated_at", aggregated_at.cast("timestamp_ntz"))
+        .withColumn("aggregated_at", to_stored(aggregated_at))
         .select(GOLD_COLUMNS)
     )
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -32,12 +34,22 @@ def build_session(app_name: str = "vitals", master: str | None = None, **conf: s
     return builder.getOrCreate()
 
 
+@cache
+def _scratch_checkpoints() -> str:
+    return tempfile.mkdtemp(prefix="vitals-checkpoint-")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared checkpoint folder named by the cluster; a scratch one only where it names none."""
+    """Shared checkpoint folder named by the cluster; a scratch one only in local mode without any."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder all executors share")
-        root = tempfile.mkdtemp(prefix="vitals-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder all executors share")
+    return _scratch_checkpoints()
+
+
+def checkpoint_for(spark: SparkSession, stream: str, target: str) -> str:
+    """Checkpoint of one stream into one target; the same stream into another target has its own."""
+    digest = hashlib.sha256(target.encode()).hexdigest()[:16]
+    return f"{checkpoint_root(spark)}/{stream}-{digest}"
