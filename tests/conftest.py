@@ -8,7 +8,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from vitals.session import build_session  # noqa: E402
 
-TESTDATA = os.environ.get("VITALS_TESTDATA", "/root/testdata")
+SF_DIR = os.environ.get("VITALS_SF_DIR", "/root/testdata/sf0.01")
 
 
 @pytest.fixture(scope="session")
@@ -30,6 +30,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-@pytest.fixture
+@pytest.fixture(scope="session")
 def sf_dir():
-    return f"{TESTDATA}/sf0.01"
+    return SF_DIR

@@ -14,7 +14,7 @@ _DAY_MICROS = 86_400_000_000
 
 # The usual form; Spark's own cast reads it.
 _USUAL_ISO = (
-    r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d+)?([+-](0\d|1[0-7]):[0-5]\d)?\z"
+    r"^(?!0000)\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(?:\.\d+)?(?:Z|[+-](?:0\d|1[0-7]):[0-5]\d)?\z"
 )
 
 _DATE = r"(\d{4}-\d{2}-\d{2}|\d{8}|\d{4}-W\d{2}-\d|\d{4}-W\d{2}|\d{4}W\d{3}|\d{4}W\d{2})"
@@ -22,7 +22,7 @@ _HOUR, _SIXTY = r"(?:[01]\d|2[0-3])", r"[0-5]\d"
 _TIME = rf"({_HOUR}(?::{_SIXTY}(?::{_SIXTY})?)?|{_HOUR}{_SIXTY}(?:{_SIXTY})?)(?:[.,](\d+))?"
 _OFFSET = r"([+-])(\d{2}(?::\d{2}(?::\d{2})?)?|\d{4}(?:\d{2})?)(?:[.,](\d+))?"
 # Groups: 1 date, 2 clock, 3 fraction, 4 offset sign, 5 offset clock, 6 offset fraction.
-_ANY_ISO = rf"(?s)^{_DATE}(?:.{_TIME}(?:{_OFFSET})?)?\z"
+_ANY_ISO = rf"(?s)^(?!0000){_DATE}(?:.{_TIME}(?:{_OFFSET})?)?\z"
 
 
 def _clock_micros(clock: Column, fraction: Column) -> Column:
@@ -62,20 +62,13 @@ def with_iso_instant(df: DataFrame, text: str, out: str) -> DataFrame:
     that is interpreted, on the few rows that need it, and so does not swell the code generated for
     all the others beyond what is compiled to machine code.
     """
-    iso = F.col("_iso")
-    has_offset = F.substring(iso, -6, 1).isin("+", "-")
-    usual = F.concat(iso, F.when(has_offset, "").otherwise("Z")).try_cast("timestamp")
+    usual = F.col(text).rlike(_USUAL_ISO)
+    iso = F.replace(F.col(text), F.lit("Z"), F.lit("+00:00"))
     parts = F.split(F.regexp_replace(iso, _ANY_ISO, "$1|$2|$3|$4|$5|$6"), r"\|")
     other = F.transform(F.array(parts), _instant_of_parts)[0]
-    return (
-        df.withColumn("_iso", F.replace(F.col(text), F.lit("Z"), F.lit("+00:00")))
-        .withColumn(
-            out,
-            F.when(iso.startswith("0000"), None)
-            .when(iso.rlike(_USUAL_ISO), usual)
-            .when(iso.rlike(_ANY_ISO), other),
-        )
-        .drop("_iso")
+    return df.withColumn(
+        out,
+        F.when(usual, F.col(text).try_cast("timestamp")).when(iso.rlike(_ANY_ISO), other),
     )
 
 

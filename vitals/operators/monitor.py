@@ -1,8 +1,8 @@
 """Per-minute metrics of the processing itself, and alarms on them.
 
-A *measured* frame has one row per received record: ``minute`` (when it was processed),
-``arrival_minute``, ``is_valid``, ``is_abnormal_hr``, ``latency_ms`` (null if rejected), ``lag_ms``
-and the stream sequence number.
+A *timed* frame has one row per received record: ``minute`` (when it was processed),
+``arrival_minute`` and ``lag_ms``; no payload is read for it. A *measured* frame adds the outcome:
+``is_valid``, ``is_abnormal_hr``, ``latency_ms`` (null if rejected) and the stream sequence number.
 """
 
 from __future__ import annotations
@@ -25,18 +25,28 @@ def _minute(ts: Column) -> Column:
     return F.date_trunc("minute", ts).cast("timestamp_ntz")
 
 
+def _timing(processed_at: Column) -> list[Column]:
+    lag = F.floor((F.unix_micros(processed_at) - F.unix_micros("arrival_ts")) / 1000)
+    return [
+        _minute(processed_at).alias("minute"),
+        _minute(F.col("arrival_ts")).alias("arrival_minute"),
+        lag.alias("lag_ms"),
+    ]
+
+
+def timed(records: DataFrame, processed_at: Column) -> DataFrame:
+    return records.select(*_timing(processed_at))
+
+
 def measured(
     classified: DataFrame, processed_at: Column, limits: Thresholds = DEFAULT_THRESHOLDS
 ) -> DataFrame:
     valid = is_valid()
-    lag = F.floor((F.unix_micros(processed_at) - F.unix_micros("arrival_ts")) / 1000)
     return classified.select(
-        _minute(processed_at).alias("minute"),
-        _minute(F.col("arrival_ts")).alias("arrival_minute"),
+        *_timing(processed_at),
         valid.alias("is_valid"),
         (valid & is_abnormal(F.col("heart_rate"), limits)).alias("is_abnormal_hr"),
         F.when(valid, latency_ms(processed_at, F.col("event_time"))).alias("latency_ms"),
-        lag.alias("lag_ms"),
         "sequence_number",
     )
 
@@ -116,7 +126,7 @@ def minute_spine(records: DataFrame) -> DataFrame:
     return minutes.where(F.col("minute").between(F.col("first"), F.col("last"))).select("minute")
 
 
-def _states(records: DataFrame, breaches: DataFrame, periods: int) -> DataFrame:
+def _states(spine: DataFrame, breaches: DataFrame, periods: int) -> DataFrame:
     """State of each minute: ALARM when it and the ``periods - 1`` minutes before it all breach.
 
     A breaching minute votes for itself and its successors. Counting votes needs no ordered pass
@@ -134,9 +144,7 @@ def _states(records: DataFrame, breaches: DataFrame, periods: int) -> DataFrame:
     )
     counted = votes.groupBy("minute").agg(F.count("*").alias("breaches"))
     return (
-        minute_spine(records)
-        .join(counted, "minute", "left")
-        .select(
+        spine.join(counted, "minute", "left").select(
             "minute",
             F.coalesce("breaches", F.lit(0)).alias("breaches"),
             F.when(F.col("breaches") >= periods, ALARM).otherwise(OK).alias("state"),
@@ -144,10 +152,16 @@ def _states(records: DataFrame, breaches: DataFrame, periods: int) -> DataFrame:
     )
 
 
-def alarm_abnormal_hr(records: DataFrame, threshold: int = 1) -> DataFrame:
-    """ALARM in each minute with at least ``threshold`` abnormal heart rates."""
+def alarm_abnormal_hr(
+    records: DataFrame, spine: DataFrame | None = None, threshold: int = 1
+) -> DataFrame:
+    """ALARM in each minute with at least ``threshold`` abnormal heart rates.
+
+    ``spine`` lists the minutes to evaluate. Taken from a timed frame, it costs no second parsing.
+    """
+    spine = minute_spine(records) if spine is None else spine
     abnormal = records.where("is_abnormal_hr").groupBy("minute").agg(F.count("*").alias("n"))
-    return _states(records, abnormal.where(F.col("n") >= threshold).select("minute"), periods=1)
+    return _states(spine, abnormal.where(F.col("n") >= threshold).select("minute"), periods=1)
 
 
 def alarm_lagging(
@@ -155,7 +169,8 @@ def alarm_lagging(
 ) -> DataFrame:
     """ALARM when the worst lag exceeded the threshold in that many consecutive minutes."""
     worst = records.groupBy("minute").agg(F.max("lag_ms").alias("lag_ms"))
-    return _states(records, worst.where(F.col("lag_ms") > threshold_ms).select("minute"), periods)
+    breaches = worst.where(F.col("lag_ms") > threshold_ms).select("minute")
+    return _states(minute_spine(records), breaches, periods)
 
 
 def alarm_transitions(states: DataFrame) -> DataFrame:

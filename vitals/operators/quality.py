@@ -59,7 +59,7 @@ def to_envelope(records: DataFrame) -> DataFrame:
 
 def with_arrival(bronze: DataFrame) -> DataFrame:
     """Bronze rows with the arrival instant as a TIMESTAMP ``arrival_ts``."""
-    return bronze.withColumn("arrival_ts", F.col("arrival_time").cast("timestamp"))
+    return bronze.withColumn("arrival_ts", F.col("arrival_time").try_cast("timestamp"))
 
 
 def _reason(ok: Column, message: Column | str) -> Column:

@@ -62,6 +62,14 @@ def _measured(spark: SparkSession, sf: str) -> DataFrame:
     return monitor.measured(_classified(spark, sf), derived.processed_at())
 
 
+def _timed(spark: SparkSession, sf: str) -> DataFrame:
+    return monitor.timed(derived.raw_events(spark, sf), derived.processed_at())
+
+
+def _abnormal_states(spark: SparkSession, sf: str) -> DataFrame:
+    return monitor.alarm_abnormal_hr(_measured(spark, sf), monitor.minute_spine(_timed(spark, sf)))
+
+
 # --- reading messages -----------------------------------------------------------------------------
 
 
@@ -314,24 +322,23 @@ def latency_percentiles(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def throughput_per_minute(spark: SparkSession, sf: str) -> DataFrame:
-    return monitor.throughput_per_minute(_measured(spark, sf))
+    return monitor.throughput_per_minute(_timed(spark, sf))
 
 
 def alarm_abnormal_hr(spark: SparkSession, sf: str) -> DataFrame:
-    return monitor.alarm_abnormal_hr(_measured(spark, sf)).select("minute", "state")
+    return _abnormal_states(spark, sf).select("minute", "state")
 
 
 def alarm_lagging(spark: SparkSession, sf: str) -> DataFrame:
-    return monitor.alarm_lagging(_measured(spark, sf))
+    return monitor.alarm_lagging(_timed(spark, sf))
 
 
 def alarm_transitions(spark: SparkSession, sf: str) -> DataFrame:
-    records = _measured(spark, sf)
     changes = [
         monitor.alarm_transitions(states).withColumn("alarm", F.lit(name))
         for name, states in (
-            ("abnormal_heart_rate", monitor.alarm_abnormal_hr(records)),
-            ("lagging", monitor.alarm_lagging(records)),
+            ("abnormal_heart_rate", _abnormal_states(spark, sf)),
+            ("lagging", monitor.alarm_lagging(_timed(spark, sf))),
         )
     ]
     return changes[0].unionByName(changes[1])

@@ -14,6 +14,10 @@ RUNTIME_CONF = {
     # A repeated JSON key is legal input; the last value wins.
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.adaptive.enabled": "true",
+    # Streaming state on disk, so it may outgrow executor memory.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 

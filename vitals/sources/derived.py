@@ -16,6 +16,18 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/events.parquet")
 
 
+def _spread(events: DataFrame) -> DataFrame:
+    """Share rows among all cores where the scan has fewer splits than that, as with one small file.
+
+    Parsing documents is worth a shuffle of a little data. A scan with enough splits, as any large
+    table has, is left as it is.
+    """
+    cores = events.sparkSession.sparkContext.defaultParallelism
+    if events.rdd.getNumPartitions() >= cores:
+        return events
+    return events.repartition(cores, "event_id")
+
+
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Six-field readings."""
     return _events(spark, sf_dir).select(
@@ -30,7 +42,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reading_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The readings as JSON messages. Error events are garbled, incomplete or mistyped."""
-    return _events(spark, sf_dir).select(
+    return _spread(_events(spark, sf_dir)).select(
         F.expr(
             """CASE WHEN event_type = 'error' AND event_id % 4 = 0 THEN concat('{"device_id":', event_id, ' oops')
             ELSE concat('{"device_id":"', format_string('device_%03d', user_id),
@@ -51,7 +63,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     Error events are corrupted in one of five ways, every 50th event is delivered twice, every
     7th arrives three hours late.
     """
-    base = _events(spark, sf_dir).select(
+    base = _spread(_events(spark, sf_dir)).select(
         "event_id",
         F.col("ts").cast("timestamp").alias("ts"),
         F.expr("event_type = 'error'").alias("bad"),
@@ -101,7 +113,7 @@ def transport_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def timestamp_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event times in every notation: ISO with Z, zone-less, with offset, epoch s and ms, and none."""
-    return _events(spark, sf_dir).select(
+    return _spread(_events(spark, sf_dir)).select(
         "event_id",
         F.expr(
             """concat('{"timestamp":', CASE event_id % 7
