@@ -13,7 +13,7 @@ KEYS = sorted(queries())
 
 def normalized(value):
     if isinstance(value, float):
-        return "NaN" if math.isnan(value) else repr(round(value, 9))
+        return "NaN" if math.isnan(value) else repr(value)
     return str(value)
 
 

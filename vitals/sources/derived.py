@@ -16,14 +16,18 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/events.parquet")
 
 
+_SMALL_SPLITS = 32  # splits are 128 MB at most, so this bounds what is moved
+
+
 def _spread(events: DataFrame) -> DataFrame:
-    """Share rows among all cores where the scan has fewer splits than that, as with one small file.
+    """Share a small table among all cores, where its scan would keep most of them idle.
 
-    Parsing documents is worth a shuffle of a little data. A scan with enough splits, as any large
-    table has, is left as it is.
+    Parsing documents is worth a shuffle of little data. The scan of a large table has splits enough
+    and is left as it is.
     """
     cores = events.sparkSession.sparkContext.defaultParallelism
-    if events.rdd.getNumPartitions() >= cores:
+    splits = events.rdd.getNumPartitions()
+    if splits > _SMALL_SPLITS or splits * 4 > cores:
         return events
     return events.repartition(cores, "event_id")
 

@@ -51,7 +51,8 @@ def text_messages(spark: SparkSession, path: str, **options: str) -> DataFrame:
 
 
 def _json_stream(spark: SparkSession, path: str, schema: StructType, options: Mapping) -> DataFrame:
-    return configure(spark).readStream.schema(schema).options(**options).json(path)
+    rows = configure(spark).readStream.schema(schema).options(**options).json(path)
+    return rows.select(schema.fieldNames())
 
 
 def transport_records(spark: SparkSession, path: str, **options: str) -> DataFrame:
@@ -63,7 +64,8 @@ def bronze_stream(spark: SparkSession, path: str, **options: str) -> DataFrame:
 
 
 def silver_stream(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    return configure(spark).readStream.schema(SILVER).options(**options).parquet(path)
+    rows = configure(spark).readStream.schema(SILVER).options(**options).parquet(path)
+    return rows.select(SILVER.fieldNames())
 
 
 def start(
