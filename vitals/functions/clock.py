@@ -10,7 +10,6 @@ from .documents import double_of, is_number_type, text_of
 EPOCH_MILLIS_ABOVE = 1e11
 _MIN_EPOCH_SECOND = -62135596800  # 0001-01-01
 _MAX_EPOCH_SECOND = 253402300799  # 9999-12-31
-_DAY_MICROS = 86_400_000_000
 
 # The usual form; Spark's own cast reads it.
 _USUAL_ISO = (
@@ -25,14 +24,6 @@ _OFFSET = r"([+-])(\d{2}(?::\d{2}(?::\d{2})?)?|\d{4}(?:\d{2})?)(?:[.,](\d+))?"
 _ANY_ISO = rf"(?s)^(?!0000){_DATE}(?:.{_TIME}(?:{_OFFSET})?)?\z"
 
 
-def _clock_micros(clock: Column, fraction: Column) -> Column:
-    """'14', '1430', '14:30:05' and a fraction to microseconds."""
-    digits = F.rpad(F.translate(clock, ":", ""), 6, "0")
-    hours, minutes, seconds = (F.substring(digits, i, 2).cast("bigint") for i in (1, 3, 5))
-    micros = F.rpad(F.substring(fraction, 1, 6), 6, "0").cast("bigint")
-    return ((hours * 60 + minutes) * 60 + seconds) * 1_000_000 + micros
-
-
 def _week_date(digits: Column) -> Column:
     """Date of year, week and weekday written as seven digits; null if there is none."""
     year, week, weekday = (
@@ -43,15 +34,23 @@ def _week_date(digits: Column) -> Column:
     return F.when(weekday.between(1, 7) & (F.weekofyear(day) == week), day)
 
 
+def _micros_at(date: Column, clock: Column, fraction: Column) -> Column:
+    """Microseconds since 1970 of a date with a clock such as '14', '1430' or '14:30:05'."""
+    digits = F.rpad(F.translate(clock, ":", ""), 6, "0")
+    in_full = F.regexp_replace(digits, "(..)(..)(..)", "T$1:$2:$3.")
+    return F.unix_micros(
+        F.concat(date, in_full, F.rpad(fraction, 6, "0"), F.lit("Z")).try_cast("timestamp")
+    )
+
+
 def _instant_of_parts(parts: Column) -> Column:
     date, clock, fraction, sign, offset, offset_fraction = (parts[i] for i in range(6))
-    by_week = _week_date(F.rpad(F.translate(date, "-W", ""), 7, "1"))
-    by_month = F.regexp_replace(date, r"(\d{4})-?(\d\d)-?(\d\d)", "$1-$2-$3").try_cast("date")
-    day = F.unix_date(F.when(date.contains("W"), by_week).otherwise(by_month))
-    shift = _clock_micros(offset, offset_fraction)
-    in_utc = _clock_micros(clock, fraction) + F.when(sign == "-", shift).otherwise(-shift)
-    return F.when(
-        shift < _DAY_MICROS, F.timestamp_micros(day.cast("bigint") * _DAY_MICROS + in_utc)
+    day = F.when(
+        date.contains("W"), _week_date(F.rpad(F.translate(date, "-W", ""), 7, "1")).cast("string")
+    ).otherwise(F.regexp_replace(date, r"(\d{4})-?(\d\d)-?(\d\d)", "$1-$2-$3"))
+    shift = _micros_at(F.lit("1970-01-01"), offset, offset_fraction)
+    return F.timestamp_micros(
+        _micros_at(day, clock, fraction) + F.when(sign == "-", shift).otherwise(-shift)
     )
 
 
@@ -72,9 +71,8 @@ def with_iso_instant(df: DataFrame, text: str, out: str) -> DataFrame:
     )
 
 
-def parse_epoch(number: Column) -> Column:
-    """Epoch seconds, or milliseconds when too large to be seconds; rounded half-even to a microsecond."""
-    seconds = F.when(number > EPOCH_MILLIS_ABOVE, number / 1000).otherwise(number)
+def from_seconds(seconds: Column) -> Column:
+    """Epoch seconds to TIMESTAMP, rounded half-even to a microsecond; null outside years 1 to 9999."""
     whole = F.floor(seconds)
     micros = whole.cast("bigint") * 1_000_000 + F.rint((seconds - whole) * 1_000_000).cast("bigint")
     return F.when(
@@ -82,6 +80,11 @@ def parse_epoch(number: Column) -> Column:
     )
 
 
+def parse_epoch(number: Column) -> Column:
+    """Epoch seconds, or milliseconds when too large to be seconds."""
+    return from_seconds(F.when(number > EPOCH_MILLIS_ABOVE, number / 1000).otherwise(number))
+
+
 def with_instant(df: DataFrame, value: Column, type_name: Column, out: str) -> DataFrame:
     """Add ``out``: a VARIANT holding ISO text or an epoch number as TIMESTAMP; null for anything else."""
     kept = df.withColumns(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.clock import hour_partition, to_stored, utc_text
+from ..functions.clock import hour_partition, stream_order, to_stored, utc_text
 from ..functions.health import (
     DEFAULT_THRESHOLDS,
     LOW_BATTERY,
@@ -68,7 +68,9 @@ def abnormal_event_log(silver: DataFrame) -> DataFrame:
     )
     return (
         silver.where("is_abnormal_hr")
-        .orderBy(F.desc("event_time"), "event_id")
+        .orderBy(
+            F.desc("event_time"), "event_id", *stream_order(F.col("kinesis_sequence_number"))
+        )
         .select("event_time", "device_id", "heart_rate", F.col("heart_rate_zone").alias("zone"),
                 line.alias("line"))
     )

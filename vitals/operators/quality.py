@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.clock import hour_partition, parse_epoch, utc_text, with_instant
+from ..functions.clock import from_seconds, hour_partition, utc_text, with_instant
 from ..functions.documents import (
     bigint_of,
     decode_transport,
@@ -46,7 +46,7 @@ FUTURE_SKEW = "INTERVAL 5 MINUTES"
 
 def to_envelope(records: DataFrame) -> DataFrame:
     """Transport records to bronze rows; ``arrival_time`` is text, partitions follow the arrival."""
-    arrival = records.withColumn("_arrival", parse_epoch(F.col("approximateArrivalTimestamp")))
+    arrival = records.withColumn("_arrival", from_seconds(F.col("approximateArrivalTimestamp")))
     return arrival.select(
         decode_transport(F.col("data")).alias("payload"),
         F.col("partitionKey").alias("partition_key"),

@@ -352,7 +352,7 @@ FROM ({_LAST_168_HOURS}) h LEFT JOIN gold ON gold.dt = h.dt AND gold.hour = h.ho
     "device_filter": _with(_LOCAL_GOLD, "SELECT * FROM dashboard WHERE device_id = 'device_007'"),
     "kpis": _with(
         _LOCAL_GOLD,
-        "SELECT round(avg(avg_bpm), 1) AS avg_bpm, max(max_bpm) AS max_bpm, min(min_bpm) AS min_bpm,"
+        "SELECT round_even(avg(avg_bpm), 1) AS avg_bpm, max(max_bpm) AS max_bpm, min(min_bpm) AS min_bpm,"
         " (SELECT CAST(sum(total_steps) AS BIGINT) FROM device_day) AS total_steps FROM dashboard",
     ),
     "bpm_history": _with(

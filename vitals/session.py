@@ -21,6 +21,14 @@ RUNTIME_CONF = {
 }
 
 
+# Settings of sessions built here, on top of the above.
+BUILD_CONF = {
+    "spark.ui.enabled": "false",
+    # Recording the call site of every column expression takes longer than building the plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else created."""
     for key, value in RUNTIME_CONF.items():
@@ -30,10 +38,10 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def build_session(app_name: str = "vitals", master: str | None = None, **conf: str) -> SparkSession:
-    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **conf}.items():
+    for key, value in {**RUNTIME_CONF, **BUILD_CONF, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
