@@ -107,7 +107,7 @@ def data_quality(bronze: DataFrame, quarantine: DataFrame, as_of: str) -> DataFr
 def needs_attention(silver: DataFrame, as_of: str) -> DataFrame:
     """Devices whose latest event of the day shows a low battery or low blood oxygen."""
     length, digits = stream_order(F.col("kinesis_sequence_number"))
-    latest_first = Window.partitionBy("device_id").orderBy(
+    latest_first = Window.partitionBy(F.xxhash64("device_id"), "device_id").orderBy(
         F.desc("event_time"), length.desc(), digits.desc()
     )
     latest = (
