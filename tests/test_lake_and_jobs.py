@@ -21,7 +21,8 @@ def data_files(path):
 def test_batch_is_routed_to_three_tables(spark, tmp_path):
     lake = Lake(str(tmp_path))
     payloads = [event(), event(event_id="2", heart_rate=35), event(event_id="3", heart_rate=999), "\x00not-json{"]
-    result = jobs.route_batch(records(spark, payloads), lake, "b1", datetime(2026, 9, 27, 14, 30, 2, tzinfo=timezone.utc))
+    processed = datetime(2026, 9, 27, 14, 30, 2, tzinfo=timezone.utc)
+    result = jobs.route_batch(records(spark, payloads), lake, "b1", processed)
     assert result == {"valid": 2, "invalid": 2, "abnormal": 1}
     bronze = tables.read_bronze(spark, lake).orderBy("sequence_number").collect()
     assert len(bronze) == 4
@@ -102,6 +103,22 @@ def test_partition_filters_prune(spark, tmp_path):
     assert "struct<device_id:string,battery:int>" in narrow._jdf.queryExecution().executedPlan().toString()
 
 
+def test_hours_are_read_without_listing_the_others(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    jobs.route_batch(records(spark, [late(h, h) for h in (3, 4, 5, 13)], NOW), lake, "1", NOW)
+    hours = [("2026-09-27", "03"), ("2026-09-27", "05"), ("2026-09-27", "05"), ("2026-09-01", "00")]
+    some = tables.read_hours(spark, lake.silver, SILVER, hours)
+    assert some.schema == SILVER
+    assert sorted(r.hour for r in some.collect()) == ["03", "05"]
+    assert {Path(f).parts[-3] for f in some.inputFiles()} == {"hour=03", "hour=05"}
+    assert tables.read_hours(spark, lake.silver, SILVER, []).count() == 0
+    touched = spark.createDataFrame(hours, "dt STRING, hour STRING")
+    few = tables.read_touched(spark, lake.silver, SILVER, touched)
+    many = tables.read_touched(spark, lake.silver, SILVER, touched, limit=1)
+    assert sorted(tuple(r) for r in few.collect()) == sorted(tuple(r) for r in many.collect())
+    assert "LeftSemi" in many._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_missing_columns_and_missing_tables(spark, tmp_path):
     lake = Lake(str(tmp_path))
     assert tables.read_silver(spark, lake).count() == 0

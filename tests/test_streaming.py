@@ -75,7 +75,8 @@ def test_alert_streams(spark, tmp_path):
     alerts = spark.readStream.schema("key STRING, value STRING").json(str(tmp_path / "alerts"))
     sent = alerting.render_notifications(alerts.select(F.col("value").alias("json")), str(tmp_path / "mail"))
     finish(sent)
-    mail = [json.loads(line) for f in Path(tmp_path / "mail").glob("part-*") for line in f.read_text().splitlines()]
+    files = Path(tmp_path / "mail").glob("part-*")
+    mail = [json.loads(line) for f in files for line in f.read_text().splitlines()]
     assert [m["subject"] for m in mail] == ["[vitals] ALERTE BPM critique — device device_001"]
 
 

@@ -42,16 +42,10 @@ def in_hours(hours: Sequence[Hour]) -> Column:
     return predicate
 
 
-def only_hours(table: DataFrame, hours: DataFrame, literal_limit: int = MAX_HOURS_BACK) -> DataFrame:
-    """Rows in the given (dt, hour) partitions.
-
-    Few hours become a literal filter, which prunes partitions while planning. Beyond the limit,
-    late data having touched very many, the frame of hours is joined instead of being collected.
-    """
-    found = hours.limit(literal_limit + 1).collect()
-    if len(found) <= literal_limit:
-        return table.where(in_hours([(row.dt, row.hour) for row in found]))
-    return table.join(hours, ["dt", "hour"], "left_semi")
+def few_hours(hours: DataFrame, limit: int = MAX_HOURS_BACK) -> list[Hour] | None:
+    """The distinct (dt, hour) rows as a list, or None when there are more than ``limit``."""
+    found = hours.distinct().limit(limit + 1).collect()
+    return [(row.dt, row.hour) for row in found] if len(found) <= limit else None
 
 
 def silver_hour(silver: DataFrame, dt: str, hour: str) -> DataFrame:

@@ -33,10 +33,6 @@ BAD_HEART_RATE = "heart_rate must be an integer in [20, 250]"
 BAD_STEPS = "steps must be an integer in [0, 10000]"
 BAD_SPO2 = "spo2 must be a number in [50, 100]"
 BAD_BATTERY = "battery must be an integer in [0, 100]"
-REASONS = [
-    NOT_JSON, NOT_OBJECT, BAD_EVENT_ID, BAD_DEVICE_ID, BAD_TIMESTAMP, TIMESTAMP_RANGE,
-    BAD_HEART_RATE, BAD_STEPS, BAD_SPO2, BAD_BATTERY,
-]
 
 # Device names, earliest event, tolerated clock skew. One final newline is tolerated.
 DEVICE_ID = r"^[A-Za-z0-9_.:-]{1,64}\n?\z"

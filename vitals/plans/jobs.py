@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.clock import to_stored
 from ..functions.health import DEFAULT_THRESHOLDS, Thresholds
 from ..operators import analysis, enrich, gold, lineage, quality, readings
+from ..schemas import GOLD, SILVER
 from ..sources import lake as tables
 from ..sources.lake import Lake
 
@@ -93,11 +94,12 @@ def refresh_gold(
     """Rebuild the requested gold hours in one job, and report devices and events per hour."""
     now = now or datetime.now(timezone.utc)
     hours: Sequence[lineage.Hour] = lineage.hours_to_process(now, hours_back, dt, hour)
-    wanted = lineage.in_hours(hours)
-    rebuild_gold(tables.read_silver(spark, lake).where(wanted), lake, now)
+    rebuild_gold(tables.read_hours(spark, lake.silver, SILVER, hours), lake, now)
     # An hour without silver rows writes nothing, so older gold of that hour is not this run's.
-    written = F.col("aggregated_at") == to_stored(instant(now))
-    report = lineage.run_report(tables.read_gold(spark, lake).where(written), hours)
+    written = tables.read_hours(spark, lake.gold, GOLD, hours).where(
+        F.col("aggregated_at") == to_stored(instant(now))
+    )
+    report = lineage.run_report(written, hours)
     return [row.asDict() for row in report.orderBy(F.desc("dt"), F.desc("hour")).collect()]
 
 

@@ -29,21 +29,39 @@ BUILD_CONF = {
 }
 
 
+_INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else created."""
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    _size_shuffles(spark)
     return spark
 
 
+def _size_shuffles(spark: SparkSession) -> None:
+    """Start shuffles on a cluster with enough partitions for all its cores.
+
+    Adaptive execution merges partitions that turn out small, but does not split an aggregation's
+    that turn out large. A number set by the user is left alone.
+    """
+    context = spark.sparkContext
+    if context.master.startswith("local") or spark.conf.get(_INITIAL_PARTITIONS, None):
+        return
+    enough = 3 * context.defaultParallelism
+    if enough > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set(_INITIAL_PARTITIONS, str(enough))
+
+
 def build_session(app_name: str = "vitals", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     for key, value in {**RUNTIME_CONF, **BUILD_CONF, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return configure(builder.getOrCreate())
 
 
 @cache

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.lineage import MAX_HOURS_BACK, Hour, few_hours, in_hours
 from ..operators.serving import with_calendar
 from ..schemas import ANSWER, BRONZE, GOLD, PARTITIONS, QUARANTINE, READING, READING_GOLD, SILVER
 from ..session import configure
@@ -77,6 +79,39 @@ def read_table(
     return reader.load(path).select(schema.fieldNames())
 
 
+def read_hours(
+    spark: SparkSession, path: str, schema: StructType, hours: Sequence[Hour]
+) -> DataFrame:
+    """Some hour partitions of a Parquet table, listing no other folder of it.
+
+    A table written by a file stream is read through the log of its root instead, which tells
+    committed files from those of failed attempts.
+    """
+    if path_exists(spark, f"{path}/_spark_metadata"):
+        return read_table(spark, path, schema).where(in_hours(hours))
+    folders = [f"{path}/dt={dt}/hour={hour}" for dt, hour in dict.fromkeys(hours)]
+    folders = [folder for folder in folders if path_exists(spark, folder)]
+    if not folders:
+        return configure(spark).createDataFrame([], schema)
+    reader = configure(spark).read.schema(schema).option("basePath", path)
+    return reader.parquet(*folders).select(schema.fieldNames())
+
+
+def read_touched(
+    spark: SparkSession, path: str, schema: StructType, touched: DataFrame, limit: int = MAX_HOURS_BACK
+) -> DataFrame:
+    """The partitions named by a frame of (dt, hour).
+
+    Few are read directly. Beyond the limit, late data having touched very many, the frame is joined
+    instead of being collected.
+    """
+    hours = few_hours(touched, limit)
+    if hours is not None:
+        return read_hours(spark, path, schema, hours)
+    table = read_table(spark, path, schema)
+    return table.join(touched.distinct(), PARTITIONS, "left_semi").select(schema.fieldNames())
+
+
 def read_bronze(spark: SparkSession, lake: Lake) -> DataFrame:
     return read_table(spark, lake.bronze, BRONZE, "json")
 

@@ -17,7 +17,6 @@ from ..schemas import BRONZE, SILVER, TRANSPORT
 from ..session import checkpoint_for, configure
 
 UNTIL_CAUGHT_UP = {"availableNow": True}
-EVERY_FIVE_SECONDS = {"processingTime": "5 seconds"}
 
 
 def kafka_messages(

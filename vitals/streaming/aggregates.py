@@ -11,12 +11,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.clock import hour_partition, to_stored
 from ..functions.health import DEFAULT_THRESHOLDS, Thresholds, is_abnormal
-from ..operators import gold, lineage
+from ..operators import gold
 from ..operators.enrich import latency_ms
 from ..operators.quality import is_valid
 from ..plans.jobs import rebuild_gold
-from ..schemas import GOLD_COLUMNS, PARTITIONS
-from ..sources.lake import Lake, read_silver
+from ..schemas import GOLD_COLUMNS, PARTITIONS, SILVER
+from ..sources.lake import Lake, read_touched
 from ..sources.streams import UNTIL_CAUGHT_UP, start_batches
 
 LATENESS = "1 hour"
@@ -31,9 +31,8 @@ def refresh_touched_hours(
     """Rebuild the gold hours each micro-batch of silver adds to, however late its events are."""
 
     def rebuild(batch: DataFrame, batch_id: int) -> None:
-        touched = batch.select(*PARTITIONS).distinct()
-        hours = lineage.only_hours(read_silver(batch.sparkSession, lake), touched)
-        rebuild_gold(hours, lake, aggregated_at or datetime.now(timezone.utc))
+        touched = read_touched(batch.sparkSession, lake.silver, SILVER, batch.select(*PARTITIONS))
+        rebuild_gold(touched, lake, aggregated_at or datetime.now(timezone.utc))
 
     return start_batches(silver, "gold-refresh", rebuild, lake.root, trigger)
 
