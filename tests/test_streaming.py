@@ -157,7 +157,8 @@ def test_windowed_gold_equals_batch_gold_without_late_rows(spark, tmp_path):
         arrive(inbox, f"{i}.json", batch, FIRST_SEQUENCE + 100 * i, NOW + timedelta(hours=i))
         finish(ingest.events_to_bronze(streams.transport_records(spark, inbox), lake))
         finish(ingest.bronze_to_silver(streams.bronze_stream(spark, lake.bronze), lake, processed_now()))
-    hourly = aggregates.windowed_gold(streams.silver_stream(spark, lake.silver, maxFilesPerTrigger="1"), processed_now())
+    silver = streams.silver_stream(spark, lake.silver, maxFilesPerTrigger="1")
+    hourly = aggregates.windowed_gold(silver, processed_now())
     finish(streams.start(hourly, "gold-windows", "parquet", str(tmp_path / "gold"), ("dt", "hour")))
     streamed = tables.read_table(spark, str(tmp_path / "gold"), tables.GOLD)
     # The watermark stands at 12:30: hours 10 and 11 are final, 12 and 13 are still open.

@@ -27,6 +27,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--output", help="folder to write alerts or notifications to")
     parser.add_argument("--output-topic", help="topic to publish alerts to")
     parser.add_argument("--every", help="trigger interval; without one the job ends when caught up")
+    parser.add_argument("--max-files", help="files per micro-batch, to work through a backlog in steps")
     parser.add_argument("--hours-back", type=int, default=2)
     parser.add_argument("--dt")
     parser.add_argument("--hour")
@@ -44,10 +45,14 @@ def _trigger(args: argparse.Namespace) -> dict:
     return {"processingTime": args.every} if args.every else streams.UNTIL_CAUGHT_UP
 
 
+def _pace(args: argparse.Namespace) -> dict:
+    return {"maxFilesPerTrigger": args.max_files} if args.max_files else {}
+
+
 def _messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.servers:
         return streams.kafka_messages(spark, args.servers, args.topic, args.starting, args.group)
-    return streams.text_messages(spark, args.input)
+    return streams.text_messages(spark, args.input, **_pace(args))
 
 
 def _alerts(spark: SparkSession, lake: Lake, args: argparse.Namespace):
@@ -74,19 +79,19 @@ JOBS = {
         _messages(s, a), a.output, trigger=_trigger(a)
     ),
     "events-bronze": lambda s, k, a: ingest.events_to_bronze(
-        streams.transport_records(s, a.input), k, _trigger(a)
+        streams.transport_records(s, a.input, **_pace(a)), k, _trigger(a)
     ),
     "events-silver": lambda s, k, a: ingest.bronze_to_silver(
-        streams.bronze_stream(s, k.bronze), k, limits=a.limits, trigger=_trigger(a)
+        streams.bronze_stream(s, k.bronze, **_pace(a)), k, limits=a.limits, trigger=_trigger(a)
     ),
     "events-quarantine": lambda s, k, a: ingest.bronze_to_quarantine(
-        streams.bronze_stream(s, k.bronze), k, _trigger(a)
+        streams.bronze_stream(s, k.bronze, **_pace(a)), k, _trigger(a)
     ),
     "events-route": lambda s, k, a: ingest.route_events(
-        streams.transport_records(s, a.input), k, limits=a.limits, trigger=_trigger(a)
+        streams.transport_records(s, a.input, **_pace(a)), k, limits=a.limits, trigger=_trigger(a)
     ),
     "gold-stream": lambda s, k, a: aggregates.refresh_touched_hours(
-        streams.silver_stream(s, k.silver), k, trigger=_trigger(a)
+        streams.silver_stream(s, k.silver, **_pace(a)), k, trigger=_trigger(a)
     ),
     "gold-refresh": lambda s, k, a: jobs.refresh_gold(s, k, _now(), a.hours_back, a.dt, a.hour),
     "expire": lambda s, k, a: jobs.expire(s, k, _now(), a.keep_days),

@@ -55,22 +55,30 @@ def to_silver(
 
 
 def abnormal_event_log(silver: DataFrame) -> DataFrame:
-    """One JSON line per abnormal event, newest first."""
+    """One JSON line per abnormal event, newest first.
+
+    A global sort reads its input twice, first to find the ranges. The few abnormal rows are shuffled
+    once beforehand, so that it is they that are read twice and not silver.
+    """
     line = F.to_json(
         F.struct(
             F.lit("WARN").alias("level"),
             F.lit("ABNORMAL_HEART_RATE").alias("type"),
             "device_id",
             "heart_rate",
-            F.col("heart_rate_zone").alias("zone"),
+            "zone",
             utc_text(F.col("event_time").cast("timestamp")).alias("event_time"),
         )
     )
-    return (
-        silver.where("is_abnormal_hr")
-        .orderBy(
-            F.desc("event_time"), "event_id", *stream_order(F.col("kinesis_sequence_number"))
-        )
-        .select("event_time", "device_id", "heart_rate", F.col("heart_rate_zone").alias("zone"),
-                line.alias("line"))
+    abnormal = silver.where("is_abnormal_hr").select(
+        "event_time",
+        "device_id",
+        "heart_rate",
+        F.col("heart_rate_zone").alias("zone"),
+        "event_id",
+        "kinesis_sequence_number",
+    )
+    newest = abnormal.hint("rebalance").orderBy(
+        F.desc("event_time"), "event_id", *stream_order(F.col("kinesis_sequence_number"))
     )
+    return newest.select("event_time", "device_id", "heart_rate", "zone", line.alias("line"))

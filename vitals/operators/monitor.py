@@ -126,9 +126,10 @@ def minute_spine(records: DataFrame) -> DataFrame:
     return minutes.where(F.col("minute").between(F.col("first"), F.col("last"))).select("minute")
 
 
-def _states(spine: DataFrame, breaches: DataFrame, periods: int) -> DataFrame:
+def alarm_states(spine: DataFrame, breaches: DataFrame, periods: int) -> DataFrame:
     """State of each minute: ALARM when it and the ``periods - 1`` minutes before it all breach.
 
+    Both frames have a ``minute`` column, so stored metrics serve as well as records.
     A breaching minute votes for itself and its successors. Counting votes needs no ordered pass
     over all minutes; a minute without data gets too few votes and stays OK.
     """
@@ -161,7 +162,7 @@ def alarm_abnormal_hr(
     """
     spine = minute_spine(records) if spine is None else spine
     abnormal = records.where("is_abnormal_hr").groupBy("minute").agg(F.count("*").alias("n"))
-    return _states(spine, abnormal.where(F.col("n") >= threshold).select("minute"), periods=1)
+    return alarm_states(spine, abnormal.where(F.col("n") >= threshold).select("minute"), periods=1)
 
 
 def alarm_lagging(
@@ -170,7 +171,7 @@ def alarm_lagging(
     """ALARM when the worst lag exceeded the threshold in that many consecutive minutes."""
     worst = records.groupBy("minute").agg(F.max("lag_ms").alias("lag_ms"))
     breaches = worst.where(F.col("lag_ms") > threshold_ms).select("minute")
-    return _states(minute_spine(records), breaches, periods)
+    return alarm_states(minute_spine(records), breaches, periods)
 
 
 def alarm_transitions(states: DataFrame) -> DataFrame:

@@ -16,8 +16,11 @@ from ..sources import lake as tables
 from ..sources.lake import Lake
 
 
+_EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+
+
 def instant(moment: datetime) -> Column:
-    return F.timestamp_micros(F.lit(int(moment.timestamp() * 1_000_000)))
+    return F.timestamp_micros(F.lit((moment - _EPOCH) // timedelta(microseconds=1)).cast("bigint"))
 
 
 def _counted(rows: DataFrame, name: str) -> tuple[DataFrame, Observation]:
