@@ -3,6 +3,7 @@
 import pytest
 
 from __spark_entry__ import entry, queries
+from vitals.session import RUNTIME_CONF
 
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "Python", "MapInPandas", "FlatMapGroups"]
 
@@ -41,3 +42,17 @@ def test_results_do_not_depend_on_the_session_zone(spark, sf_dir):
     other = spark.newSession()
     other.conf.set("spark.sql.session.timeZone", "America/New_York")
     assert {tuple(r) for r in queries()["gold_hourly"](other, sf_dir).collect()} == expected
+
+
+def test_generated_methods_are_small_enough_to_be_compiled(spark, sf_dir, monkeypatch):
+    """The JVM never compiles a method of more than 8000 bytes; it would be interpreted per row."""
+    monkeypatch.setitem(RUNTIME_CONF, "spark.sql.adaptive.enabled", "false")
+    plain = spark.newSession()
+    debug = plain._jvm.org.apache.spark.sql.execution.debug.__getattr__("package")
+    for key in ("validate_events", "gold_hourly", "metrics_per_minute", "parse_readings", "answers"):
+        plan = queries()[key](plain, sf_dir)._jdf.queryExecution().executedPlan()
+        stages = debug.codegenStringSeq(plan).iterator()
+        sizes = []
+        while stages.hasNext():
+            sizes.append(stages.next()._3().maxMethodCodeSize())
+        assert sizes and max(sizes) < 8000, (key, sizes)
