@@ -316,9 +316,9 @@ CHECK_SQL: dict[str, str] = {
     "silver_hour_scan": _with(_SILVER, "SELECT * FROM silver WHERE dt = '2024-01-15' AND hour = '12'"),
     "union_silver_versions": _with(
         _SILVER,
-        "SELECT event_id, kinesis_sequence_number, heart_rate_zone,"
-        " CASE WHEN dt >= '2024-01-15' THEN spo2_status END AS spo2_status,"
-        " CASE WHEN dt >= '2024-01-15' THEN battery_low END AS battery_low FROM silver",
+        "SELECT event_id, kinesis_sequence_number, battery_low, dt,"
+        " CASE WHEN dt >= '2024-01-15' THEN heart_rate_zone END AS heart_rate_zone,"
+        " CASE WHEN dt >= '2024-01-15' THEN spo2_status END AS spo2_status FROM silver",
     ),
     "batch_lineage": _with(
         _CLASSIFIED,

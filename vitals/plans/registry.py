@@ -245,10 +245,10 @@ def silver_hour_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 def union_silver_versions(spark: SparkSession, sf: str) -> DataFrame:
     silver = _silver(spark, sf)
-    older = silver.where(F.col("dt") < VERSION_CHANGE).drop("spo2_status", "battery_low")
+    older = silver.where(F.col("dt") < VERSION_CHANGE).drop("spo2_status", "heart_rate_zone")
     newer = silver.where(F.col("dt") >= VERSION_CHANGE)
     return gold.union_versions(older, newer).select(
-        "event_id", "kinesis_sequence_number", "heart_rate_zone", "spo2_status", "battery_low"
+        "event_id", "kinesis_sequence_number", "heart_rate_zone", "spo2_status", "battery_low", "dt"
     )
 
 
