@@ -443,4 +443,28 @@ FROM (SELECT arrival_minute AS minute, 1 AS arrived, 0 AS done, CAST(NULL AS BIG
         _MEASURED,
         f"{_transition('abnormal_heart_rate', 'abnormal_state')}\nUNION ALL {_transition('lagging', 'lagging_state')}",
     ),
+    "stream_alerts": _with(
+        _MESSAGES, f"SELECT device_id AS key, json AS value FROM parsed WHERE {_COMPLETE} AND bpm < 40"
+    ),
+    # The watermark trails the latest event by an hour; an hour is written once it has passed its end.
+    "stream_gold": _with(
+        _GOLD,
+        "SELECT * FROM gold WHERE CAST(dt || ' ' || hour || ':00:00' AS TIMESTAMP) + INTERVAL '1' HOUR"
+        " <= (SELECT max(event_time) FROM silver) - INTERVAL '1' HOUR",
+    ),
+    "stream_metrics": _with(
+        _MEASURED,
+        """SELECT minute, count(*) FILTER (WHERE is_valid) AS valid_events,
+  count(*) FILTER (WHERE NOT is_valid) AS invalid_events,
+  count(*) FILTER (WHERE is_abnormal_hr) AS abnormal_heart_rate, max(lag_ms) AS max_lag_ms
+FROM measured WHERE minute + INTERVAL '1' MINUTE <= (SELECT max(processed) FROM timed) - INTERVAL '1' MINUTE
+GROUP BY minute""",
+    ),
+    "stream_route": _with(
+        _CLASSIFIED,
+        """SELECT layer, strftime(written, '%Y-%m-%d') AS dt, strftime(written, '%H') AS hour, count(*) AS records
+FROM (SELECT 'bronze' AS layer, arrival_ts AS written FROM classified
+  UNION ALL SELECT 'silver', event_time FROM classified WHERE errors = ''
+  UNION ALL SELECT 'quarantine', arrival_ts FROM classified WHERE errors <> '') GROUP BY ALL""",
+    ),
 }

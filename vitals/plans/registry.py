@@ -3,43 +3,38 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.clock import hour_partition, to_stored
-from ..functions.health import Thresholds, heart_rate_zone, spo2_status
+from ..functions.health import heart_rate_zone, spo2_status
 from ..operators import alerts, analysis, enrich, gold, lineage, monitor, quality, readings, serving
 from ..sources import derived
+from .fixed import (
+    AS_OF,
+    CUSTOM_THRESHOLDS,
+    NOW,
+    ONE_DEVICE,
+    ONE_HOUR,
+    RETENTION_DAYS,
+    VERSION_CHANGE,
+    processed_at,
+)
+from .streamed import stream_alerts, stream_gold, stream_metrics, stream_route
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Nothing reads the clock: the report day and the processing time are parameters.
-AS_OF = "2024-01-30"
-PROCESSED_AT = "2024-02-01 00:00:00"
-NOW = datetime(2024, 1, 30, 23, 10, tzinfo=timezone.utc)
-ONE_HOUR = ("2024-01-15", "12")
-ONE_DEVICE = "device_007"
-RETENTION_DAYS = 10
-VERSION_CHANGE = "2024-01-15"
-CUSTOM_THRESHOLDS = Thresholds(low=50, high=150)
-
-
-def _processed_at() -> Column:
-    return F.lit(PROCESSED_AT).cast("timestamp")
-
-
 def _classified(spark: SparkSession, sf: str) -> DataFrame:
     return quality.classify(derived.raw_events(spark, sf))
 
 
 def _silver(spark: SparkSession, sf: str) -> DataFrame:
-    return enrich.to_silver(_classified(spark, sf), _processed_at())
+    return enrich.to_silver(_classified(spark, sf), processed_at())
 
 
 def _gold(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.gold_hourly(_silver(spark, sf), _processed_at())
+    return gold.gold_hourly(_silver(spark, sf), processed_at())
 
 
 def _bronze(spark: SparkSession, sf: str) -> DataFrame:
@@ -400,4 +395,8 @@ QUERIES: dict[str, Query] = {
     "alarm_abnormal_hr": alarm_abnormal_hr,
     "alarm_lagging": alarm_lagging,
     "alarm_transitions": alarm_transitions,
+    "stream_alerts": stream_alerts,
+    "stream_gold": stream_gold,
+    "stream_metrics": stream_metrics,
+    "stream_route": stream_route,
 }

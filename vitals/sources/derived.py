@@ -10,10 +10,19 @@ from pyspark.sql import functions as F
 
 from ..functions.clock import hour_partition, utc_text
 from ..session import configure
+from .lake import is_folder
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/events.parquet")
+def _events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
+    path = f"{sf_dir}/events.parquet"
+    table = configure(spark).read.parquet(path)
+    if not stream:
+        return table
+    reader = spark.readStream.schema(table.schema)
+    if is_folder(spark, path):
+        return reader.parquet(path)
+    # A stream follows a folder; of this one, only the table's file.
+    return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
 _SMALL_SPLITS = 32  # splits are 128 MB at most, so this bounds what is moved
@@ -25,6 +34,8 @@ def _spread(events: DataFrame) -> DataFrame:
     Parsing documents is worth a shuffle of little data. The scan of a large table has splits enough
     and is left as it is.
     """
+    if events.isStreaming:
+        return events
     cores = events.sparkSession.sparkContext.defaultParallelism
     splits = events.rdd.getNumPartitions()
     if splits > _SMALL_SPLITS or splits * 4 > cores:
@@ -44,9 +55,9 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def reading_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def reading_messages(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     """The readings as JSON messages. Error events are garbled, incomplete or mistyped."""
-    return _spread(_events(spark, sf_dir)).select(
+    return _spread(_events(spark, sf_dir, stream)).select(
         F.expr(
             """CASE WHEN event_type = 'error' AND event_id % 4 = 0 THEN concat('{"device_id":', event_id, ' oops')
             ELSE concat('{"device_id":"', format_string('device_%03d', user_id),
@@ -61,13 +72,13 @@ def reading_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     """Seven-field events in their stream envelope.
 
     Error events are corrupted in one of five ways, every 50th event is delivered twice, every
     7th arrives three hours late.
     """
-    base = _spread(_events(spark, sf_dir)).select(
+    base = _spread(_events(spark, sf_dir, stream)).select(
         "event_id",
         F.col("ts").cast("timestamp").alias("ts"),
         F.expr("event_type = 'error'").alias("bad"),
@@ -104,9 +115,9 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def transport_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def transport_records(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     """The events as the stream transport hands them over: base64 data, arrival as epoch seconds."""
-    return raw_events(spark, sf_dir).select(
+    return raw_events(spark, sf_dir, stream).select(
         F.concat_ws(":", "shard_id", "sequence_number").alias("eventID"),
         F.base64(F.col("payload").cast("binary")).alias("data"),
         F.col("sequence_number").alias("sequenceNumber"),

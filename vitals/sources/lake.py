@@ -61,9 +61,19 @@ class Lake:
         return self.path("readings/answers")
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _hadoop(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, hadoop_path = _hadoop(spark, path)
+    return files.exists(hadoop_path)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    files, hadoop_path = _hadoop(spark, path)
+    return files.getFileStatus(hadoop_path).isDirectory()
 
 
 def read_table(
@@ -191,8 +201,7 @@ def expire_partitions(spark: SparkSession, path: str, cutoff: str) -> list[str]:
     """Delete the day folders before ``cutoff`` ('yyyy-MM-dd'); no data is read or rewritten."""
     if not path_exists(spark, path):
         return []
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    files, root = _hadoop(spark, path)
     days = {
         status.getPath().getName().removeprefix("dt="): status.getPath()
         for status in files.listStatus(root)
