@@ -1,5 +1,6 @@
 import os
 import sys
+import uuid
 from pathlib import Path
 
 import pytest
@@ -21,7 +22,6 @@ def spark(tmp_path_factory):
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "4g",
             "spark.sql.warehouse.dir": str(scratch / "warehouse"),
-            "spark.checkpoint.dir": str(scratch / "checkpoints"),
             "spark.driver.extraJavaOptions": f"-Dderby.system.home={scratch}",
         },
     )
@@ -30,6 +30,14 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture
+def tmp_path(tmp_path):
+    """A folder never used before, as stream checkpoints are kept by target."""
+    folder = tmp_path / uuid.uuid4().hex
+    folder.mkdir()
+    return folder
+
+
 @pytest.fixture(scope="session")
 def sf_dir():
     return SF_DIR

@@ -169,13 +169,19 @@ def register_views(spark: SparkSession, lake: Lake) -> list[str]:
     return list(_VIEWS)
 
 
-def overwrite_hours(rows: DataFrame, path: str, file_format: str = "parquet") -> None:
-    """Replace exactly the hour partitions present in ``rows``; all others stay as they are.
+def by_hour(rows: DataFrame) -> DataFrame:
+    """Bring each hour's rows together before writing, splitting an hour too large for one file.
 
-    The rebalance hint brings an hour's rows together, and splits an hour too large for one file.
+    Otherwise every task would write a file for every hour it has rows of. Adaptive execution does
+    the splitting, in batches and in streams without state.
     """
+    return rows.hint("rebalance", *PARTITIONS)
+
+
+def overwrite_hours(rows: DataFrame, path: str, file_format: str = "parquet") -> None:
+    """Replace exactly the hour partitions present in ``rows``; all others stay as they are."""
     (
-        rows.hint("rebalance", *PARTITIONS)
+        by_hour(rows)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTITIONS)
@@ -187,8 +193,7 @@ def overwrite_hours(rows: DataFrame, path: str, file_format: str = "parquet") ->
 def write_batch(rows: DataFrame, path: str, batch: str, file_format: str) -> None:
     """Add one batch to its hour partitions; writing the same batch again replaces what it wrote."""
     (
-        rows.withColumn(BATCH, F.lit(batch))
-        .hint("rebalance", *PARTITIONS)
+        by_hour(rows.withColumn(BATCH, F.lit(batch)))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTITIONS, BATCH)

@@ -17,7 +17,7 @@ from ..functions.health import DEFAULT_THRESHOLDS, Thresholds
 from ..operators import enrich, quality, readings
 from ..plans.jobs import route_batch
 from ..schemas import PARTITIONS
-from ..sources.lake import Lake
+from ..sources.lake import Lake, by_hour
 from ..sources.streams import UNTIL_CAUGHT_UP, start, start_batches
 
 
@@ -33,7 +33,7 @@ def events_to_bronze(
     records: DataFrame, lake: Lake, trigger: Mapping = UNTIL_CAUGHT_UP
 ) -> StreamingQuery:
     envelope = quality.to_envelope(records)
-    return start(envelope, "events-bronze", "json", lake.bronze, PARTITIONS, trigger)
+    return start(by_hour(envelope), "events-bronze", "json", lake.bronze, PARTITIONS, trigger)
 
 
 def _classified(bronze: DataFrame) -> DataFrame:
@@ -50,7 +50,7 @@ def bronze_to_silver(
     """Valid events, enriched, to Parquet partitioned by event hour."""
     processed = F.current_timestamp() if processed_at is None else processed_at
     silver = enrich.to_silver(_classified(bronze.drop(*PARTITIONS)), processed, limits)
-    return start(silver, "events-silver", "parquet", lake.silver, PARTITIONS, trigger)
+    return start(by_hour(silver), "events-silver", "parquet", lake.silver, PARTITIONS, trigger)
 
 
 def bronze_to_quarantine(
@@ -58,7 +58,7 @@ def bronze_to_quarantine(
 ) -> StreamingQuery:
     """Rejected envelopes with their reasons, partitioned by arrival hour like bronze."""
     rejected = quality.rejected(_classified(bronze))
-    return start(rejected, "events-quarantine", "json", lake.quarantine, PARTITIONS, trigger)
+    return start(by_hour(rejected), "events-quarantine", "json", lake.quarantine, PARTITIONS, trigger)
 
 
 def route_events(
