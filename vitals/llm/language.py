@@ -5,7 +5,7 @@ per language, and under a uniform model for text that is in none of them), the l
 declares, its address suffix, and its host. How far a declaration or a suffix can be trusted is counted
 over the whole table; hosts have priors smoothed towards their parent domain, parents towards the whole
 table, all by grouped aggregation. A document is rejected when no language has ``min_confidence``, when
-the fused evidence speaks for no language, or when its text has fewer than three bytes other than space.
+the fused evidence speaks for no language, or when its text has nothing but white space.
 
 The trigram models are fitted on a bounded sample of rows that declare a language: about
 ``rows_per_language`` for each, chosen by a hash of the key. Everything else covers all rows.
@@ -110,11 +110,11 @@ def fit_trigrams(
 
 
 def text_evidence(documents: DataFrame, text: str, logs: np.ndarray, carried: Sequence[str]) -> DataFrame:
-    """The carried columns, whether a text has letters, and its log-likelihood per class."""
+    """The carried columns, the bytes of the text other than space, and its log-likelihood per class."""
     classes = logs.shape[1]
     slim = documents.select(F.coalesce(F.col(text), F.lit("")).alias("text"), *carried)
     passed = slim.schema.fields[1:]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in passed) + ", n_trigrams bigint, logs array<double>"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in passed) + ", n_filled bigint, logs array<double>"
     shared = documents.sparkSession.sparkContext.broadcast(logs)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,7 +128,7 @@ def text_evidence(documents: DataFrame, text: str, logs: np.ndarray, carried: Se
                 if len(data) > 2:
                     sums = _per_text(table[_trigram_bins(data)], offsets)
                 filled = np.concatenate([[0], np.cumsum(_FOLD[data] != 32)])
-                counts = np.maximum(np.diff(filled[offsets]) - 2, 0)
+                counts = np.diff(filled[offsets])
                 yield pa.RecordBatch.from_arrays(
                     [
                         *part.columns[1:],
@@ -137,7 +137,7 @@ def text_evidence(documents: DataFrame, text: str, logs: np.ndarray, carried: Se
                             pa.array(np.arange(n + 1) * classes, pa.int32()), pa.array(sums.ravel(), pa.float64())
                         ),
                     ],
-                    names=[*(f.name for f in passed), "n_trigrams", "logs"],
+                    names=[*(f.name for f in passed), "n_filled", "logs"],
                 )
 
     return slim.mapInArrow(work, schema)
@@ -183,7 +183,12 @@ def identify(
     logs = fit_trigrams(whole, "id", "text", "declared", list(languages), rules.rows_per_language)
     seen = stored(
         text_evidence(whole, "text", logs, ["id", "declared", "host", "parent", "suffix"])
-        .withColumn("likely", F.element_at(F.array(*map(F.lit, names)), F.array_position("logs", F.array_max("logs")).cast("int")))
+        .withColumn(
+            "likely",
+            F.when(F.col("n_filled") < 3, UNKNOWN).otherwise(
+                F.element_at(F.array(*map(F.lit, names)), F.array_position("logs", F.array_max("logs")).cast("int"))
+            ),
+        )
         .withColumn("declared", F.coalesce("declared", F.lit(""))),
         "language-evidence",
     )
@@ -236,9 +241,9 @@ def identify(
         F.col("id").alias(key),
         F.element_at(F.array(*map(F.lit, names)), F.array_position("evidence", F.col("best")).cast("int")).alias("fused"),
         (1 / F.aggregate("evidence", F.lit(0.0), lambda s, x: s + F.exp(x - F.col("best")))).alias("share"),
-        F.when(F.col("n_trigrams") > 0, F.col("likely")).otherwise(UNKNOWN).alias("text_language"),
+        F.col("likely").alias("text_language"),
         F.nullif("declared", F.lit("")).alias("declared"),
-        (F.col("n_trigrams") > 0).alias("lettered"),
+        (F.col("n_filled") > 0).alias("lettered"),
     ).withColumn(
         "rejected",
         ~F.col("lettered") | (F.col("fused") == UNKNOWN) | (F.col("share") < rules.min_confidence),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language, quality_lines
+from . import exact_dedup, language, quality_lines, simhash
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,10 +25,15 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.classes(_documents(spark, sf_dir))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_documents(spark, sf_dir))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op6_quality_lines": op6_quality_lines,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_simhash": op8_simhash,
 }
 
 LLM_SQL: dict[str, str] = {
