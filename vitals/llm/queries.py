@@ -5,8 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, language, quality_lines, simhash
+from . import exact_dedup, language, mixing, quality_lines, secret_ledger, simhash, url_filter
+from .common import new_path
+
+#: Words in the names of hosts whose pages are listed, and the contract's rules.
+LISTED_HOSTS = "adult-x|ads-track|casino-win|cheap-pills|free-bets|spam-farm"
+URL_RULES = (
+    url_filter.Rule("org", "/", "allow"),
+    url_filter.Rule("example.org", "/es/", "block"),
+    url_filter.Rule("example.org", "/en/1", "block"),
+    url_filter.Rule("com", "/fr/", "allow"),
+    url_filter.Rule("com", "/de/", "block"),
+)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +29,16 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_documents(spark, sf_dir))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_documents(spark, sf_dir))
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    listed = pages.filter(url_filter.host_of(F.col("url")).rlike(rf"(^|\.)({LISTED_HOSTS})\."))
+    return url_filter.judge(pages, listed, URL_RULES)
+
+
 def op6_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_lines.clean(_documents(spark, sf_dir), with_text=False)
 
@@ -29,11 +51,19 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir))
 
 
+def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_ledger.scan(_documents(spark, sf_dir), new_path(spark, "secret-ledger"))
+    return secret_ledger.digest_spans(found)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_mixing": op2_mixing,
+    "op3_url_filter": op3_url_filter,
     "op6_quality_lines": op6_quality_lines,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_simhash": op8_simhash,
+    "op10_secret_ledger": op10_secret_ledger,
 }
 
 LLM_SQL: dict[str, str] = {
