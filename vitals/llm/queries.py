@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language, mixing, quality_lines, secret_ledger, simhash, url_filter
+from . import bpe, exact_dedup, language, mixing, quality_lines, secret_ledger, simhash, url_filter
 from .common import new_path
 
 #: Words in the names of hosts whose pages are listed, and the contract's rules.
@@ -51,6 +51,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir))
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_digests(_documents(spark, sf_dir))
+
+
 def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_ledger.scan(_documents(spark, sf_dir), new_path(spark, "secret-ledger"))
     return secret_ledger.digest_spans(found)
@@ -63,6 +67,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_lines": op6_quality_lines,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_simhash": op8_simhash,
+    "op9_bpe": op9_bpe,
     "op10_secret_ledger": op10_secret_ledger,
 }
 
