@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language, mixing, quality_lines, repeats, secret_ledger, simhash, url_filter
+from . import bpe, exact_dedup, language, lm_scoring, mixing, quality_lines, repeats, secret_ledger, simhash, url_filter
 from .common import new_path
 
 #: Words in the names of hosts whose pages are listed, and the contract's rules.
@@ -39,6 +39,10 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, listed, URL_RULES)
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(_documents(spark, sf_dir))
+
+
 def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(_documents(spark, sf_dir), with_text=False)
 
@@ -68,6 +72,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_mixing": op2_mixing,
     "op3_url_filter": op3_url_filter,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_repeats": op5_repeats,
     "op6_quality_lines": op6_quality_lines,
     "op7_exact_dedup": op7_exact_dedup,
