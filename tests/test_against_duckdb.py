@@ -5,10 +5,11 @@ import math
 import duckdb
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from vitals.plans.check_sql import CHECK_SQL
+from vitals.plans.registry import QUERIES
 
 TABLES = ["events"]
-KEYS = sorted(queries())
+KEYS = sorted(QUERIES)
 
 
 def normalized(value):
@@ -32,7 +33,7 @@ def duck(sf_dir):
 
 
 def test_every_query_has_check_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(CHECK_SQL)
 
 
 DUCK_TYPES = {
@@ -43,8 +44,8 @@ DUCK_TYPES = {
 
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches(spark, duck, sf_dir, key):
-    frame = queries()[key](spark, sf_dir)
-    relation = duck.sql(oracle_sql()[key])
+    frame = QUERIES[key](spark, sf_dir)
+    relation = duck.sql(CHECK_SQL[key])
     types = {name: str(kind) for name, kind in zip(relation.columns, relation.types)}
     assert {n: DUCK_TYPES[t] for n, t in frame.dtypes} == types
     expected = as_rows(relation.columns, relation.fetchall())

@@ -2,7 +2,8 @@
 
 import pytest
 
-from __spark_entry__ import entry, queries
+from __spark_entry__ import entry
+from vitals.plans.registry import QUERIES
 from vitals.session import RUNTIME_CONF
 
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "Python", "MapInPandas", "FlatMapGroups"]
@@ -12,9 +13,9 @@ def plan_of(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", sorted(queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_plan(spark, sf_dir, key):
-    plan = plan_of(queries()[key](spark, sf_dir))
+    plan = plan_of(QUERIES[key](spark, sf_dir))
     assert [word for word in FORBIDDEN if word in plan] == []
     lines = plan.splitlines()
     for above, below in zip(lines, lines[1:]):
@@ -24,10 +25,10 @@ def test_plan(spark, sf_dir, key):
 
 
 def test_scans_read_only_needed_columns(spark, sf_dir):
-    plan = plan_of(queries()["bpm_by_hour_of_day"](spark, sf_dir))
+    plan = plan_of(QUERIES["bpm_by_hour_of_day"](spark, sf_dir))
     schema = plan[plan.index("ReadSchema"):].splitlines()[0]
     assert "event_type" not in schema
-    timing = plan_of(queries()["throughput_per_minute"](spark, sf_dir))
+    timing = plan_of(QUERIES["throughput_per_minute"](spark, sf_dir))
     assert "parseJson" not in timing and "props" not in timing
 
 
@@ -38,10 +39,10 @@ def test_entry_is_the_flagship(spark):
 
 
 def test_results_do_not_depend_on_the_session_zone(spark, sf_dir):
-    expected = {tuple(r) for r in queries()["gold_hourly"](spark, sf_dir).collect()}
+    expected = {tuple(r) for r in QUERIES["gold_hourly"](spark, sf_dir).collect()}
     other = spark.newSession()
     other.conf.set("spark.sql.session.timeZone", "America/New_York")
-    assert {tuple(r) for r in queries()["gold_hourly"](other, sf_dir).collect()} == expected
+    assert {tuple(r) for r in QUERIES["gold_hourly"](other, sf_dir).collect()} == expected
 
 
 def test_generated_methods_are_small_enough_to_be_compiled(spark, sf_dir, monkeypatch):
@@ -50,7 +51,7 @@ def test_generated_methods_are_small_enough_to_be_compiled(spark, sf_dir, monkey
     plain = spark.newSession()
     debug = plain._jvm.org.apache.spark.sql.execution.debug.__getattr__("package")
     for key in ("validate_events", "gold_hourly", "metrics_per_minute", "parse_readings", "answers"):
-        plan = queries()[key](plain, sf_dir)._jdf.queryExecution().executedPlan()
+        plan = QUERIES[key](plain, sf_dir)._jdf.queryExecution().executedPlan()
         stages = debug.codegenStringSeq(plan).iterator()
         sizes = []
         while stages.hasNext():
