@@ -20,7 +20,7 @@ def test_readings_from_files_to_answers(spark, tmp_path):
     assert tables.load_answers(spark, Lake(str(tmp_path / "lake")).answers).count() == 4
     main(["alerts", *lake, "--input", str(tmp_path / "in"), "--output", str(tmp_path / "alerts")], spark)
     lines = [line for f in (tmp_path / "alerts").glob("part-*") for line in f.read_text().splitlines()]
-    assert [json.loads(line) for line in lines] == [{"key": "device_001", "value": GOOD}]
+    assert [json.loads(line) for line in lines] == [{"key": "chest-strap", "value": GOOD}]
 
 
 def test_events_from_files_to_gold(spark, tmp_path, capsys):
@@ -31,11 +31,19 @@ def test_events_from_files_to_gold(spark, tmp_path, capsys):
     main(["events-bronze", *lake, "--input", str(tmp_path / "in")], spark)
     main(["events-silver", *lake, "--hr-low", "80", "--max-files", "1"], spark)
     main(["events-quarantine", *lake], spark)
-    assert main(["gold-refresh", *lake, "--dt", "2026-09-27", "--hour", "14"], spark) == [
-        {"dt": "2026-09-27", "hour": "14", "devices": 1, "events": 1}
+    assert main(["gold-refresh", *lake, "--dt", "2031-05-06", "--hour", "14"], spark) == [
+        {"dt": "2031-05-06", "hour": "14", "devices": 1, "events": 1}
     ]
-    main(["sql", *lake, "--sql", "SELECT device_id, abnormal_hr_count FROM gold_device_hourly"], spark)
-    assert "watch-0001" in capsys.readouterr().out
+    main(["sql", *lake, "--sql", "SELECT device_id, abnormal_hr_count FROM gold_device_hourly", "--rows", "5"], spark)
+    assert "band-7" in capsys.readouterr().out
+
+
+def test_sql_returns_all_rows_or_as_many_as_asked_for(spark, tmp_path):
+    lake = ["--lake", str(tmp_path / "lake")]
+    with pytest.raises(ValueError, match="rows"):
+        main(["sql", *lake, "--sql", "SELECT 1"], spark)
+    main(["sql", *lake, "--sql", "SELECT * FROM range(50)", "--output", str(tmp_path / "out")], spark)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 50
 
 
 def test_unknown_job_and_bad_threshold(spark, tmp_path):

@@ -2,16 +2,16 @@ import json
 from datetime import datetime, timedelta, timezone
 from pathlib import Path
 
-from events import event, records
+from events import LATER, event, records
 from test_readings import GOOD, MONDAY
 
 from vitals.operators import lineage, quality
 from vitals.plans import jobs
-from vitals.schemas import GOLD, SILVER
+from vitals.schemas import GOLD, METRICS, SILVER
 from vitals.sources import lake as tables
 from vitals.sources.lake import Lake
 
-NOW = datetime(2026, 9, 27, 14, 50, tzinfo=timezone.utc)
+NOW = datetime(2031, 5, 6, 14, 50, tzinfo=timezone.utc)
 
 
 def data_files(path):
@@ -20,14 +20,14 @@ def data_files(path):
 
 def test_batch_is_routed_to_three_tables(spark, tmp_path):
     lake = Lake(str(tmp_path))
-    payloads = [event(), event(event_id="2", heart_rate=35), event(event_id="3", heart_rate=999), "\x00not-json{"]
-    processed = datetime(2026, 9, 27, 14, 30, 2, tzinfo=timezone.utc)
+    payloads = [event(), event(event_id="2", heart_rate=35), event(event_id="3", heart_rate=999), "<binary \x01"]
+    processed = datetime(2031, 5, 6, 14, 30, 2, tzinfo=timezone.utc)
     result = jobs.route_batch(records(spark, payloads), lake, "b1", processed)
     assert result == {"valid": 2, "invalid": 2, "abnormal": 1}
     bronze = tables.read_bronze(spark, lake).orderBy("sequence_number").collect()
     assert len(bronze) == 4
-    assert bronze[3].payload == "\x00not-json{"
-    assert {(r.dt, r.hour) for r in bronze} == {("2026-09-27", "14")}
+    assert bronze[3].payload == "<binary \x01"
+    assert {(r.dt, r.hour) for r in bronze} == {("2031-05-06", "14")}
     rejected = tables.read_quarantine(spark, lake).orderBy("sequence_number").collect()
     assert [r.errors for r in rejected] == [[quality.BAD_HEART_RATE], [quality.NOT_JSON]]
     silver = tables.read_silver(spark, lake)
@@ -39,7 +39,7 @@ def test_batch_is_routed_to_three_tables(spark, tmp_path):
 
 def test_retried_batch_replaces_itself(spark, tmp_path):
     lake = Lake(str(tmp_path))
-    first, second = records(spark, [event(), "junk"]), records(spark, [event(event_id="x")], first=10**55)
+    first, second = records(spark, [event(), "junk"]), records(spark, [event(event_id="x")], first=LATER)
     for batch, name in ((first, "1"), (second, "2"), (first, "1")):
         jobs.route_batch(batch, lake, name, NOW)
     assert tables.read_bronze(spark, lake).count() == 3
@@ -56,27 +56,27 @@ def test_empty_batch_writes_nothing(spark, tmp_path):
 
 
 def late(hour, i, **changes):
-    return event(event_id=f"e{i}", timestamp=f"2026-09-27T{hour:02d}:{i:02d}:00Z", **changes)
+    return event(event_id=f"e{i}", timestamp=f"2031-05-06T{hour:02d}:{i:02d}:00Z", **changes)
 
 
 def test_gold_refresh_is_idempotent_and_touches_only_its_hours(spark, tmp_path):
     lake = Lake(str(tmp_path))
     assert jobs.refresh_gold(spark, lake, NOW) == [
-        {"dt": "2026-09-27", "hour": "14", "devices": 0, "events": 0},
-        {"dt": "2026-09-27", "hour": "13", "devices": 0, "events": 0},
+        {"dt": "2031-05-06", "hour": "14", "devices": 0, "events": 0},
+        {"dt": "2031-05-06", "hour": "13", "devices": 0, "events": 0},
     ]
     assert data_files(lake.gold) == []  # an empty hour writes nothing
 
     jobs.route_batch(records(spark, [late(14, 1), late(12, 2)], NOW), lake, "1", NOW)
-    assert jobs.refresh_gold(spark, lake, NOW, dt="2026-09-27", hour=12)[0]["events"] == 1
-    before = data_files(f"{lake.gold}/dt=2026-09-27/hour=12")
+    assert jobs.refresh_gold(spark, lake, NOW, dt="2031-05-06", hour=12)[0]["events"] == 1
+    before = data_files(f"{lake.gold}/dt=2031-05-06/hour=12")
     assert jobs.refresh_gold(spark, lake, NOW, hours_back=1)[0]["events"] == 1
-    jobs.route_batch(records(spark, [late(14, 3), late(14, 1)], NOW, first=10**55), lake, "2", NOW)
+    jobs.route_batch(records(spark, [late(14, 3), late(14, 1)], NOW, first=LATER), lake, "2", NOW)
     assert jobs.refresh_gold(spark, lake, NOW, hours_back=1) == [
-        {"dt": "2026-09-27", "hour": "14", "devices": 1, "events": 2}
+        {"dt": "2031-05-06", "hour": "14", "devices": 1, "events": 2}
     ]
-    assert len(data_files(f"{lake.gold}/dt=2026-09-27/hour=14")) == 1
-    assert data_files(f"{lake.gold}/dt=2026-09-27/hour=12") == before
+    assert len(data_files(f"{lake.gold}/dt=2031-05-06/hour=14")) == 1
+    assert data_files(f"{lake.gold}/dt=2031-05-06/hour=12") == before
     gold = tables.read_gold(spark, lake)
     assert gold.schema == GOLD
     assert gold.count() == 2
@@ -94,7 +94,7 @@ def test_gold_events_equal_distinct_silver_events(spark, tmp_path):
 def test_partition_filters_prune(spark, tmp_path):
     lake = Lake(str(tmp_path))
     jobs.route_batch(records(spark, [late(13, 1), late(3, 2)], NOW), lake, "1", NOW)
-    hour = lineage.silver_hour(tables.read_silver(spark, lake), "2026-09-27", "03")
+    hour = lineage.silver_hour(tables.read_silver(spark, lake), "2031-05-06", "03")
     plan = hour._jdf.queryExecution().executedPlan().toString()
     filters = plan[plan.index("PartitionFilters"):].split("PushedFilters")[0]
     assert "dt#" in filters and "hour#" in filters and "cast" not in filters
@@ -106,17 +106,19 @@ def test_partition_filters_prune(spark, tmp_path):
 def test_hours_are_read_without_listing_the_others(spark, tmp_path):
     lake = Lake(str(tmp_path))
     jobs.route_batch(records(spark, [late(h, h) for h in (3, 4, 5, 13)], NOW), lake, "1", NOW)
-    hours = [("2026-09-27", "03"), ("2026-09-27", "05"), ("2026-09-27", "05"), ("2026-09-01", "00")]
+    hours = [("2031-05-06", "03"), ("2031-05-06", "05"), ("2031-05-06", "05"), ("2031-05-01", "00")]
     some = tables.read_hours(spark, lake.silver, SILVER, hours)
     assert some.schema == SILVER
     assert sorted(r.hour for r in some.collect()) == ["03", "05"]
     assert {Path(f).parts[-3] for f in some.inputFiles()} == {"hour=03", "hour=05"}
     assert tables.read_hours(spark, lake.silver, SILVER, []).count() == 0
     touched = spark.createDataFrame(hours, "dt STRING, hour STRING")
-    few = tables.read_touched(spark, lake.silver, SILVER, touched)
-    many = tables.read_touched(spark, lake.silver, SILVER, touched, limit=1)
-    assert sorted(tuple(r) for r in few.collect()) == sorted(tuple(r) for r in many.collect())
-    assert "LeftSemi" in many._jdf.queryExecution().optimizedPlan().toString()
+    found = tables.read_touched(spark, lake.silver, SILVER, touched)
+    assert sorted(r.hour for r in found.collect()) == ["03", "05"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters"):].split("PushedFilters")[0]
+    assert "LeftSemi" in plan and "2031-05-06" in filters and "2031-05-01" in filters
+    assert tables.read_touched(spark, lake.silver, SILVER, touched.where("false")).count() == 0
 
 
 def test_missing_columns_and_missing_tables(spark, tmp_path):
@@ -134,7 +136,7 @@ def test_views_and_malformed_lines(spark, tmp_path):
     lake = Lake(str(tmp_path))
     jobs.route_batch(records(spark, [late(3, 1), "junk"], NOW), lake, "1", NOW)
     jobs.refresh_gold(spark, lake, NOW, hours_back=24)
-    broken = Path(f"{lake.bronze}/dt=2026-09-27/hour=14/batch=zz")
+    broken = Path(f"{lake.bronze}/dt=2031-05-06/hour=14/batch=zz")
     broken.mkdir(parents=True)
     (broken / "part-broken.json").write_text("{ not json\n")
     assert tables.register_views(spark, lake) == [
@@ -150,12 +152,14 @@ def test_views_and_malformed_lines(spark, tmp_path):
 def test_expired_days_are_deleted(spark, tmp_path):
     lake = Lake(str(tmp_path))
     jobs.route_batch(records(spark, [event()]), lake, "1", NOW)
-    old = datetime(2026, 8, 1, 12, tzinfo=timezone.utc)
+    old = datetime(2031, 3, 1, 12, tzinfo=timezone.utc)
     jobs.route_batch(
-        records(spark, [event(timestamp="2026-08-01T11:59:00Z")], old, first=7), lake, "2", old
+        records(spark, [event(timestamp="2031-03-01T11:59:00Z")], old, first=7), lake, "2", old
     )
     removed = jobs.expire(spark, lake, NOW)
-    assert removed == {"bronze": ["2026-08-01"], "silver": ["2026-08-01"], "quarantine": [], "gold": []}
+    assert removed == {
+        "bronze": ["2031-03-01"], "silver": ["2031-03-01"], "quarantine": [], "gold": [], "metrics": ["2031-03-01"],
+    }
     assert tables.read_silver(spark, lake).count() == 1
     assert jobs.expire(spark, lake, NOW + timedelta(days=1))["silver"] == []
 
@@ -163,7 +167,7 @@ def test_expired_days_are_deleted(spark, tmp_path):
 def test_reading_jobs_end_to_end(spark, tmp_path):
     lake = Lake(str(tmp_path))
     Path(lake.readings_bronze).mkdir(parents=True)
-    lines = [GOOD, GOOD.replace('"bpm":35', '"bpm":0'), GOOD.replace("1714123456", str(MONDAY)), "{}"]
+    lines = [GOOD, GOOD.replace('"bpm":35', '"bpm":0'), GOOD.replace("1925000000", str(MONDAY)), "{}"]
     (Path(lake.readings_bronze) / "part-0.json").write_text("\n".join(lines) + "\n")
     assert jobs.bronze_to_silver(spark, lake) == 2
     assert jobs.silver_to_gold(spark, lake) == 2
@@ -171,16 +175,44 @@ def test_reading_jobs_end_to_end(spark, tmp_path):
     assert jobs.silver_to_gold(spark, lake) == 2  # does not remove the answers
     answers = tables.load_answers(spark, lake.answers).collect()
     assert len(answers) == 4
-    assert answers[1].answer == "C'est device_001 avec 2 alerte(s)."
+    assert answers[1].answer == "C'est chest-strap avec 2 alerte(s)."
     board = tables.load_dashboard(spark, lake.readings_gold)
     assert board.count() == 2
     assert {"day", "datetime"} <= set(board.columns)
 
 
-def test_answers_need_both_fields(spark, tmp_path):
+def test_files_of_answers_name_both_fields(spark, tmp_path):
     assert tables.load_answers(spark, str(tmp_path / "none")).count() == 0
     (tmp_path / "answers").mkdir()
     (tmp_path / "answers" / "a.json").write_text(json.dumps({"question": "q", "answer": "a"}) + "\n")
     (tmp_path / "answers" / "b.json").write_text(json.dumps({"other": 1}) + "\n")
-    assert [tuple(r) for r in tables.load_answers(spark, str(tmp_path / "answers")).collect()] == [("q", "a")]
+    (tmp_path / "answers" / "c.json").write_text('{"question": "r", "answer": null}\n{"question": "s"}\n{ broken\n')
+    found = tables.load_answers(spark, str(tmp_path / "answers")).collect()
+    assert sorted((r.question, str(r.answer)) for r in found) == [("q", "a"), ("r", "None"), ("s", "None")]
     assert tables.load_dashboard(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_batches_are_named_by_their_content(spark):
+    rows = records(spark, [event(), "junk"])
+    name = tables.batch_name(rows, "sequenceNumber")
+    assert name == tables.batch_name(rows.repartition(3), "sequenceNumber")
+    assert name != tables.batch_name(rows.limit(1), "sequenceNumber")
+    assert tables.batch_name(rows.where("false"), "sequenceNumber") is None
+
+
+def test_metrics_and_alarms_of_routed_batches(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    for minute, rate in ((30, 30), (31, 70), (33, 30)):
+        sent = [event(event_id=f"{minute}-{i}", heart_rate=rate) for i in range(3)]
+        at = datetime(2031, 5, 6, 14, minute, tzinfo=timezone.utc)
+        # A batch delivered again replaces its metrics too.
+        for _ in range(2):
+            jobs.route_batch(records(spark, sent, at, first=minute * 100), lake, None, at)
+    changes = jobs.refresh_alarms(spark, lake)
+    assert [(c["alarm"], c["minute"].minute, c["to_state"]) for c in changes] == [
+        ("abnormal_heart_rate", 30, "ALARM"), ("abnormal_heart_rate", 31, "OK"), ("abnormal_heart_rate", 33, "ALARM"),
+    ]
+    states = spark.read.parquet(lake.alarms)
+    assert states.where("alarm = 'lagging'").count() == 4 and states.where("alarm = 'lagging' AND state = 'ALARM'").count() == 0
+    stored = tables.read_table(spark, lake.metrics, METRICS)
+    assert {(r.minute.minute, r.valid_events) for r in stored.collect()} == {(30, 3), (31, 3), (33, 3)}

@@ -5,10 +5,10 @@ from pyspark.sql import functions as F
 
 from vitals.operators import monitor, quality
 
-START = datetime(2026, 9, 27, 14, 0)
+START = datetime(2031, 5, 6, 14, 0)
 SCHEMA = (
     "minute TIMESTAMP_NTZ, arrival_minute TIMESTAMP_NTZ, is_valid BOOLEAN, is_abnormal_hr BOOLEAN,"
-    " latency_ms BIGINT, lag_ms BIGINT, sequence_number STRING"
+    " latency_ms BIGINT, lag_ms BIGINT"
 )
 
 
@@ -19,17 +19,21 @@ def at(minute):
 def rows(spark, items):
     """(minute, abnormal, lag) triples."""
     return spark.createDataFrame(
-        [(at(m), at(m), True, abnormal, 100, lag, str(i)) for i, (m, abnormal, lag) in enumerate(items)], SCHEMA
+        [(at(m), at(m), True, abnormal, 100, lag) for m, abnormal, lag in items], SCHEMA
     )
 
 
+def minutes(spark, items):
+    return monitor.minutes_of(rows(spark, items))
+
+
 def alarmed(states):
     return [int((r.minute - START).total_seconds() // 60) for r in states.collect() if r.state == monitor.ALARM]
 
 
 def test_lagging_needs_consecutive_minutes(spark):
     late, fine = 60_001, 60_000
-    data = rows(spark, [(0, False, late), (1, False, late), (2, False, fine), (3, False, late), (4, False, late),
+    data = minutes(spark, [(0, False, late), (1, False, late), (2, False, fine), (3, False, late), (4, False, late),
                         (4, False, 1), (5, False, late), (6, False, late), (8, False, late), (9, False, late)])
     states = monitor.alarm_lagging(data)
     assert states.count() == 10  # minute 7 has no data and is listed as OK
@@ -42,7 +46,7 @@ def test_lagging_needs_consecutive_minutes(spark):
 
 
 def test_abnormal_alarm_and_its_transitions(spark):
-    data = rows(spark, [(0, True, 0), (1, False, 0), (3, True, 0), (4, True, 0)])
+    data = minutes(spark, [(0, True, 0), (1, False, 0), (3, True, 0), (4, True, 0)])
     states = monitor.alarm_abnormal_hr(data)
     assert sorted(alarmed(states)) == [0, 3, 4]
     changes = {(int((r.minute - START).total_seconds() // 60), r.to_state)
@@ -52,32 +56,36 @@ def test_abnormal_alarm_and_its_transitions(spark):
 
 
 def test_spine_crosses_midnight(spark):
-    data = rows(spark, [(0, False, 0), (60 * 24 + 5, False, 0)])
+    data = minutes(spark, [(0, False, 0), (60 * 24 + 5, False, 0)])
     spine = monitor.minute_spine(data)
     assert spine.count() == spine.distinct().count() == 60 * 24 + 6
     assert monitor.minute_spine(data.where("false")).count() == 0
 
 
 def test_no_alarm_plan_sorts_all_minutes_in_one_task(spark):
-    states = monitor.alarm_lagging(rows(spark, [(0, False, 0)]))
+    states = monitor.alarm_lagging(minutes(spark, [(0, False, 0)]))
     for frame in (states, monitor.alarm_transitions(states)):
         assert "Window" not in frame._jdf.queryExecution().executedPlan().toString()
 
 
-def test_latency_list_is_capped_in_arrival_order(spark):
-    data = spark.createDataFrame(
-        [(at(0), at(0), i != 3, False, i, 0, str(i)) for i in range(250)], SCHEMA
+def test_busy_minute_is_counted_whole(spark):
+    busy = spark.range(20_000).selectExpr(
+        f"TIMESTAMP_NTZ '{at(0)}' AS minute", f"TIMESTAMP_NTZ '{at(0)}' AS arrival_minute", "id % 5 < 4 AS is_valid",
+        "id % 10 = 0 AS is_abnormal_hr", "IF(id % 5 < 4, id % 1000, NULL) AS latency_ms", "id AS lag_ms",
     ).repartition(7)
-    row = monitor.metrics_per_minute(data).first()
-    assert row.latencies == [i for i in range(101) if i != 3]
-    assert (row.valid_events, row.invalid_events) == (249, 1)
-    only_rejected = monitor.metrics_per_minute(data.where("NOT is_valid")).first()
-    assert only_rejected.latencies is None
+    (row,) = monitor.metrics_per_minute(busy).collect()
+    assert (row.valid_events, row.invalid_events, row.abnormal_heart_rate, row.max_lag_ms) == (16_000, 4_000, 2_000, 19_999)
+    assert [tuple(x) for x in row.latencies] == [(i, 20) for i in range(1000) if i % 5 < 4]
+    (both,) = monitor.latency_percentiles(busy).collect()
+    ordered = sorted(i for i in range(1000) if i % 5 < 4 for _ in range(20))
+    assert (both.p50_ms, both.p99_ms) == (ordered[8_000 - 1], ordered[15_840 - 1])
+    (none,) = monitor.metrics_per_minute(busy.where("NOT is_valid")).collect()
+    assert (none.valid_events, none.latencies) == (0, [])
 
 
 def test_percentiles_and_throughput(spark):
     data = spark.createDataFrame(
-        [(at(1), at(0), True, False, i + 1, i, str(i)) for i in range(200)], SCHEMA
+        [(at(1), at(0), True, False, i + 1, i) for i in range(200)], SCHEMA
     )
     percentiles = monitor.latency_percentiles(data).first()
     assert (percentiles.p50_ms, percentiles.p99_ms) == (100, 198)
@@ -89,8 +97,8 @@ def test_measured_frame(spark):
     classified = quality.classify(
         quality.with_arrival(quality.to_envelope(records(spark, [event(heart_rate=30), "junk"])))
     )
-    processed = F.lit("2026-09-27 14:31:30").cast("timestamp")
-    good, bad = monitor.measured(classified, processed).orderBy("sequence_number").collect()
+    processed = F.lit("2031-05-06 14:31:30").cast("timestamp")
+    good, bad = monitor.measured(classified, processed).orderBy(F.desc("is_valid")).collect()
     assert (good.minute, good.arrival_minute) == (at(31), at(30))
     assert (good.is_valid, good.is_abnormal_hr, good.latency_ms, good.lag_ms) == (True, True, 90_500, 90_000)
     assert (bad.is_valid, bad.is_abnormal_hr, bad.latency_ms, bad.lag_ms) == (False, False, None, 90_000)

@@ -1,7 +1,5 @@
 from types import SimpleNamespace
 
-import pytest
-
 from vitals import session
 
 
@@ -16,19 +14,25 @@ def fake(master, cores, **conf):
 
 
 INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+SHUFFLE = {"spark.sql.shuffle.partitions": "200"}
+
+
+def test_shuffles_follow_the_input_on_every_master():
+    for master in ("yarn", "local[8]"):
+        spark = fake(master, 8, **SHUFFLE)
+        assert session.size_shuffles(spark, 100 << 40) == 819_200
+        assert spark.conf[INITIAL] == "819200"
+        # The next job of the session is sized by its own input.
+        assert session.size_shuffles(spark, 1 << 20) == 200
 
 
-def test_shuffles_are_sized_on_clusters_only():
-    shuffle = {"spark.sql.shuffle.partitions": "200"}
-    assert session.configure(fake("yarn", 8000, **shuffle)).conf[INITIAL] == "24000"
-    assert INITIAL not in session.configure(fake("yarn", 16, **shuffle)).conf
-    assert INITIAL not in session.configure(fake("local[8]", 8000, **shuffle)).conf
-    assert session.configure(fake("yarn", 8000, **shuffle, **{INITIAL: "50000"})).conf[INITIAL] == "50000"
+def test_a_number_set_by_the_user_stays():
+    spark = fake("yarn", 8, **SHUFFLE, **{INITIAL: "50000"})
+    assert session.size_shuffles(spark, 100 << 40) == 50_000
+    assert spark.conf[INITIAL] == "50000"
 
 
-def test_cluster_must_name_a_shared_checkpoint_folder():
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        session.checkpoint_root(fake("yarn", 8))
+def test_results_of_queries_go_to_the_shared_folder():
     named = fake("yarn", 8, **{"spark.checkpoint.dir": "hdfs:///checkpoints/"})
-    assert session.checkpoint_root(named) == "hdfs:///checkpoints"
-    assert session.checkpoint_root(fake("local[2]", 2)) == session.checkpoint_root(fake("local[2]", 2))
+    assert session.scratch_root(named) == "hdfs:///checkpoints"
+    assert session.scratch_root(fake("local[2]", 2, **{"spark.sql.warehouse.dir": "/w"})) == "/w"

@@ -4,20 +4,21 @@ from datetime import datetime, timedelta, timezone
 from pathlib import Path
 
 import pytest
-from events import FIRST_SEQUENCE, as_json_lines, event, record
+from events import FIRST_SEQUENCE, LATER, as_json_lines, event, record
 from pyspark.sql import functions as F
 from test_readings import GOOD, MESSAGES
 
 from vitals.operators import gold, quality
-from vitals.session import checkpoint_for, checkpoint_root
+from vitals.plans import jobs
+from vitals.session import checkpoint_for
 from vitals.sources import lake as tables
 from vitals.sources import streams
 from vitals.sources.lake import Lake
 from vitals.streaming import aggregates, alerting, ingest
 
-NOW = datetime(2026, 9, 27, 14, 50, tzinfo=timezone.utc)
+NOW = datetime(2031, 5, 6, 14, 50, tzinfo=timezone.utc)
 def processed_now():
-    return F.lit("2026-09-27 14:50:00").cast("timestamp")
+    return F.lit("2031-05-06 14:50:00").cast("timestamp")
 
 
 def finish(query):
@@ -43,11 +44,10 @@ def arrive(folder, name, payloads, first, arrival=NOW):
     drop_file(folder, name, as_json_lines([record(p, first + i, arrival) for i, p in enumerate(payloads)]))
 
 
-def test_checkpoint_folder_is_the_clusters(spark):
-    root = checkpoint_root(spark)
-    assert root == (spark.conf.get("spark.checkpoint.dir", None) or root).rstrip("/")
-    one, other = checkpoint_for(spark, "s", "/lake/a"), checkpoint_for(spark, "s", "/lake/b")
-    assert one != other and one.startswith(f"{root}/s-")
+def test_checkpoints_lie_below_the_lake():
+    one, other = checkpoint_for("/lake/", "s", "/lake/a"), checkpoint_for("/lake", "s", "/lake/b")
+    assert one != other and one.startswith("/lake/_checkpoints/s-")
+    assert one == checkpoint_for("/lake", "s", "/lake/a")
 
 
 def test_readings_to_bronze_is_lenient_and_incremental(spark, tmp_path):
@@ -66,23 +66,24 @@ def test_alert_streams(spark, tmp_path):
     inbox = str(tmp_path / "in")
     texts = [GOOD, GOOD.replace("35", "72"), "oops"]
     drop_file(inbox, "1.txt", "\n".join(texts) + "\n")
-    finish(alerting.publish_alerts(streams.text_messages(spark, inbox), str(tmp_path / "alerts")))
-    finish(alerting.report_malformed(streams.text_messages(spark, inbox), str(tmp_path / "bad")))
+    lake = Lake(str(tmp_path / "lake"))
+    finish(alerting.publish_alerts(streams.text_messages(spark, inbox), lake, str(tmp_path / "alerts")))
+    finish(alerting.report_malformed(streams.text_messages(spark, inbox), lake, str(tmp_path / "bad")))
     published = spark.read.schema("key STRING, value STRING").json(str(tmp_path / "alerts")).collect()
-    assert [(r.key, r.value) for r in published] == [("device_001", GOOD)]
+    assert [(r.key, r.value) for r in published] == [("chest-strap", GOOD)]
     assert [r.json for r in spark.read.schema("json STRING").json(str(tmp_path / "bad")).collect()] == ["oops"]
 
     alerts = spark.readStream.schema("key STRING, value STRING").json(str(tmp_path / "alerts"))
-    sent = alerting.render_notifications(alerts.select(F.col("value").alias("json")), str(tmp_path / "mail"))
+    sent = alerting.render_notifications(alerts.select(F.col("value").alias("json")), lake, str(tmp_path / "mail"))
     finish(sent)
     files = Path(tmp_path / "mail").glob("part-*")
     mail = [json.loads(line) for f in files for line in f.read_text().splitlines()]
-    assert [m["subject"] for m in mail] == ["[vitals] ALERTE BPM critique — device device_001"]
+    assert [m["subject"] for m in mail] == ["[vitals] ALERTE BPM critique — device chest-strap"]
 
 
 def test_three_way_routing_through_bronze(spark, tmp_path):
     lake, inbox = Lake(str(tmp_path / "lake")), str(tmp_path / "in")
-    payloads = [event(), event(event_id="late", timestamp="2026-09-27T13:00:00Z"), event(heart_rate=1), "junk"]
+    payloads = [event(), event(event_id="late", timestamp="2031-05-06T13:00:00Z"), event(heart_rate=1), "junk"]
 
     def run():
         finish(ingest.events_to_bronze(streams.transport_records(spark, inbox), lake))
@@ -92,7 +93,7 @@ def test_three_way_routing_through_bronze(spark, tmp_path):
 
     arrive(inbox, "1.json", payloads, FIRST_SEQUENCE)
     run()
-    arrive(inbox, "2.json", payloads[:1], 10**55)
+    arrive(inbox, "2.json", payloads[:1], LATER)
     run()
     run()  # nothing new: nothing is written twice
     counts = [t(spark, lake).count() for t in (tables.read_bronze, tables.read_silver, tables.read_quarantine)]
@@ -107,17 +108,16 @@ def test_routing_each_payload_once(spark, tmp_path):
     lake, inbox = Lake(str(tmp_path / "lake")), str(tmp_path / "in")
     arrive(inbox, "1.json", [event(), "junk"], FIRST_SEQUENCE)
     finish(ingest.route_events(streams.transport_records(spark, inbox), lake, NOW))
-    arrive(inbox, "2.json", [event(event_id="2")], 10**55)
+    arrive(inbox, "2.json", [event(event_id="2")], LATER)
     finish(ingest.route_events(streams.transport_records(spark, inbox), lake, NOW))
     counts = [t(spark, lake).count() for t in (tables.read_bronze, tables.read_silver, tables.read_quarantine)]
     assert counts == [3, 2, 1]
-    # Batches are partitions below the hour; streams reading the table do not see that level.
     finish(aggregates.refresh_touched_hours(streams.silver_stream(spark, lake.silver), lake, NOW))
     assert [r.event_count for r in tables.read_gold(spark, lake).collect()] == [2]
 
 
-def beat(i, hour, minute, device="watch-a", day=27, **changes):
-    stamp = f"2026-09-{day}T{hour:02d}:{minute:02d}:00Z"
+def beat(i, hour, minute, device="watch-a", day="2031-05-06", **changes):
+    stamp = f"{day}T{hour:02d}:{minute:02d}:00Z"
     return event(event_id=f"e{i}", device_id=device, timestamp=stamp, **changes)
 
 
@@ -135,12 +135,12 @@ def test_touched_hours_are_rebuilt_however_late(spark, tmp_path):
 
     arrive(inbox, "1.json", [beat(1, 14, 1), beat(2, 13, 1)], FIRST_SEQUENCE)
     run()
-    untouched = sorted(Path(f"{lake.gold}/dt=2026-09-27/hour=14").glob("*.parquet"))
-    arrive(inbox, "2.json", [beat(3, 13, 2), beat(2, 13, 1), beat(4, 2, 0, day=20)], 10**55)
+    untouched = sorted(Path(f"{lake.gold}/dt=2031-05-06/hour=14").glob("*.parquet"))
+    arrive(inbox, "2.json", [beat(3, 13, 2), beat(2, 13, 1), beat(4, 2, 0, day="2031-04-29")], LATER)
     run()
     counts = {(r.dt, r.hour): r.event_count for r in tables.read_gold(spark, lake).collect()}
-    assert counts == {("2026-09-27", "14"): 1, ("2026-09-27", "13"): 2, ("2026-09-20", "02"): 1}
-    assert sorted(Path(f"{lake.gold}/dt=2026-09-27/hour=14").glob("*.parquet")) == untouched
+    assert counts == {("2031-05-06", "14"): 1, ("2031-05-06", "13"): 2, ("2031-04-29", "02"): 1}
+    assert sorted(Path(f"{lake.gold}/dt=2031-05-06/hour=14").glob("*.parquet")) == untouched
     full = gold.gold_hourly(tables.read_silver(spark, lake), processed_now())
     assert gold_rows(tables.read_gold(spark, lake)) == gold_rows(full)
 
@@ -159,7 +159,7 @@ def test_windowed_gold_equals_batch_gold_without_late_rows(spark, tmp_path):
         finish(ingest.bronze_to_silver(streams.bronze_stream(spark, lake.bronze), lake, processed_now()))
     silver = streams.silver_stream(spark, lake.silver, maxFilesPerTrigger="1")
     hourly = aggregates.windowed_gold(silver, processed_now())
-    finish(streams.start(hourly, "gold-windows", "parquet", str(tmp_path / "gold"), ("dt", "hour")))
+    finish(streams.start(hourly, "gold-windows", "parquet", lake.root, str(tmp_path / "gold")))
     streamed = tables.read_table(spark, str(tmp_path / "gold"), tables.GOLD)
     # The watermark stands at 12:30: hours 10 and 11 are final, 12 and 13 are still open.
     batch = gold.gold_hourly(tables.read_silver(spark, lake), processed_now()).where("hour < '12'")
@@ -169,9 +169,9 @@ def test_windowed_gold_equals_batch_gold_without_late_rows(spark, tmp_path):
 
 def test_windowed_metrics(spark, tmp_path):
     inbox = str(tmp_path / "in")
-    first = datetime(2026, 9, 27, 14, 30, 5, tzinfo=timezone.utc)
+    first = datetime(2031, 5, 6, 14, 30, 5, tzinfo=timezone.utc)
     arrive(inbox, "1.json", [event(heart_rate=30), event(), "junk"], FIRST_SEQUENCE, first)
-    arrive(inbox, "2.json", [event()], 10**55, first + timedelta(minutes=10))
+    arrive(inbox, "2.json", [event()], LATER, first + timedelta(minutes=10))
     records = streams.transport_records(spark, inbox, maxFilesPerTrigger="1")
     classified = quality.classify(
         quality.with_arrival(quality.to_envelope(records)).withColumn(
@@ -179,17 +179,77 @@ def test_windowed_metrics(spark, tmp_path):
         )
     )
     query = streams.start(
-        aggregates.windowed_metrics(classified), "metrics", "parquet", str(tmp_path / "metrics")
+        aggregates.windowed_metrics(classified), "metrics", "parquet", str(tmp_path), str(tmp_path / "metrics")
     )
     finish(query)
-    rows = spark.read.parquet(str(tmp_path / "metrics")).collect()
+    rows = aggregates.minute_metrics(spark.read.parquet(str(tmp_path / "metrics"))).collect()
     assert len(rows) == 1
     row = rows[0]
-    assert row.minute == datetime(2026, 9, 27, 14, 30)
+    assert row.minute == datetime(2031, 5, 6, 14, 30)
     assert (row.valid_events, row.invalid_events, row.abnormal_heart_rate) == (2, 1, 1)
     assert (row.p50_ms, row.max_lag_ms) == (6500, 1000)
 
 
+def shuffled_files(inbox, n=6):
+    """The same events in files that arrive out of order of time."""
+    for i in (3, 0, 5, 1, 4, 2)[:n]:
+        arrive(inbox, f"{i}.json", [beat(10 * i + k, (5 * i + k) % 24, k, day="2031-05-05") for k in range(8)], FIRST_SEQUENCE + 100 * i)
+
+
+def test_gold_does_not_depend_on_batches(spark, tmp_path):
+    results = []
+    for pace in ({"maxFilesPerTrigger": "1"}, {}):
+        lake, inbox = Lake(str(tmp_path / f"lake{len(pace)}")), str(tmp_path / f"in{len(pace)}")
+        shuffled_files(inbox)
+        finish(ingest.events_to_bronze(streams.transport_records(spark, inbox, **pace), lake))
+        finish(ingest.bronze_to_silver(streams.bronze_stream(spark, lake.bronze, **pace), lake, processed_now()))
+        finish(aggregates.refresh_touched_hours(streams.silver_stream(spark, lake.silver, **pace), lake, NOW))
+        results.append(gold_rows(tables.read_gold(spark, lake)))
+        assert results[-1] == gold_rows(gold.gold_hourly(tables.read_silver(spark, lake), processed_now()))
+    assert results[0] == results[1] and sum(r[1] for r in results[0]) == 48
+
+
+def route_all(spark, lake, inbox):
+    finish(ingest.events_to_bronze(streams.transport_records(spark, inbox), lake))
+    finish(ingest.bronze_to_silver(streams.bronze_stream(spark, lake.bronze), lake, processed_now()))
+    finish(ingest.bronze_to_quarantine(streams.bronze_stream(spark, lake.bronze), lake))
+
+
+def test_restart_in_a_new_process_loses_and_repeats_nothing(spark, tmp_path):
+    """Nothing of the first run is kept but the lake: a new process finds its checkpoints there."""
+    lake, inbox = Lake(str(tmp_path / "lake")), str(tmp_path / "in")
+    for i in range(3):
+        arrive(inbox, f"{i}.json", [event(event_id=f"{i}-{k}") for k in range(10)], FIRST_SEQUENCE + 10 * i)
+        route_all(spark.newSession(), Lake(str(tmp_path / "lake")), inbox)
+    bronze, silver = tables.read_bronze(spark, lake), tables.read_silver(spark, lake)
+    assert bronze.count() == bronze.select("sequence_number").distinct().count() == 30
+    assert silver.count() == silver.select("event_id").distinct().count() == 30
+
+
+def test_tables_written_by_streams_can_be_expired(spark, tmp_path):
+    lake, inbox = Lake(str(tmp_path / "lake")), str(tmp_path / "in")
+    old = datetime(2031, 3, 1, 12, tzinfo=timezone.utc)
+    arrive(inbox, "1.json", [event(timestamp="2031-03-01T11:59:00Z"), "junk"], FIRST_SEQUENCE, old)
+    arrive(inbox, "2.json", [event(), "junk"], LATER)
+    route_all(spark, lake, inbox)
+    removed = jobs.expire(spark, lake, NOW)
+    assert [removed[t] for t in ("bronze", "silver", "quarantine")] == [["2031-03-01"]] * 3
+    counts = [t(spark, lake).groupBy("hour").count().collect() for t in (tables.read_bronze, tables.read_silver, tables.read_quarantine)]
+    assert [[r["count"] for r in rows] for rows in counts] == [[2], [1], [1]]
+
+
+def test_two_jobs_share_a_table(spark, tmp_path):
+    lake, inbox, other = Lake(str(tmp_path / "lake")), str(tmp_path / "in"), str(tmp_path / "other")
+    arrive(inbox, "1.json", [event(event_id=f"a{k}") for k in range(20)], FIRST_SEQUENCE)
+    arrive(other, "1.json", [event(event_id=f"b{k}") for k in range(10)], LATER)
+    finish(ingest.events_to_bronze(streams.transport_records(spark, inbox), lake))
+    finish(ingest.route_events(streams.transport_records(spark, other), lake, NOW))
+    assert tables.read_bronze(spark, lake).select("sequence_number").distinct().count() == 30
+    # The same records in a batch of another job replace themselves.
+    finish(ingest.route_events(streams.transport_records(spark, inbox), Lake(str(tmp_path / "lake") + "/"), NOW))
+    assert tables.read_bronze(spark, lake).count() == 30
+
+
 def test_broker_source_options(spark):
     """The connector is not on this class path; asking for it must say so, not fail otherwise."""
     with pytest.raises(Exception, match="(?i)kafka"):

@@ -87,7 +87,9 @@ def hourly_metrics(
     events: DataFrame, keys: Sequence[str | Column] = ("device_id", "dt", "hour")
 ) -> DataFrame:
     """Per-group metrics of already distinct events; order-independent, so partial sums combine."""
-    latest = F.struct("event_time", *stream_order(F.col("kinesis_sequence_number")))
+    # Time and level in one number, which a hash aggregate keeps in its buffer: of the events at the
+    # latest instant the highest level counts. Levels are percent, so seven bits hold them.
+    latest = F.unix_micros(F.col("event_time").cast("timestamp")) * 128 + F.col("battery")
     return events.groupBy(*keys).agg(
         F.count("event_id").alias("event_count"),
         half_even(F.avg("heart_rate"), 2).alias("avg_heart_rate"),
@@ -97,17 +99,15 @@ def hourly_metrics(
         F.sum("steps").alias("total_steps"),
         half_even(F.avg("spo2"), 2).alias("avg_spo2"),
         F.min("spo2").alias("min_spo2"),
-        F.max_by("battery", latest).alias("last_battery"),
+        F.max(latest).bitwiseAND(127).cast("int").alias("last_battery"),
         F.min("event_time").alias("first_event_time"),
         F.max("event_time").alias("last_event_time"),
     )
 
 
 def gold_hourly(silver: DataFrame, aggregated_at: Column) -> DataFrame:
-    keys = ("device_id", "dt", "hour")
-    leading = F.xxhash64(*keys).alias("_group")  # sorts faster than the texts, as above
     return (
-        hourly_metrics(dedupe_events(silver), (leading, *keys))
+        hourly_metrics(dedupe_events(silver))
         .withColumn("aggregated_at", to_stored(aggregated_at))
         .select(GOLD_COLUMNS)
     )

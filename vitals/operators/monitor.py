@@ -2,7 +2,7 @@
 
 A *timed* frame has one row per received record: ``minute`` (when it was processed),
 ``arrival_minute`` and ``lag_ms``; no payload is read for it. A *measured* frame adds the outcome:
-``is_valid``, ``is_abnormal_hr``, ``latency_ms`` (null if rejected) and the stream sequence number.
+``is_valid``, ``is_abnormal_hr`` and ``latency_ms`` (null if rejected). Alarms read one row per minute.
 """
 
 from __future__ import annotations
@@ -10,15 +10,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.clock import stream_order
 from ..functions.health import DEFAULT_THRESHOLDS, Thresholds, is_abnormal
 from .enrich import latency_ms
 from .quality import is_valid
 
-MAX_LATENCY_VALUES = 100  # a metrics document carries at most this many values
 LAG_THRESHOLD_MS = 60_000
 LAG_PERIODS = 3
 ALARM, OK = "ALARM", "OK"
+ALARMS = ("abnormal_heart_rate", "lagging")
 
 
 def _minute(ts: Column) -> Column:
@@ -47,44 +46,47 @@ def measured(
         valid.alias("is_valid"),
         (valid & is_abnormal(F.col("heart_rate"), limits)).alias("is_abnormal_hr"),
         F.when(valid, latency_ms(processed_at, F.col("event_time"))).alias("latency_ms"),
-        "sequence_number",
     )
 
 
-def metrics_per_minute(records: DataFrame, max_values: int = MAX_LATENCY_VALUES) -> DataFrame:
-    """Counts per minute, and the first latencies of the minute up to the size of a document.
-
-    The list is cut by rank before it is collected, so a busy minute never sits in one task.
-    """
-    counts = records.groupBy("minute").agg(
-        F.count_if("is_valid").alias("valid_events"),
-        F.count_if(~F.col("is_valid")).alias("invalid_events"),
-        F.count_if("is_abnormal_hr").alias("abnormal_heart_rate"),
+def _latency_counts(records: DataFrame) -> DataFrame:
+    """How often each outcome and latency occurred in each minute; latencies are whole milliseconds."""
+    return records.groupBy("minute", "is_valid", "is_abnormal_hr", "latency_ms").agg(
+        F.count("*").alias("n"), F.max("lag_ms").alias("lag_ms")
     )
-    arrival = Window.partitionBy("minute").orderBy(*stream_order(F.col("sequence_number")))
-    first = (
-        records.where("is_valid")
-        .select("minute", "sequence_number", "latency_ms")
-        .withColumn("_rank", F.row_number().over(arrival))
-        .where(F.col("_rank") <= max_values)
-        .groupBy("minute")
-        .agg(F.array_sort(F.collect_list(F.struct("_rank", "latency_ms"))).alias("_ranked"))
-        .select("minute", F.col("_ranked.latency_ms").alias("latencies"))
-    )
-    return counts.join(first, "minute", "left")
 
 
-def latency_percentiles(records: DataFrame, accuracy: int = 10_000) -> DataFrame:
-    """p50 and p99 per minute from a sketch of bounded size; exact below ``accuracy`` values."""
-    both = F.percentile_approx("latency_ms", [0.5, 0.99], accuracy)
+def metrics_per_minute(records: DataFrame) -> DataFrame:
+    """Counts and worst lag per minute, and its latencies as ascending (latency_ms, n), all in one pass."""
+    counted = lambda column: F.coalesce(F.sum(F.when(F.col(column), F.col("n"))), F.lit(0))
+    pair = F.when(F.col("is_valid"), F.struct("latency_ms", "n"))
     return (
-        records.where("is_valid")
+        _latency_counts(records)
+        # Valid and abnormal records of one latency are one entry.
+        .groupBy("minute", "is_valid", "latency_ms")
+        .agg(counted("is_abnormal_hr").alias("abnormal"), F.sum("n").alias("n"), F.max("lag_ms").alias("lag_ms"))
         .groupBy("minute")
-        .agg(both.alias("p"))
-        .select("minute", F.col("p")[0].alias("p50_ms"), F.col("p")[1].alias("p99_ms"))
+        .agg(
+            counted("is_valid").alias("valid_events"),
+            F.coalesce(F.sum(F.when(~F.col("is_valid"), F.col("n"))), F.lit(0)).alias("invalid_events"),
+            F.sum("abnormal").alias("abnormal_heart_rate"),
+            F.max("lag_ms").alias("max_lag_ms"),
+            F.array_sort(F.collect_list(pair)).alias("latencies"),
+        )
     )
 
 
+def latency_percentiles(records: DataFrame) -> DataFrame:
+    """p50 and p99 per minute, exact: the least latency that so many percent of the values do not exceed."""
+    counts = records.where("is_valid").groupBy("minute", "latency_ms").agg(F.count("*").alias("n"))
+    upwards = Window.partitionBy("minute").orderBy("latency_ms")
+    ranked = counts.withColumn("below", F.sum("n").over(upwards)).withColumn(
+        "total", F.sum("n").over(Window.partitionBy("minute"))
+    )
+    least = lambda percent: F.min(F.when(F.col("below") * 100 >= F.col("total") * percent, F.col("latency_ms")))
+    return ranked.groupBy("minute").agg(least(50).alias("p50_ms"), least(99).alias("p99_ms"))
+
+
 def throughput_per_minute(records: DataFrame) -> DataFrame:
     """Records in by arrival minute, records processed and worst lag by processing minute."""
     nothing = F.lit(None).cast("bigint")
@@ -111,19 +113,34 @@ def throughput_per_minute(records: DataFrame) -> DataFrame:
 # --- alarms ----------------------------------------------------------------------------------------
 
 
-def minute_spine(records: DataFrame) -> DataFrame:
-    """Every minute from the first to the last one seen; reads the ``minute`` column only."""
-    bounds = records.agg(F.min("minute").alias("first"), F.max("minute").alias("last"))
+def minutes_of(records: DataFrame) -> DataFrame:
+    """What the alarms look at, from measured records: abnormal heart rates and worst lag per minute.
+
+    Stored metrics have the same columns.
+    """
+    return records.groupBy("minute").agg(
+        F.count_if("is_abnormal_hr").alias("abnormal_heart_rate"), F.max("lag_ms").alias("max_lag_ms")
+    )
+
+
+def lags_of(records: DataFrame) -> DataFrame:
+    """The worst lag per minute, from timed records."""
+    return records.groupBy("minute").agg(F.max("lag_ms").alias("max_lag_ms"))
+
+
+def minute_spine(minutes: DataFrame) -> DataFrame:
+    """Every minute from the first to the last one seen. The days are dealt out before their minutes are made."""
+    bounds = minutes.agg(F.min("minute").alias("first"), F.max("minute").alias("last"))
     days = bounds.where(F.col("first").isNotNull()).select(
         "first", "last",
         F.explode(F.sequence(F.to_date("first"), F.to_date("last"), F.expr("INTERVAL 1 DAY"))).alias("d"),
     )
     start = F.col("d").cast("timestamp_ntz")
     stop = start + F.expr("INTERVAL 1439 MINUTES")
-    minutes = days.select(
+    each = days.repartition("d").select(
         "first", "last", F.explode(F.sequence(start, stop, F.expr("INTERVAL 1 MINUTE"))).alias("minute")
     )
-    return minutes.where(F.col("minute").between(F.col("first"), F.col("last"))).select("minute")
+    return each.where(F.col("minute").between(F.col("first"), F.col("last"))).select("minute")
 
 
 def alarm_states(spine: DataFrame, breaches: DataFrame, periods: int) -> DataFrame:
@@ -153,25 +170,25 @@ def alarm_states(spine: DataFrame, breaches: DataFrame, periods: int) -> DataFra
     )
 
 
-def alarm_abnormal_hr(
-    records: DataFrame, spine: DataFrame | None = None, threshold: int = 1
-) -> DataFrame:
-    """ALARM in each minute with at least ``threshold`` abnormal heart rates.
-
-    ``spine`` lists the minutes to evaluate. Taken from a timed frame, it costs no second parsing.
-    """
-    spine = minute_spine(records) if spine is None else spine
-    abnormal = records.where("is_abnormal_hr").groupBy("minute").agg(F.count("*").alias("n"))
-    return alarm_states(spine, abnormal.where(F.col("n") >= threshold).select("minute"), periods=1)
+def alarm_abnormal_hr(minutes: DataFrame, threshold: int = 1) -> DataFrame:
+    """ALARM in each minute with at least ``threshold`` abnormal heart rates."""
+    breaches = minutes.where(F.col("abnormal_heart_rate") >= threshold).select("minute")
+    return alarm_states(minute_spine(minutes), breaches, periods=1)
 
 
 def alarm_lagging(
-    records: DataFrame, threshold_ms: int = LAG_THRESHOLD_MS, periods: int = LAG_PERIODS
+    minutes: DataFrame, threshold_ms: int = LAG_THRESHOLD_MS, periods: int = LAG_PERIODS
 ) -> DataFrame:
     """ALARM when the worst lag exceeded the threshold in that many consecutive minutes."""
-    worst = records.groupBy("minute").agg(F.max("lag_ms").alias("lag_ms"))
-    breaches = worst.where(F.col("lag_ms") > threshold_ms).select("minute")
-    return alarm_states(minute_spine(records), breaches, periods)
+    breaches = minutes.where(F.col("max_lag_ms") > threshold_ms).select("minute")
+    return alarm_states(minute_spine(minutes), breaches, periods)
+
+
+def both_alarms(minutes: DataFrame) -> DataFrame:
+    """(minute, breaches, state, alarm) of both alarms; ``minutes`` should be stored, as it is read for each."""
+    states = (alarm_abnormal_hr(minutes), alarm_lagging(minutes))
+    named = [s.withColumn("alarm", F.lit(name)) for s, name in zip(states, ALARMS, strict=True)]
+    return named[0].unionByName(named[1])
 
 
 def alarm_transitions(states: DataFrame) -> DataFrame:

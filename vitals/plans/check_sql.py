@@ -61,10 +61,10 @@ _RAW = """b AS (
   FROM events),
 p AS (
   SELECT event_id, ts, dev,
-    CASE WHEN bad AND kind = 4 THEN concat('not-json{', event_id)
+    CASE WHEN bad AND kind = 4 THEN concat('<binary ', event_id)
     ELSE concat('{"event_id":"evt-', event_id, '","device_id":"', dev, '","timestamp":"',
-      CASE WHEN bad AND kind = 2 THEN 'yesterday-ish' ELSE iso END,
-      '","heart_rate":', CASE WHEN bad AND kind = 1 THEN 400 ELSE hr END,
+      CASE WHEN bad AND kind = 2 THEN 'half past nine' ELSE iso END,
+      '","heart_rate":', CASE WHEN bad AND kind = 1 THEN 999 ELSE hr END,
       ',"steps":', CASE WHEN bad AND kind = 3 THEN -k - 1 ELSE k END,
       ',"spo2":', milli // 1000, '.', lpad(CAST(milli % 1000 AS VARCHAR), 3, '0'),
       CASE WHEN bad AND kind = 0 THEN '' ELSE concat(',"battery":', bat) END, '}') END AS payload,
@@ -148,7 +148,7 @@ gold AS (
     min(heart_rate) AS min_heart_rate, max(heart_rate) AS max_heart_rate,
     count(*) FILTER (WHERE is_abnormal_hr) AS abnormal_hr_count, CAST(sum(steps) AS BIGINT) AS total_steps,
     round_even(avg(spo2), 2) AS avg_spo2, min(spo2) AS min_spo2,
-    arg_max(battery, {'t': event_time, 's': lpad(kinesis_sequence_number, 64, '0')}) AS last_battery,
+    arg_max(battery, {'t': event_time, 'b': battery}) AS last_battery,
     min(event_time) AS first_event_time, max(event_time) AS last_event_time,
     TIMESTAMP '2024-02-01 00:00:00' AS aggregated_at, dt, hour
   FROM deduped GROUP BY dt, hour, device_id)"""
@@ -352,7 +352,7 @@ FROM ({_LAST_168_HOURS}) h LEFT JOIN gold ON gold.dt = h.dt AND gold.hour = h.ho
     "device_filter": _with(_LOCAL_GOLD, "SELECT * FROM dashboard WHERE device_id = 'device_007'"),
     "kpis": _with(
         _LOCAL_GOLD,
-        "SELECT round_even(avg(avg_bpm), 1) AS avg_bpm, max(max_bpm) AS max_bpm, min(min_bpm) AS min_bpm,"
+        "SELECT CAST(printf('%.1f', avg(avg_bpm)) AS DOUBLE) AS avg_bpm, max(max_bpm) AS max_bpm, min(min_bpm) AS min_bpm,"
         " (SELECT CAST(sum(total_steps) AS BIGINT) FROM device_day) AS total_steps FROM dashboard",
     ),
     "bpm_history": _with(
@@ -422,7 +422,9 @@ WHERE rn = 1 AND (battery_low OR spo2_status <> 'normal') ORDER BY battery""",
         """SELECT minute, count(*) FILTER (WHERE is_valid) AS valid_events,
   count(*) FILTER (WHERE NOT is_valid) AS invalid_events,
   count(*) FILTER (WHERE is_abnormal_hr) AS abnormal_heart_rate,
-  array_to_string((list(latency_ms ORDER BY lpad(sequence_number, 64, '0')) FILTER (WHERE is_valid))[1:100], ',') AS latencies
+  max(lag_ms) AS max_lag_ms,
+  (SELECT string_agg(latency_ms || 'x' || n, ',' ORDER BY latency_ms) FROM (
+    SELECT latency_ms, count(*) AS n FROM measured i WHERE i.is_valid AND i.minute = measured.minute GROUP BY latency_ms)) AS latencies
 FROM measured GROUP BY minute""",
     ),
     "latency_percentiles": _with(
@@ -446,25 +448,23 @@ FROM (SELECT arrival_minute AS minute, 1 AS arrived, 0 AS done, CAST(NULL AS BIG
     "stream_alerts": _with(
         _MESSAGES, f"SELECT device_id AS key, json AS value FROM parsed WHERE {_COMPLETE} AND bpm < 40"
     ),
-    # The watermark trails the latest event by an hour; an hour is written once it has passed its end.
-    "stream_gold": _with(
-        _GOLD,
-        "SELECT * FROM gold WHERE CAST(dt || ' ' || hour || ':00:00' AS TIMESTAMP) + INTERVAL '1' HOUR"
-        " <= (SELECT max(event_time) FROM silver) - INTERVAL '1' HOUR",
-    ),
+    "stream_gold": _with(_GOLD, "SELECT * FROM gold"),
     "stream_metrics": _with(
         _MEASURED,
         """SELECT minute, count(*) FILTER (WHERE is_valid) AS valid_events,
   count(*) FILTER (WHERE NOT is_valid) AS invalid_events,
-  count(*) FILTER (WHERE is_abnormal_hr) AS abnormal_heart_rate, max(lag_ms) AS max_lag_ms
+  count(*) FILTER (WHERE is_abnormal_hr) AS abnormal_heart_rate, max(lag_ms) AS max_lag_ms,
+  quantile_disc(latency_ms, 0.5) FILTER (WHERE is_valid) AS p50_ms,
+  quantile_disc(latency_ms, 0.99) FILTER (WHERE is_valid) AS p99_ms
 FROM measured WHERE minute + INTERVAL '1' MINUTE <= (SELECT max(processed) FROM timed) - INTERVAL '1' MINUTE
 GROUP BY minute""",
     ),
     "stream_route": _with(
-        _CLASSIFIED,
-        """SELECT layer, strftime(written, '%Y-%m-%d') AS dt, strftime(written, '%H') AS hour, count(*) AS records
-FROM (SELECT 'bronze' AS layer, arrival_ts AS written FROM classified
-  UNION ALL SELECT 'silver', event_time FROM classified WHERE errors = ''
-  UNION ALL SELECT 'quarantine', arrival_ts FROM classified WHERE errors <> '') GROUP BY ALL""",
+        _SILVER,
+        """SELECT layer, strftime(written, '%Y-%m-%d') AS dt, strftime(written, '%H') AS hour, sequence_number, content
+FROM (SELECT 'bronze' AS layer, arrival_ts AS written, sequence_number, payload AS content FROM classified
+  UNION ALL SELECT 'silver', event_time, kinesis_sequence_number,
+    concat_ws('|', event_id, device_id, heart_rate, steps, battery, heart_rate_zone) FROM silver
+  UNION ALL SELECT 'quarantine', arrival_ts, sequence_number, errors FROM classified WHERE errors <> '')""",
     ),
 }

@@ -11,6 +11,7 @@ from ..functions.health import Thresholds
 
 AS_OF = "2024-01-30"  # the report day
 PROCESSED_AT = "2024-02-01 00:00:00"
+PROCESSED = datetime.fromisoformat(PROCESSED_AT).replace(tzinfo=timezone.utc)
 NOW = datetime(2024, 1, 30, 23, 10, tzinfo=timezone.utc)
 ONE_HOUR = ("2024-01-15", "12")
 ONE_DEVICE = "device_007"

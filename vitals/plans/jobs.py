@@ -8,10 +8,11 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.clock import to_stored
+from ..functions.clock import hour_partition, to_stored
 from ..functions.health import DEFAULT_THRESHOLDS, Thresholds
-from ..operators import analysis, enrich, gold, lineage, quality, readings
-from ..schemas import GOLD, SILVER
+from ..operators import analysis, enrich, gold, lineage, monitor, quality, readings
+from ..schemas import GOLD, METRICS, SILVER
+from ..session import size_shuffles
 from ..sources import lake as tables
 from ..sources.lake import Lake
 
@@ -57,30 +58,52 @@ def answer_questions(spark: SparkSession, lake: Lake, silver_format: str = "parq
 def route_batch(
     records: DataFrame,
     lake: Lake,
-    batch: str,
+    batch: str | None = None,
     processed_at: datetime | None = None,
     limits: Thresholds = DEFAULT_THRESHOLDS,
 ) -> dict[str, int]:
-    """Write a batch of transport records to bronze, and to silver or quarantine.
+    """Write a batch of transport records to bronze, and to silver or quarantine, and its metrics.
 
-    Payloads are parsed once: the classified batch is kept for the three writes, on disk where
-    memory does not suffice. A repeated batch replaces what its first attempt wrote.
+    Payloads are parsed once: the classified batch is kept for the writes, on disk where memory does not
+    suffice. A batch is named by its content unless a name is given; a repeated batch replaces what its
+    first attempt wrote.
     """
     processed = instant(processed_at or datetime.now(timezone.utc))
     classified = quality.classify(quality.with_arrival(quality.to_envelope(records))).persist()
     try:
         counts = quality.route_counts(classified, limits).first().asDict()
         if counts["received"]:
+            batch = batch or tables.batch_name(classified, "sequence_number")
             bronze = classified.select(*quality.ENVELOPE_COLUMNS, *quality.PARTITIONS)
             silver = enrich.to_silver(classified.drop(*quality.PARTITIONS), processed, limits)
+            metrics = monitor.metrics_per_minute(monitor.measured(classified, processed, limits))
             tables.write_batch(bronze, lake.bronze, batch, "json")
             tables.write_batch(quality.rejected(classified), lake.quarantine, batch, "json")
             tables.write_batch(silver, lake.silver, batch, "parquet")
+            hour = hour_partition(F.col("minute").cast("timestamp"))
+            tables.write_batch(metrics.withColumns(hour), lake.metrics, batch, "parquet")
         return {name: counts[name] for name in ("valid", "invalid", "abnormal")}
     finally:
         classified.unpersist()
 
 
+def refresh_alarms(spark: SparkSession, lake: Lake) -> list[dict]:
+    """States of both alarms in every minute, from the stored metrics; returns their changes, in order."""
+    stored = tables.read_table(spark, lake.metrics, METRICS)
+    minutes = stored.groupBy("minute").agg(
+        F.sum("abnormal_heart_rate").alias("abnormal_heart_rate"), F.max("max_lag_ms").alias("max_lag_ms")
+    )
+    states = monitor.both_alarms(minutes)
+    states.write.mode("overwrite").partitionBy("alarm").parquet(lake.alarms)
+    written = spark.read.schema(states.schema).parquet(lake.alarms)
+    changes = [
+        monitor.alarm_transitions(written.where(F.col("alarm") == name)).withColumn("alarm", F.lit(name))
+        for name in monitor.ALARMS
+    ]
+    both = changes[0].unionByName(changes[1])
+    return [row.asDict() for row in both.orderBy("minute", "alarm").collect()]
+
+
 def rebuild_gold(silver: DataFrame, lake: Lake, aggregated_at: datetime) -> None:
     """Aggregate the given silver hours and replace their gold partitions."""
     tables.overwrite_hours(gold.gold_hourly(silver, instant(aggregated_at)), lake.gold)
@@ -96,7 +119,10 @@ def refresh_gold(
 ) -> list[dict]:
     """Rebuild the requested gold hours in one job, and report devices and events per hour."""
     now = now or datetime.now(timezone.utc)
-    hours: Sequence[lineage.Hour] = lineage.hours_to_process(now, hours_back, dt, hour)
+    hours: Sequence[lineage.Hour] = (
+        lineage.recent_hours(now, hours_back) if dt is None or hour is None else lineage.one_hour(dt, hour)
+    )
+    size_shuffles(spark, tables.bytes_of_hours(spark, lake.silver, hours))
     rebuild_gold(tables.read_hours(spark, lake.silver, SILVER, hours), lake, now)
     # An hour without silver rows writes nothing, so older gold of that hour is not this run's.
     written = tables.read_hours(spark, lake.gold, GOLD, hours).where(
@@ -107,7 +133,10 @@ def refresh_gold(
 
 
 def expire(spark: SparkSession, lake: Lake, today: datetime, days: int = 30) -> dict[str, list[str]]:
-    """Drop partitions older than the retention from the four event tables."""
+    """Drop partitions older than the retention from the event tables and their metrics."""
     cutoff = (today - timedelta(days=days)).date().isoformat()
-    paths = {"bronze": lake.bronze, "silver": lake.silver, "quarantine": lake.quarantine, "gold": lake.gold}
+    paths = {
+        "bronze": lake.bronze, "silver": lake.silver, "quarantine": lake.quarantine, "gold": lake.gold,
+        "metrics": lake.metrics,
+    }
     return {name: tables.expire_partitions(spark, path, cutoff) for name, path in paths.items()}

@@ -11,6 +11,7 @@ from ..functions.clock import hour_partition, to_stored
 from ..functions.health import heart_rate_zone, spo2_status
 from ..operators import alerts, analysis, enrich, gold, lineage, monitor, quality, readings, serving
 from ..sources import derived
+from ..sources.lake import read_table
 from .fixed import (
     AS_OF,
     CUSTOM_THRESHOLDS,
@@ -21,7 +22,7 @@ from .fixed import (
     VERSION_CHANGE,
     processed_at,
 )
-from .streamed import stream_alerts, stream_gold, stream_metrics, stream_route
+from .streamed import new_folder, stream_alerts, stream_gold, stream_metrics, stream_route
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,8 +62,15 @@ def _timed(spark: SparkSession, sf: str) -> DataFrame:
     return monitor.timed(derived.raw_events(spark, sf), derived.processed_at())
 
 
-def _abnormal_states(spark: SparkSession, sf: str) -> DataFrame:
-    return monitor.alarm_abnormal_hr(_measured(spark, sf), monitor.minute_spine(_timed(spark, sf)))
+def _written(rows: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in the shared folder, so that what reads it several times computes it once."""
+    path = new_folder(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return read_table(rows.sparkSession, path, rows.schema)
+
+
+def _minutes(spark: SparkSession, sf: str) -> DataFrame:
+    return _written(monitor.minutes_of(_measured(spark, sf)), "minutes")
 
 
 # --- reading messages -----------------------------------------------------------------------------
@@ -252,13 +260,13 @@ def batch_lineage(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def hours_to_process(spark: SparkSession, sf: str) -> DataFrame:
-    hours = lineage.hours_to_process(NOW, hours_back=lineage.MAX_HOURS_BACK)
+    hours = lineage.recent_hours(NOW, 168)
     selected = _silver(spark, sf).where(lineage.in_hours(hours))
     return selected.groupBy("dt", "hour").agg(F.count("*").alias("events"))
 
 
 def gold_run_report(spark: SparkSession, sf: str) -> DataFrame:
-    hours = lineage.hours_to_process(NOW, hours_back=lineage.MAX_HOURS_BACK)
+    hours = lineage.recent_hours(NOW, 168)
     return lineage.run_report(_gold(spark, sf), hours)
 
 
@@ -309,7 +317,8 @@ def needs_attention(spark: SparkSession, sf: str) -> DataFrame:
 
 def metrics_per_minute(spark: SparkSession, sf: str) -> DataFrame:
     metrics = monitor.metrics_per_minute(_measured(spark, sf))
-    return metrics.withColumn("latencies", F.array_join(F.col("latencies").cast("array<string>"), ","))
+    each = F.transform("latencies", lambda x: F.concat_ws("x", x["latency_ms"], x["n"]))
+    return metrics.withColumn("latencies", F.nullif(F.array_join(each, ","), F.lit("")))
 
 
 def latency_percentiles(spark: SparkSession, sf: str) -> DataFrame:
@@ -321,19 +330,19 @@ def throughput_per_minute(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def alarm_abnormal_hr(spark: SparkSession, sf: str) -> DataFrame:
-    return _abnormal_states(spark, sf).select("minute", "state")
+    return monitor.alarm_abnormal_hr(_minutes(spark, sf)).select("minute", "state")
 
 
 def alarm_lagging(spark: SparkSession, sf: str) -> DataFrame:
-    return monitor.alarm_lagging(_timed(spark, sf))
+    return monitor.alarm_lagging(_written(monitor.lags_of(_timed(spark, sf)), "lags"))
 
 
 def alarm_transitions(spark: SparkSession, sf: str) -> DataFrame:
+    minutes = _minutes(spark, sf)
     changes = [
         monitor.alarm_transitions(states).withColumn("alarm", F.lit(name))
-        for name, states in (
-            ("abnormal_heart_rate", _abnormal_states(spark, sf)),
-            ("lagging", monitor.alarm_lagging(_timed(spark, sf))),
+        for name, states in zip(
+            monitor.ALARMS, (monitor.alarm_abnormal_hr(minutes), monitor.alarm_lagging(minutes)), strict=True
         )
     ]
     return changes[0].unionByName(changes[1])

@@ -10,26 +10,23 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import alerts, enrich, quality
+from ..operators import alerts, quality
 from ..schemas import BRONZE, PARTITIONS, QUARANTINE, SILVER
-from ..session import checkpoint_root, configure
+from ..session import configure, scratch_root
 from ..sources import derived, lake, streams
 from ..sources.lake import Lake
 from ..streaming import aggregates, ingest
-from .fixed import processed_at
+from .fixed import PROCESSED, processed_at
 
 
-def _new_folder(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_root(configure(spark))}/queries/{name}-{uuid.uuid4().hex}"
+def new_folder(spark: SparkSession, name: str) -> str:
+    return f"{scratch_root(configure(spark))}/queries/{name}-{uuid.uuid4().hex}"
 
 
 def _written_by(stream: DataFrame, name: str) -> DataFrame:
     """Run a stream to its end into Parquet files and read them."""
-    folder = _new_folder(stream.sparkSession, name)
-    query = streams.start(
-        stream, name, "parquet", f"{folder}/out", checkpoint=f"{folder}/checkpoint"
-    )
-    query.awaitTermination()
+    folder = new_folder(stream.sparkSession, name)
+    streams.start(stream, name, "parquet", folder, f"{folder}/out").awaitTermination()
     return lake.read_table(stream.sparkSession, f"{folder}/out", stream.schema)
 
 
@@ -39,23 +36,23 @@ def stream_alerts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_gold(spark: SparkSession, sf: str) -> DataFrame:
-    """Event-time gold: all hours the watermark has passed."""
-    classified = quality.classify(derived.raw_events(spark, sf, stream=True))
-    silver = enrich.to_silver(classified, processed_at())
-    return _written_by(aggregates.windowed_gold(silver, processed_at()), "stream-gold")
+    """Gold kept up to date by streams, however events are dealt into micro-batches."""
+    tables = Lake(new_folder(spark, "stream-gold"))
+    _routed(spark, sf, tables)
+    silver = streams.silver_stream(spark, tables.silver)
+    aggregates.refresh_touched_hours(silver, tables, PROCESSED).awaitTermination()
+    return lake.read_gold(spark, tables)
 
 
 def stream_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """Metrics of all minutes the watermark has passed."""
     classified = quality.classify(derived.raw_events(spark, sf, stream=True))
     timed = classified.withColumn("processed_ts", derived.processed_at())
-    metrics = _written_by(aggregates.windowed_metrics(timed), "stream-metrics")
-    return metrics.drop("p50_ms", "p99_ms")
+    return aggregates.minute_metrics(_written_by(aggregates.windowed_metrics(timed), "stream-metrics"))
 
 
-def stream_route(spark: SparkSession, sf: str) -> DataFrame:
-    """Records per table and hour after the bronze, silver and quarantine streams."""
-    tables = Lake(_new_folder(spark, "stream-route"))
+def _routed(spark: SparkSession, sf: str, tables: Lake) -> None:
+    """All records in bronze, silver and quarantine, by one stream each."""
     ingest.events_to_bronze(derived.transport_records(spark, sf, stream=True), tables).awaitTermination()
     bronze = streams.bronze_stream(spark, tables.bronze)
     for query in (
@@ -63,15 +60,23 @@ def stream_route(spark: SparkSession, sf: str) -> DataFrame:
         ingest.bronze_to_quarantine(bronze, tables),
     ):
         query.awaitTermination()
-    counts = [
-        lake.read_table(spark, path, schema, file_format)
-        .groupBy(*PARTITIONS)
-        .agg(F.count("*").alias("records"))
-        .select(F.lit(layer).alias("layer"), *PARTITIONS, "records")
-        for layer, path, schema, file_format in (
-            ("bronze", tables.bronze, BRONZE, "json"),
-            ("silver", tables.silver, SILVER, "parquet"),
-            ("quarantine", tables.quarantine, QUARANTINE, "json"),
+
+
+def stream_route(spark: SparkSession, sf: str) -> DataFrame:
+    """What the three tables hold after their streams: every record, by table, hour and content."""
+    tables = Lake(new_folder(spark, "stream-route"))
+    _routed(spark, sf, tables)
+    contents = [
+        lake.read_table(spark, path, schema, file_format).select(
+            F.lit(layer).alias("layer"), *PARTITIONS, F.col(sequence).alias("sequence_number"), content.alias("content")
+        )
+        for layer, path, schema, file_format, sequence, content in (
+            ("bronze", tables.bronze, BRONZE, "json", "sequence_number", F.col("payload")),
+            (
+                "silver", tables.silver, SILVER, "parquet", "kinesis_sequence_number",
+                F.concat_ws("|", "event_id", "device_id", "heart_rate", "steps", "battery", "heart_rate_zone"),
+            ),
+            ("quarantine", tables.quarantine, QUARANTINE, "json", "sequence_number", F.array_join("errors", "; ")),
         )
-    ]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    ]
+    return contents[0].unionByName(contents[1]).unionByName(contents[2])

@@ -89,6 +89,17 @@ GOLD = _schema(
     **_PARTITION,
 )
 
+# Metrics of one batch; a minute may be in several.
+METRICS = _schema(
+    minute=TIMESTAMP,
+    valid_events=BIGINT,
+    invalid_events=BIGINT,
+    abnormal_heart_rate=BIGINT,
+    max_lag_ms=BIGINT,
+    latencies=ArrayType(_schema(latency_ms=BIGINT, n=BIGINT)),
+    **_PARTITION,
+)
+
 ENVELOPE_COLUMNS = list(_ENVELOPE)
 SILVER_COLUMNS = SILVER.fieldNames()
 GOLD_COLUMNS = GOLD.fieldNames()

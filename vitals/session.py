@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import tempfile
-from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -30,6 +28,7 @@ BUILD_CONF = {
 
 
 _INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+_USER_SIZED = "vitals.shuffle.sized.by.user"
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -37,24 +36,9 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
-    _size_shuffles(spark)
     return spark
 
 
-def _size_shuffles(spark: SparkSession) -> None:
-    """Start shuffles on a cluster with enough partitions for all its cores.
-
-    Adaptive execution merges partitions that turn out small, but does not split an aggregation's
-    that turn out large. A number set by the user is left alone.
-    """
-    context = spark.sparkContext
-    if context.master.startswith("local") or spark.conf.get(_INITIAL_PARTITIONS, None):
-        return
-    enough = 3 * context.defaultParallelism
-    if enough > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set(_INITIAL_PARTITIONS, str(enough))
-
-
 def build_session(app_name: str = "vitals", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -64,22 +48,30 @@ def build_session(app_name: str = "vitals", master: str | None = None, **conf: s
     return configure(builder.getOrCreate())
 
 
-@cache
-def _scratch_checkpoints() -> str:
-    return tempfile.mkdtemp(prefix="vitals-checkpoint-")
-
+def scratch_root(spark: SparkSession) -> str:
+    """The shared folder named by the cluster, for results that jobs run as queries leave behind.
 
-def checkpoint_root(spark: SparkSession) -> str:
-    """Shared checkpoint folder named by the cluster; a scratch one only in local mode without any."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder all executors share")
-    return _scratch_checkpoints()
+    Without one, as in tests, it is the session's warehouse folder, which executors share too.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return root.rstrip("/")
 
 
-def checkpoint_for(spark: SparkSession, stream: str, target: str) -> str:
-    """Checkpoint of one stream into one target; the same stream into another target has its own."""
+def checkpoint_for(lake_root: str, stream: str, target: str) -> str:
+    """Checkpoint of one stream into one target, below the lake, where a restarted job finds it again."""
     digest = hashlib.sha256(target.encode()).hexdigest()[:16]
-    return f"{checkpoint_root(spark)}/{stream}-{digest}"
+    return f"{lake_root.rstrip('/')}/_checkpoints/{stream}-{digest}"
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int, target_bytes: int = 128 << 20) -> int:
+    """Start the shuffles of a job with a partition for every ``target_bytes`` of its input.
+
+    Adaptive execution merges partitions that turn out small, but does not split an aggregation's that
+    turn out large. A number set by the user is left alone.
+    """
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if spark.conf.get(_USER_SIZED, None) is None:
+        spark.conf.set(_USER_SIZED, str(spark.conf.get(_INITIAL_PARTITIONS, None) is not None).lower())
+    if spark.conf.get(_USER_SIZED) == "false":
+        spark.conf.set(_INITIAL_PARTITIONS, str(max(configured, -(-input_bytes // target_bytes))))
+    return int(spark.conf.get(_INITIAL_PARTITIONS))

@@ -14,35 +14,18 @@ from .lake import is_folder
 
 
 def _events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
+    """The events, in a stream with at most one file in a micro-batch, so that it is paced by files."""
     path = f"{sf_dir}/events.parquet"
     table = configure(spark).read.parquet(path)
     if not stream:
         return table
-    reader = spark.readStream.schema(table.schema)
+    reader = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1)
     if is_folder(spark, path):
         return reader.parquet(path)
     # A stream follows a folder; of this one, only the table's file.
     return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
-_SMALL_SPLITS = 32  # splits are 128 MB at most, so this bounds what is moved
-
-
-def _spread(events: DataFrame) -> DataFrame:
-    """Share a small table among all cores, where its scan would keep most of them idle.
-
-    Parsing documents is worth a shuffle of little data. The scan of a large table has splits enough
-    and is left as it is.
-    """
-    if events.isStreaming:
-        return events
-    cores = events.sparkSession.sparkContext.defaultParallelism
-    splits = events.rdd.getNumPartitions()
-    if splits > _SMALL_SPLITS or splits * 4 > cores:
-        return events
-    return events.repartition(cores, "event_id")
-
-
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Six-field readings."""
     return _events(spark, sf_dir).select(
@@ -57,7 +40,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reading_messages(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     """The readings as JSON messages. Error events are garbled, incomplete or mistyped."""
-    return _spread(_events(spark, sf_dir, stream)).select(
+    return _events(spark, sf_dir, stream).select(
         F.expr(
             """CASE WHEN event_type = 'error' AND event_id % 4 = 0 THEN concat('{"device_id":', event_id, ' oops')
             ELSE concat('{"device_id":"', format_string('device_%03d', user_id),
@@ -78,7 +61,7 @@ def raw_events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFr
     Error events are corrupted in one of five ways, every 50th event is delivered twice, every
     7th arrives three hours late.
     """
-    base = _spread(_events(spark, sf_dir, stream)).select(
+    base = _events(spark, sf_dir, stream).select(
         "event_id",
         F.col("ts").cast("timestamp").alias("ts"),
         F.expr("event_type = 'error'").alias("bad"),
@@ -92,10 +75,10 @@ def raw_events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFr
         F.expr("CASE WHEN event_id % 7 = 0 THEN INTERVAL 3 HOURS ELSE INTERVAL 2 SECONDS END").alias("delay"),
     )
     payload = F.expr(
-        """CASE WHEN bad AND kind = 4 THEN concat('not-json{', event_id)
+        """CASE WHEN bad AND kind = 4 THEN concat('<binary ', event_id)
         ELSE concat('{"event_id":"evt-', event_id, '","device_id":"', dev, '","timestamp":"',
-          CASE WHEN bad AND kind = 2 THEN 'yesterday-ish' ELSE date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'") END,
-          '","heart_rate":', CASE WHEN bad AND kind = 1 THEN 400 ELSE hr END,
+          CASE WHEN bad AND kind = 2 THEN 'half past nine' ELSE date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'") END,
+          '","heart_rate":', CASE WHEN bad AND kind = 1 THEN 999 ELSE hr END,
           ',"steps":', CASE WHEN bad AND kind = 3 THEN -k - 1 ELSE k END,
           ',"spo2":', milli DIV 1000, '.', lpad(CAST(milli % 1000 AS STRING), 3, '0'),
           CASE WHEN bad AND kind = 0 THEN '' ELSE concat(',"battery":', bat) END, '}') END"""
@@ -128,7 +111,7 @@ def transport_records(spark: SparkSession, sf_dir: str, stream: bool = False) ->
 
 def timestamp_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event times in every notation: ISO with Z, zone-less, with offset, epoch s and ms, and none."""
-    return _spread(_events(spark, sf_dir)).select(
+    return _events(spark, sf_dir).select(
         "event_id",
         F.expr(
             """concat('{"timestamp":', CASE event_id % 7
@@ -138,7 +121,7 @@ def timestamp_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
               WHEN 3 THEN date_format(ts, "'\\"'yyyyMMdd'T'HHmmss'\\"'")
               WHEN 4 THEN CAST(unix_seconds(CAST(ts AS TIMESTAMP)) AS STRING)
               WHEN 5 THEN CAST(unix_millis(CAST(ts AS TIMESTAMP)) AS STRING)
-              ELSE '"yesterday-ish"' END, '}')"""
+              ELSE '"half past nine"' END, '}')"""
         ).alias("payload"),
     )
 

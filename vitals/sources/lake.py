@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -9,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.lineage import MAX_HOURS_BACK, Hour, few_hours, in_hours
+from ..functions.clock import stream_order
+from ..operators.lineage import Hour
 from ..operators.serving import with_calendar
 from ..schemas import ANSWER, BRONZE, GOLD, PARTITIONS, QUARANTINE, READING, READING_GOLD, SILVER
 from ..session import configure
@@ -39,6 +41,14 @@ class Lake:
     def quarantine(self) -> str:
         return self.path("quarantine/events")
 
+    @property
+    def metrics(self) -> str:
+        return self.path("metrics/minutes")
+
+    @property
+    def alarms(self) -> str:
+        return self.path("metrics/alarms")
+
     @property
     def gold(self) -> str:
         return self.path("gold/device_hourly")
@@ -92,13 +102,7 @@ def read_table(
 def read_hours(
     spark: SparkSession, path: str, schema: StructType, hours: Sequence[Hour]
 ) -> DataFrame:
-    """Some hour partitions of a Parquet table, listing no other folder of it.
-
-    A table written by a file stream is read through the log of its root instead, which tells
-    committed files from those of failed attempts.
-    """
-    if path_exists(spark, f"{path}/_spark_metadata"):
-        return read_table(spark, path, schema).where(in_hours(hours))
+    """Some hour partitions of a Parquet table, listing no other folder of it."""
     folders = [f"{path}/dt={dt}/hour={hour}" for dt, hour in dict.fromkeys(hours)]
     folders = [folder for folder in folders if path_exists(spark, folder)]
     if not folders:
@@ -107,19 +111,25 @@ def read_hours(
     return reader.parquet(*folders).select(schema.fieldNames())
 
 
-def read_touched(
-    spark: SparkSession, path: str, schema: StructType, touched: DataFrame, limit: int = MAX_HOURS_BACK
-) -> DataFrame:
-    """The partitions named by a frame of (dt, hour).
+def bytes_of_hours(spark: SparkSession, path: str, hours: Sequence[Hour]) -> int:
+    """Size of the files of some hour partitions."""
+    total = 0
+    for dt, hour in dict.fromkeys(hours):
+        files, folder = _hadoop(spark, f"{path}/dt={dt}/hour={hour}")
+        if files.exists(folder):
+            total += files.getContentSummary(folder).getLength()
+    return total
+
+
+def read_touched(spark: SparkSession, path: str, schema: StructType, touched: DataFrame) -> DataFrame:
+    """The partitions named by a frame of (dt, hour), however many they are.
 
-    Few are read directly. Beyond the limit, late data having touched very many, the frame is joined
-    instead of being collected.
+    Their days, a few thousand at most in any year of data, prune the scan; the hours are joined.
     """
-    hours = few_hours(touched, limit)
-    if hours is not None:
-        return read_hours(spark, path, schema, hours)
-    table = read_table(spark, path, schema)
-    return table.join(touched.distinct(), PARTITIONS, "left_semi").select(schema.fieldNames())
+    hours = touched.select(*PARTITIONS).distinct()
+    days = [row.dt for row in hours.select("dt").distinct().collect()]
+    table = read_table(spark, path, schema).where(F.col("dt").isin(days))
+    return table.join(hours, PARTITIONS, "left_semi").select(schema.fieldNames())
 
 
 def read_bronze(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -148,9 +158,17 @@ def load_dashboard(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_answers(spark: SparkSession, path: str) -> DataFrame:
-    """Answers from all files; a line must have both fields."""
-    rows = read_table(spark, path, ANSWER, "json")
-    return rows.where(F.col("question").isNotNull() & F.col("answer").isNotNull())
+    """Answers from all files in which both fields are named; a line's field may be null."""
+    if not path_exists(spark, path):
+        return configure(spark).createDataFrame([], ANSWER)
+    lines = configure(spark).read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.from_json("value", ANSWER).alias("row"),
+        F.json_object_keys("value").alias("fields"),
+    ).where("fields IS NOT NULL")
+    names = [F.bool_or(F.array_contains("fields", name)).alias(name) for name in ANSWER.fieldNames()]
+    named = lines.groupBy("file").agg(*names).where(" AND ".join(ANSWER.fieldNames()))
+    return lines.join(named, "file", "left_semi").select("row.*")
 
 
 # Table names queries refer to.
@@ -202,6 +220,34 @@ def write_batch(rows: DataFrame, path: str, batch: str, file_format: str) -> Non
     )
 
 
+def batch_name(rows: DataFrame, sequence: str) -> str | None:
+    """A name that follows from a batch's records: their number, first and last sequence numbers, and a
+    hash of all. None for an empty batch."""
+    order = F.struct(*stream_order(F.col(sequence)))
+    found = rows.agg(
+        F.count("*").alias("n"),
+        F.min_by(sequence, order).alias("first"),
+        F.max_by(sequence, order).alias("last"),
+        F.bit_xor(F.xxhash64(sequence)).alias("hash"),
+    ).first()
+    if not found["n"]:
+        return None
+    text = "-".join(str(found[c]) for c in ("first", "last", "n", "hash"))
+    return hashlib.sha256(text.encode()).hexdigest()[:24]
+
+
+def write_named(rows: DataFrame, path: str, batch: str, file_format: str) -> None:
+    """Add a batch to a table without hours; writing the same batch again replaces what it wrote."""
+    (
+        rows.withColumn(BATCH, F.lit(batch))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(BATCH)
+        .format(file_format)
+        .save(path)
+    )
+
+
 def expire_partitions(spark: SparkSession, path: str, cutoff: str) -> list[str]:
     """Delete the day folders before ``cutoff`` ('yyyy-MM-dd'); no data is read or rewritten."""
     if not path_exists(spark, path):

@@ -36,6 +36,7 @@ def kafka_messages(
         .option("startingOffsets", starting)
         .options(**options)
     )
+    # Pace a backlog with ``maxOffsetsPerTrigger`` among the options.
     if group:
         reader = reader.option("kafka.group.id", group)
     return reader.load().select(
@@ -67,29 +68,42 @@ def silver_stream(spark: SparkSession, path: str, **options: str) -> DataFrame:
     return rows.select(SILVER.fieldNames())
 
 
+def topic_records(spark: SparkSession, servers: str, topic: str, starting: str = "earliest", **options: str) -> DataFrame:
+    """Events of a topic as transport records; partition and offset stand for shard and sequence number.
+
+    The connector is absent here, so this source is untested.
+    """
+    reader = configure(spark).readStream.format("kafka").option("kafka.bootstrap.servers", servers)
+    rows = reader.option("subscribe", topic).option("startingOffsets", starting).options(**options).load()
+    offset = F.format_string("%d%019d", F.col("partition") + 1, "offset")
+    return rows.select(
+        F.concat_ws(":", F.col("partition").cast("string"), offset).alias("eventID"),
+        F.base64("value").alias("data"),
+        offset.alias("sequenceNumber"),
+        F.col("key").cast("string").alias("partitionKey"),
+        (F.unix_micros("timestamp") / 1_000_000).alias("approximateArrivalTimestamp"),
+    )
+
+
 def start(
     frame: DataFrame,
     name: str,
     sink_format: str,
+    checkpoint_root: str,
     path: str | None = None,
-    partition_by: Iterable[str] = (),
     trigger: Mapping[str, object] = UNTIL_CAUGHT_UP,
-    checkpoint: str | None = None,
     **options: str,
 ) -> StreamingQuery:
-    """Append a stream to a sink. Its checkpoint lies in the cluster's shared folder unless given."""
+    """Append a stream to a sink of its own, such as a topic or a folder that no other job writes."""
     target = path or f"{sink_format} {sorted(options.items())}"
-    checkpoint = checkpoint or checkpoint_for(frame.sparkSession, name, target)
     writer = (
         frame.writeStream.queryName(name)
         .format(sink_format)
         .outputMode("append")
-        .option("checkpointLocation", checkpoint)
+        .option("checkpointLocation", checkpoint_for(checkpoint_root, name, target))
         .options(**options)
         .trigger(**trigger)
     )
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
     return writer.start(path) if path else writer.start()
 
 
@@ -97,6 +111,7 @@ def start_batches(
     frame: DataFrame,
     name: str,
     write: Callable[[DataFrame, int], None],
+    checkpoint_root: str,
     target: str,
     trigger: Mapping[str, object] = UNTIL_CAUGHT_UP,
 ) -> StreamingQuery:
@@ -104,7 +119,7 @@ def start_batches(
     return (
         frame.writeStream.queryName(name)
         .foreachBatch(write)
-        .option("checkpointLocation", checkpoint_for(frame.sparkSession, name, target))
+        .option("checkpointLocation", checkpoint_for(checkpoint_root, name, target))
         .trigger(**trigger)
         .start()
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -34,7 +34,7 @@ def refresh_touched_hours(
         touched = read_touched(batch.sparkSession, lake.silver, SILVER, batch.select(*PARTITIONS))
         rebuild_gold(touched, lake, aggregated_at or datetime.now(timezone.utc))
 
-    return start_batches(silver, "gold-refresh", rebuild, lake.root, trigger)
+    return start_batches(silver, "gold-refresh", rebuild, lake.root, lake.gold, trigger)
 
 
 def windowed_gold(silver: DataFrame, aggregated_at: Column, lateness: str = LATENESS) -> DataFrame:
@@ -65,29 +65,44 @@ def windowed_metrics(
     lateness: str = "1 minute",
     limits: Thresholds = DEFAULT_THRESHOLDS,
 ) -> DataFrame:
-    """Counts, latency percentiles and worst lag per minute of processing, as a stream."""
+    """How often each outcome and latency occurred per minute of processing, with the worst lag, as a stream.
+
+    ``minute_metrics`` makes a row per minute of what it wrote, with exact percentiles.
+    """
     valid = is_valid()
     processed = F.col(processed_at)
     latency = F.when(valid, latency_ms(processed, F.col("event_time")))
     lag = F.floor((F.unix_micros(processed) - F.unix_micros("arrival_ts")) / 1000)
-    percentiles = F.percentile_approx(latency, [0.5, 0.99], 10_000)
+    abnormal = valid & is_abnormal(F.col("heart_rate"), limits)
     return (
         classified.withWatermark(processed_at, lateness)
-        .groupBy(F.window(processed_at, "1 minute"))
-        .agg(
-            F.count_if(valid).alias("valid_events"),
-            F.count_if(~valid).alias("invalid_events"),
-            F.count_if(valid & is_abnormal(F.col("heart_rate"), limits)).alias("abnormal_heart_rate"),
-            percentiles.alias("p"),
-            F.max(lag).alias("max_lag_ms"),
+        .groupBy(
+            F.window(processed_at, "1 minute"), valid.alias("is_valid"), abnormal.alias("is_abnormal_hr"),
+            latency.alias("latency_ms"),
         )
+        .agg(F.count("*").alias("n"), F.max(lag).alias("lag_ms"))
         .select(
             F.col("window.start").cast("timestamp_ntz").alias("minute"),
-            "valid_events",
-            "invalid_events",
-            "abnormal_heart_rate",
-            F.col("p")[0].alias("p50_ms"),
-            F.col("p")[1].alias("p99_ms"),
-            "max_lag_ms",
+            "is_valid", "is_abnormal_hr", "latency_ms", "n", "lag_ms",
         )
+    )
+
+
+def minute_metrics(counts: DataFrame) -> DataFrame:
+    """Counts, exact latency percentiles and worst lag per minute, from the counts of ``windowed_metrics``."""
+    upwards = Window.partitionBy("minute").orderBy("latency_ms")
+    valid = (
+        counts.where("is_valid").groupBy("minute", "latency_ms").agg(F.sum("n").alias("n"))
+        .withColumn("below", F.sum("n").over(upwards))
+        .withColumn("total", F.sum("n").over(Window.partitionBy("minute")))
+    )
+    least = lambda percent: F.min(F.when(F.col("below") * 100 >= F.col("total") * percent, F.col("latency_ms")))
+    percentiles = valid.groupBy("minute").agg(least(50).alias("p50_ms"), least(99).alias("p99_ms"))
+    counted = lambda which: F.coalesce(F.sum(F.when(which, F.col("n"))), F.lit(0))
+    totals = counts.groupBy("minute").agg(
+        counted(F.col("is_valid")).alias("valid_events"),
+        counted(~F.col("is_valid")).alias("invalid_events"),
+        counted(F.col("is_abnormal_hr")).alias("abnormal_heart_rate"),
+        F.max("lag_ms").alias("max_lag_ms"),
     )
+    return totals.join(percentiles, "minute", "left")

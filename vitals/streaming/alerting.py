@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import alerts, readings
+from ..sources.lake import Lake
 from ..sources.streams import UNTIL_CAUGHT_UP, start
 
 
 def publish_alerts(
     messages: DataFrame,
+    lake: Lake,
     path: str | None = None,
     sink_format: str = "json",
     trigger: Mapping = UNTIL_CAUGHT_UP,
@@ -20,20 +22,20 @@ def publish_alerts(
 ) -> StreamingQuery:
     """Republish critical messages unchanged, keyed by device, to files or a topic."""
     critical = alerts.critical_alerts(messages)
-    return start(critical, "critical-alerts", sink_format, path, trigger=trigger, **options)
+    return start(critical, "critical-alerts", sink_format, lake.root, path, trigger, **options)
 
 
 def report_malformed(
-    messages: DataFrame, path: str, trigger: Mapping = UNTIL_CAUGHT_UP
+    messages: DataFrame, lake: Lake, path: str, trigger: Mapping = UNTIL_CAUGHT_UP
 ) -> StreamingQuery:
     """Messages the alert stream skips, kept as they came."""
     malformed = readings.malformed_readings(messages).select("json")
-    return start(malformed, "malformed-messages", "json", path, trigger=trigger)
+    return start(malformed, "malformed-messages", "json", lake.root, path, trigger)
 
 
 def render_notifications(
-    alert_messages: DataFrame, path: str, sender: str = "vitals", trigger: Mapping = UNTIL_CAUGHT_UP
+    alert_messages: DataFrame, lake: Lake, path: str, sender: str = "vitals", trigger: Mapping = UNTIL_CAUGHT_UP
 ) -> StreamingQuery:
     """Subject and body of the notification for each alert message."""
     rendered = alerts.notifications(readings.parse_readings(alert_messages), sender)
-    return start(rendered, "alert-notifications", "json", path, trigger=trigger)
+    return start(rendered, "alert-notifications", "json", lake.root, path, trigger)

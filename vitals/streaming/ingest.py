@@ -17,23 +17,45 @@ from ..functions.health import DEFAULT_THRESHOLDS, Thresholds
 from ..operators import enrich, quality, readings
 from ..plans.jobs import route_batch
 from ..schemas import PARTITIONS
-from ..sources.lake import Lake, by_hour
-from ..sources.streams import UNTIL_CAUGHT_UP, start, start_batches
+from ..sources import lake as tables
+from ..sources.lake import Lake
+from ..sources.streams import UNTIL_CAUGHT_UP, start_batches
 
 
 def readings_to_bronze(
     messages: DataFrame, lake: Lake, trigger: Mapping = UNTIL_CAUGHT_UP
 ) -> StreamingQuery:
-    """Reading messages, leniently parsed, to JSON files."""
-    parsed = readings.lenient_readings(messages)
-    return start(parsed, "readings-bronze", "json", lake.readings_bronze, trigger=trigger)
+    """Reading messages, leniently parsed, to JSON files, partitioned by day; only this job writes there."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        tables.write_named(readings.lenient_readings(batch), lake.readings_bronze, f"{batch_id:012d}", "json")
+
+    return start_batches(messages, "readings-bronze", write, lake.root, lake.readings_bronze, trigger)
+
+
+def _to_table(
+    name: str, rows: DataFrame, lake: Lake, path: str, file_format: str, sequence: str, trigger: Mapping
+) -> StreamingQuery:
+    """A stream into a table that batch jobs and other streams write too.
+
+    All of them add batches named by their content, so a batch written again, by whichever job, replaces
+    itself, and readers see the folders as they are. There is no log that expiry or another writer could
+    contradict.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        named = tables.batch_name(batch, sequence)
+        if named:
+            tables.write_batch(batch, path, named, file_format)
+
+    return start_batches(rows, name, write, lake.root, path, trigger)
 
 
 def events_to_bronze(
     records: DataFrame, lake: Lake, trigger: Mapping = UNTIL_CAUGHT_UP
 ) -> StreamingQuery:
     envelope = quality.to_envelope(records)
-    return start(by_hour(envelope), "events-bronze", "json", lake.bronze, PARTITIONS, trigger)
+    return _to_table("events-bronze", envelope, lake, lake.bronze, "json", "sequence_number", trigger)
 
 
 def _classified(bronze: DataFrame) -> DataFrame:
@@ -50,7 +72,7 @@ def bronze_to_silver(
     """Valid events, enriched, to Parquet partitioned by event hour."""
     processed = F.current_timestamp() if processed_at is None else processed_at
     silver = enrich.to_silver(_classified(bronze.drop(*PARTITIONS)), processed, limits)
-    return start(by_hour(silver), "events-silver", "parquet", lake.silver, PARTITIONS, trigger)
+    return _to_table("events-silver", silver, lake, lake.silver, "parquet", "kinesis_sequence_number", trigger)
 
 
 def bronze_to_quarantine(
@@ -58,7 +80,7 @@ def bronze_to_quarantine(
 ) -> StreamingQuery:
     """Rejected envelopes with their reasons, partitioned by arrival hour like bronze."""
     rejected = quality.rejected(_classified(bronze))
-    return start(by_hour(rejected), "events-quarantine", "json", lake.quarantine, PARTITIONS, trigger)
+    return _to_table("events-quarantine", rejected, lake, lake.quarantine, "json", "sequence_number", trigger)
 
 
 def route_events(
@@ -71,6 +93,6 @@ def route_events(
     """All three tables from one stream, parsing each payload once; replayed batches replace themselves."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        route_batch(batch, lake, f"{batch_id:012d}", processed_at, limits)
+        route_batch(batch, lake, None, processed_at, limits)
 
-    return start_batches(records, "events-route", write, lake.root, trigger)
+    return start_batches(records, "events-route", write, lake.root, lake.root, trigger)
