@@ -30,7 +30,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(_documents(spark, sf_dir))
+    mixed = mixing.mix(_documents(spark, sf_dir))
+    return mixed.select(
+        "doc_id", "size", "source_size", "target", "taken",
+        F.get("positions", F.lit(0)).alias("first_position"), F.get("positions", F.lit(1)).alias("second_position"),
+    )
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,7 +85,99 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secret_ledger": op10_secret_ledger,
 }
 
+_MIXING_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+    md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS place FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) % 3 AS turn
+  FROM d GROUP BY source),
+w AS (
+  SELECT source, source_size, 2e0 * source_size AS most,
+    CASE turn WHEN 1 THEN 3e0 WHEN 2 THEN 1e0 ELSE 2e0 END AS weight,
+    CASE turn WHEN 1 THEN 4e0 WHEN 2 THEN 0.5e0 ELSE 2e0 END AS a,
+    CASE turn WHEN 1 THEN 2e0 WHEN 2 THEN 1.5e0 ELSE 2e0 END AS b FROM s),
+l AS (
+  SELECT *, (1.5e0 * sum(source_size) OVER () - coalesce(sum(most) OVER (
+      ORDER BY most / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0e0))
+    / sum(weight) OVER (ORDER BY most / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM w),
+o AS (SELECT first(level ORDER BY most / weight, source NULLS LAST) AS level FROM l WHERE level * weight <= most),
+t AS (
+  SELECT l.source, source_size, a, b, coalesce(least(most, o.level * weight), most) AS target
+  FROM l LEFT JOIN o ON true),
+p AS (
+  SELECT d.doc_id, size, source_size, target, a, b,
+    coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY place, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+      + size / 2e0 AS m
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+m AS (
+  SELECT *, CASE WHEN size > 0 AND m <= target THEN m / target END AS one,
+    CASE WHEN size > 0 AND m + source_size <= target THEN (m + source_size) / target END AS two FROM p)
+SELECT doc_id, size, source_size, target,
+  size * ((one IS NOT NULL)::BIGINT + (two IS NOT NULL)::BIGINT) AS taken,
+  CASE WHEN a = b THEN one ELSE (sqrt(a * a + 4 * ((b - a) / 2) * (one * (a + b) / 2)) - a) / (2 * ((b - a) / 2)) END AS first_position,
+  CASE WHEN a = b THEN two ELSE (sqrt(a * a + 4 * ((b - a) / 2) * (two * (a + b) / 2)) - a) / (2 * ((b - a) / 2)) END AS second_position
+FROM m"""
+
+_URL_SQL = rf"""
+WITH parts AS (
+  SELECT page_id, url,
+    translate(coalesce(regexp_extract(url, '^.*?://([^/?#]*)([^?#]*)', 1, 's'), ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '^.*?://([^/?#]*)([^?#]*)', 2, 's'), '') AS path,
+    [p FOR p IN string_split(coalesce(regexp_extract(url, '^[^#?]*\?([^#]*)', 1), ''), '&')
+      IF p <> '' AND NOT regexp_matches(p, '^(?:utm_[a-z]+|ref|fbclid|gclid)=')] AS params
+  FROM pages),
+forms AS (
+  SELECT *, CASE WHEN host <> '' THEN concat(regexp_replace(host, '^www\.|:(?:80|443)$', '', 'g'),
+      regexp_replace(path, '(?:/index\.html?)?/*$', ''),
+      CASE WHEN len(params) > 0 THEN concat('?', array_to_string(list_sort(params), '&')) ELSE '' END) END AS canonical
+  FROM parts),
+ruled AS (
+  SELECT *, CASE
+      WHEN (host = 'example.org' OR suffix(host, '.example.org')) AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+      WHEN (host = 'example.org' OR suffix(host, '.example.org')) AND starts_with(path, '/es/') THEN 'example.org/es/'
+      WHEN (host = 'com' OR suffix(host, '.com')) AND starts_with(path, '/fr/') THEN 'com/fr/'
+      WHEN (host = 'com' OR suffix(host, '.com')) AND starts_with(path, '/de/') THEN 'com/de/'
+      WHEN (host = 'org' OR suffix(host, '.org')) AND starts_with(path, '/') THEN 'org/' END AS rule,
+    coalesce(canonical IN (SELECT canonical FROM forms
+      WHERE canonical IS NOT NULL AND regexp_matches(host, '(^|\.)({LISTED_HOSTS})\.')), false) AS listed
+  FROM forms)
+SELECT page_id, host, path, rule, listed, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow'
+  WHEN rule IS NOT NULL OR listed THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled"""
+
+
+def _secrets_sql() -> str:
+    found = " UNION ALL ".join(
+        f"SELECT doc_id, {i} AS place, '{r.kind}' AS kind, {r.min_chars} AS least, string_split_regex(text, $${r.pattern}$$) AS gaps,"
+        f" regexp_extract_all(text, $${r.pattern}$$) AS hits, regexp_extract_all(text, $${r.pattern}$$, {r.group}) AS parts"
+        f" FROM documents WHERE regexp_matches(text, $${r.pattern}$$)"
+        for i, r in enumerate(secret_ledger.RULES)
+    )
+    return f"""
+WITH found AS ({found}),
+each AS (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM found),
+spans AS (
+  SELECT doc_id, place, kind, CAST(list_sum([length(g) FOR g IN gaps[1:i]])
+    + coalesce(list_sum([length(h) FOR h IN hits[1:i - 1]]), 0) AS BIGINT) AS begin, length(hits[i]) AS size
+  FROM each WHERE length(parts[i]) >= least),
+texts AS (SELECT *, concat(kind, ':', begin, ':', begin + size) AS span FROM spans),
+joined AS (
+  SELECT doc_id, count(*) FILTER (WHERE place = 0) AS n_assign, count(*) FILTER (WHERE place = 1) AS n_access,
+    count(*) FILTER (WHERE place = 2) AS n_hex, string_agg(span, ',' ORDER BY begin, place) FILTER (WHERE place < 3) AS base,
+    string_agg(span, ',' ORDER BY begin, place) AS spans
+  FROM texts GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents LEFT JOIN joined USING (doc_id)"""
+
+
 LLM_SQL: dict[str, str] = {
+    "op2_mixing": _MIXING_SQL,
+    "op3_url_filter": _URL_SQL,
+    "op10_secret_ledger": _secrets_sql(),
     "op7_exact_dedup": r"""
         WITH normal AS (
           SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text FROM documents
