@@ -10,8 +10,8 @@ the fused evidence speaks for no language, or when its text has nothing but whit
 The trigram models are fitted on a bounded sample of rows that declare a language: about
 ``rows_per_language`` for each, chosen by a hash of the key. Everything else covers all rows.
 
-A null text counts as empty and is rejected (``und``). Null declarations, suffixes and hosts are values
-of their own, counted like others. Repeated rows get equal results; an empty table gives an empty one.
+A null text counts as empty and is rejected (``und``). A missing declaration or suffix is no evidence; a
+missing host is a host of its own. Texts too short to tell count in no table. Repeated rows get equal results; an empty table gives an empty one.
 Only the named columns are read. Counts are per host, so a host with a third of all rows is one row of
 the priors; Spark splits its rows in the join.
 """
@@ -67,7 +67,7 @@ def _per_text(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def trigram_counts(labelled: DataFrame) -> DataFrame:
-    """(label, bin, n) of a frame (label, text)."""
+    """(label, bin, n) of a frame (label, text); at most one row per label and bin."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables: dict[str, np.ndarray] = {}
@@ -79,9 +79,13 @@ def trigram_counts(labelled: DataFrame) -> DataFrame:
                     table = tables.setdefault(label, np.zeros(_BINS, np.int64))
                     table += np.bincount(_trigram_bins(own), minlength=_BINS)
         for label, table in tables.items():
-            yield pa.RecordBatch.from_pydict({"label": pa.array([label]), "table": pa.array([table.tobytes()])})
+            bins = np.nonzero(table)[0]
+            yield pa.RecordBatch.from_pydict(
+                {"label": pa.array([label] * len(bins)), "bin": pa.array(bins, pa.int32()), "n": pa.array(table[bins])}
+            )
 
-    return labelled.mapInArrow(count, "label string, table binary")
+    counts = labelled.mapInArrow(count, "label string, bin int, n bigint")
+    return counts.groupBy("label", "bin").agg(F.sum("n").alias("n"))
 
 
 def fit_trigrams(
@@ -98,12 +102,10 @@ def fit_trigrams(
         F.lit(False),
     )
     totals = np.zeros((len(languages), _BINS))
-    # One row of 512 KB per language and task that saw sampled rows; their number is bounded by the sample.
-    for row in trigram_counts(labelled.filter(chosen).select("label", "text")).coalesce(8).groupBy("label").agg(
-        F.collect_list("table").alias("tables")
-    ).collect():
-        for table in row["tables"]:
-            totals[languages.index(row["label"])] += np.frombuffer(table, np.int64)
+    # At most one row per language and bin.
+    found = trigram_counts(labelled.filter(chosen).select("label", "text")).toArrow()
+    which = np.array([languages.index(label) for label in found["label"].to_pylist()], np.int64)
+    totals[which, found["bin"].to_numpy()] = found["n"].to_numpy()
     totals += 0.05
     logs = np.log(totals / totals.sum(axis=1, keepdims=True))
     return np.vstack([logs, np.full(_BINS, -np.log(_BINS))]).T.astype(np.float32).copy()
@@ -143,14 +145,13 @@ def text_evidence(documents: DataFrame, text: str, logs: np.ndarray, carried: Se
     return slim.mapInArrow(work, schema)
 
 
-def _smoothed(rows: DataFrame, by: str, parent: DataFrame | None, names: Sequence[str], strength: float) -> DataFrame:
-    """Class shares of each value of ``by``, pulled towards the shares of its parent."""
-    counts = rows.groupBy(*([by, "parent"] if by == "host" else [by])).agg(
+def _host_priors(rows: DataFrame, parents: DataFrame, names: Sequence[str], strength: float) -> DataFrame:
+    """Class shares of each host, pulled towards those of its parent."""
+    counts = rows.groupBy("host", "parent").agg(
         *[F.count_if(F.col("likely") == n).alias(f"n_{n}") for n in names], F.count("*").alias("n")
     )
-    joined = counts.join(parent, "parent") if by == "host" else counts.join(F.broadcast(parent))
-    return joined.select(
-        by,
+    return counts.join(parents, "parent").select(
+        "host",
         F.array(*[
             (F.col(f"n_{n}") + strength * F.col("up")[i]) / (F.col("n") + strength) for i, n in enumerate(names)
         ]).alias("prior"),
@@ -194,14 +195,15 @@ def identify(
     )
     k = len(names)
     # How often each class declares what, and has which suffix: small tables, values against classes.
-    whole_table = seen.agg(*[F.count_if(F.col("likely") == n).alias(n) for n in names]).first()
+    told = seen.filter("n_filled > 2")
+    whole_table = told.agg(*[F.count_if(F.col("likely") == n).alias(n) for n in names]).first()
     n_of = np.array([whole_table[n] for n in names], float)
     top = (n_of + 1) / (n_of.sum() + k)
 
     def reliability(column: str) -> DataFrame:
         """log P(value | class), smoothed by the value's share of the whole table."""
-        total = float(n_of.sum())
-        counts = seen.groupBy(column).agg(
+        total = float(max(n_of.sum(), 1))
+        counts = told.groupBy(column).agg(
             *[F.count_if(F.col("likely") == n).alias(f"n_{n}") for n in names], F.count("*").alias("n")
         )
         return counts.select(
@@ -213,9 +215,9 @@ def identify(
                 )
                 for i, n in enumerate(names)
             ]).alias(f"{column}_log"),
-        )
+        ).filter(F.col(column) != "")
 
-    per_parent = seen.groupBy("parent").agg(
+    per_parent = told.groupBy("parent").agg(
         *[F.count_if(F.col("likely") == n).alias(f"n_{n}") for n in names], F.count("*").alias("n")
     ).select(
         "parent",
@@ -224,12 +226,19 @@ def identify(
             for i, n in enumerate(names)
         ]).alias("up"),
     )
-    per_host = stored(_smoothed(seen, "host", per_parent, names, rules.prior_strength), "language-priors")
+    per_host = stored(_host_priors(told, per_parent, names, rules.prior_strength), "language-priors")
     joined = (
-        seen.join(per_host, "host")
-        .join(stored(reliability("declared"), "language-declared"), "declared")
-        .join(stored(reliability("suffix"), "language-suffix"), "suffix")
+        seen.join(per_host, "host", "left")
+        .join(stored(reliability("declared"), "language-declared"), "declared", "left")
+        .join(stored(reliability("suffix"), "language-suffix"), "suffix", "left")
     )
+    # What no table has says nothing: no evidence of a value, and the whole table's shares of a host.
+    nothing = F.array(*[F.lit(0.0)] * k)
+    joined = joined.select(
+        "id", "declared", "logs", "likely", "n_filled",
+        F.coalesce("declared_log", nothing).alias("declared_log"), F.coalesce("suffix_log", nothing).alias("suffix_log"),
+        F.coalesce("prior", F.array(*[F.lit(float(t)) for t in top])).alias("prior"),
+    )
     scored = joined.withColumn(
         "evidence",
         F.array(*[
