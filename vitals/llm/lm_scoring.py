@@ -12,7 +12,7 @@ its counts are taken from all counts to get estimates that have not seen it. The
 training counts with these weights.
 
 Words and pairs are counted across chunks of texts: every chunk asks for the counts of the words and pairs
-it holds and gives its own. Words are told apart by 63-bit hashes. Rounds of EM run over a table of the
+it holds and gives its own. Words are told apart by 63-bit fingerprints. Rounds of EM run over a table of the
 deleted fold's counts; only sums per octave (65 at most) reach the driver.
 
 A null text counts as empty and has one token, its end. A null key is the text '' to crc32. Rows that
@@ -27,16 +27,21 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
 from .exchange import Chunk, answered, bucket_count, chunk_texts, over_chunks, pack, pack_sorted, split, unpack
-
-_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-_END = b""
+from .prints import mix, places, prints
+
+#: Bytes with A-Z in lower case and all white space as blanks.
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[65:91] += 32
+_FOLD[9:14] = 32
+#: The fingerprint of an end; no word is looked at for it.
+_END = np.uint64(0x5851F42D4C957F2D)
 _COUNTS = [("train", "<u8"), ("deleted", "<u8"), ("own", "u1")]
 OCTAVES = 65
 
@@ -66,26 +71,25 @@ class Tokens:
     """
 
     def __init__(self, chunk: Chunk, folds: Folds):
-        codes: dict[bytes, int] = {_END: 0}
-        parts, sizes = [], []
-        raw = chunk.data.tobytes()
-        for a, b in zip(chunk.offsets[:-1].tolist(), chunk.offsets[1:].tolist()):
-            words = raw[a:b].translate(_LOWER).split()
-            words.append(_END)
-            parts.append(np.fromiter((codes.setdefault(w, len(codes)) for w in words), np.int64, len(words)))
-            sizes.append(len(words))
+        # A word begins after white space or with its text, and ends likewise.
+        data = _FOLD[chunk.data]
+        space = np.concatenate([[True], data == 32, [True]])
+        begins = np.zeros(len(data) + 1, bool)
+        begins[chunk.offsets] = True
+        starts = np.nonzero(~space[1:-1] & (space[:-2] | begins[:-1]))[0]
+        ends = np.nonzero(~space[1:-1] & (space[2:] | begins[1:]))[0] + 1
+        doc = np.searchsorted(chunk.offsets, starts, "right") - 1
+        sizes = np.bincount(doc, minlength=len(chunk.keys)) + 1
         self.ends = np.cumsum(sizes)
         self.starts = self.ends - sizes
-        word = np.concatenate(parts)
-        context = np.concatenate([[0], word[:-1]])
-        hashes = np.array([xxhash.xxh64_intdigest(w) for w in codes], np.uint64)
+        hashes = np.full(int(sizes.sum()), _END, np.uint64)
+        hashes[np.arange(len(starts)) + doc] = prints(data, starts, ends)
+        context = np.concatenate([[_END], hashes[:-1]]).astype(np.uint64)
         self.fold = np.array([folds.of(k) for k in chunk.keys])
         fold = np.repeat(self.fold, sizes)
-        pair = hashes[context] * np.uint64(0x9E3779B97F4A7C15) + hashes[word]
-        pair = (pair ^ (pair >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-        both = np.concatenate([hashes[word] & ~np.uint64(1), (pair ^ (pair >> np.uint64(29))) | np.uint64(1)])
-        self.keys, place = np.unique(both, return_inverse=True)
-        n = len(word)
+        pair = mix(context * np.uint64(0x9E3779B97F4A7C15) + hashes)
+        self.keys, place = places(np.concatenate([hashes & ~np.uint64(1), pair | np.uint64(1)]))
+        n = len(hashes)
         self.word, self.pair = place[:n], place[n:]
         # The place of a context is that of the word before; an end precedes each text.
         self.context = np.concatenate([[self.word[self.ends[0] - 1]], self.word[:-1]])
@@ -97,16 +101,15 @@ class Tokens:
 
 def _sums(columns: dict[str, np.ndarray], _: np.ndarray) -> np.ndarray:
     """For each entry the sums over all entries of its key, and whether it is the first of them."""
-    order = np.argsort(columns["key"], kind="stable")
-    keys = columns["key"][order]
-    new = np.ones(len(keys), bool)
-    new[1:] = keys[1:] != keys[:-1]
-    starts, group = np.nonzero(new)[0], np.cumsum(new) - 1
-    reply = np.empty(len(keys), _COUNTS)
+    codes, distinct = pd.factorize(columns["key"])
+    reply = np.empty(len(codes), _COUNTS)
     for name in ("train", "deleted"):
-        total = np.add.reduceat(columns[name][order].astype(np.uint64), starts) if len(keys) else columns[name]
-        reply[name][order] = total[group]
-    reply["own"][order] = new
+        # Sums of whole numbers in double precision are exact to 2**53.
+        reply[name] = np.bincount(codes, columns[name], len(distinct)).astype(np.uint64)[codes]
+    first = np.empty(len(distinct), np.int64)
+    first[codes[::-1]] = np.arange(len(codes))[::-1]
+    reply["own"] = 0
+    reply["own"][first] = 1
     return reply
 
 
