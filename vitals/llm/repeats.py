@@ -32,10 +32,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 
 from .common import stored
 from .exchange import BUCKET_BYTES, CHUNK_BYTES, Chunk, answered, bucket_count, chunk_texts, over_chunks, pack, pack_sorted, split, unpack
+from .prints import mix, places, prints
 
 #: Perfect difference sets, by period.
 COVERS = {
@@ -44,7 +46,6 @@ COVERS = {
 }
 #: First bytes shared by more chunks than this are spread over blocks by rank.
 HOT_CHUNKS = 64
-_TILE = 1 << 19
 _NULL_KEY = -(1 << 63)
 
 
@@ -68,45 +69,6 @@ class Depth:
         return np.uint64((1 << 64) - (1 << (64 - self.key_bits)))
 
 
-@functools.lru_cache(maxsize=1)
-def _tables(size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Random values of bytes, powers of an odd number, and powers of its inverse, modulo 2**64."""
-    random = np.random.default_rng(20240229)
-    of_byte = random.integers(0, 1 << 64, 256, np.uint64)
-    base = 0x9E3779B97F4A7C15 | 1
-    inverse = pow(base, -1, 1 << 64)
-
-    def powers(of: int) -> np.ndarray:
-        factors = np.full(size, of, np.uint64)
-        factors[0] = 1
-        return np.cumprod(factors)
-
-    return of_byte, powers(base), powers(inverse)
-
-
-def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
-def prints(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Fingerprints of the strings data[start:end], starts ascending and strings short."""
-    result = np.empty(len(starts), np.uint64)
-    low = 0
-    while low < len(starts):
-        begin = int(starts[low])
-        high = int(np.searchsorted(starts, begin + _TILE))
-        s, e = starts[low:high] - begin, ends[low:high] - begin
-        n = int(e.max())
-        of_byte, power, inverse = _tables(max(_TILE + 4096, n + 1))
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(of_byte[data[begin : begin + n]] * power[:n], out=sums[1:])
-        result[low:high] = _mix((sums[e] - sums[s]) * inverse[s] + (e - s).astype(np.uint64))
-        low = high
-    return result
-
-
 class Work:
     """What one chunk knows of its suffixes, as far as the answers go."""
 
@@ -125,9 +87,8 @@ class Work:
         self.at = np.concatenate([p for _, p in picked]) if picked else np.empty(0, np.int64)
         self.doc = np.repeat([d for d, _ in picked], [len(p) for _, p in picked]).astype(np.int64)
         self.first = prints(self.data, self.at, self.at + depth.first_bytes)
-        self.keys, self.of, self.times = np.unique(
-            self.first & depth.key_mask, return_inverse=True, return_counts=True
-        )
+        self.keys, self.of = places(self.first & depth.key_mask)
+        self.times = np.bincount(self.of, minlength=len(self.keys))
 
     def rank(self, shared: np.ndarray) -> None:
         """Keep the suffixes that occur elsewhere, given for each key 0 (no), 1 (yes) or 2 (in very many chunks)."""
@@ -142,10 +103,10 @@ class Work:
         )
         # What is cut off by the document's ends is part of the rank.
         left = np.minimum(at - self.starts[self.doc], reach).astype(np.uint64)
-        self.at, around = at, _mix(around + left * np.uint64(0xD6E8FEB86659FD93))
+        self.at, around = at, mix(around + left * np.uint64(0xD6E8FEB86659FD93))
         hot = flag[live] == 2
         first = self.first[live]
-        keys = np.where(hot, _mix(around * np.uint64(0xA0761D6478BD642F) + first), first) & self.depth.key_mask
+        keys = np.where(hot, mix(around * np.uint64(0xA0761D6478BD642F) + first), first) & self.depth.key_mask
         rank = around & np.uint64((1 << 64) - (1 << 16))
         # One entry for each key and rank, with the smallest document that has it.
         key_of_doc = self.doc_key[self.doc]
@@ -167,7 +128,7 @@ class Work:
         self.hit = _covered(len(self.data), low[verdict == 1], high[verdict == 1])
         open_at = np.nonzero(_covered(len(self.data), low[verdict == 2], high[verdict == 2]) & ~self.hit)[0]
         whole = prints(self.data, open_at, open_at + self.depth.length)
-        other = _mix(prints(self.data, open_at + 1, open_at + self.depth.length) + self.data[open_at])
+        other = mix(prints(self.data, open_at + 1, open_at + self.depth.length) + self.data[open_at])
         doc_key = self.doc_key[np.searchsorted(self.ends, open_at, "right")]
         order = np.lexsort((doc_key, whole))
         new = np.ones(len(order), bool)
@@ -203,13 +164,9 @@ def _in_order(answers: dict[int, bytes], dtype: str = "u1") -> np.ndarray:
 
 def _shared(hot_chunks: int, columns: dict[str, np.ndarray], _: np.ndarray) -> np.ndarray:
     """Whether other chunks have a key (1), and whether very many have it (2)."""
-    order = np.argsort(columns["key"], kind="stable")
-    keys = columns["key"][order]
-    starts = np.nonzero(np.diff(keys, prepend=keys[0] + np.uint64(1)))[0] if len(keys) else np.empty(0, int)
-    counts = np.diff(np.append(starts, len(keys)))
-    reply = np.empty(len(keys), np.uint8)
-    reply[order] = np.repeat(np.where(counts > hot_chunks, 2, np.where(counts > 1, 1, 0)), counts)
-    return reply
+    codes, distinct = pd.factorize(columns["key"])
+    counts = np.bincount(codes, minlength=len(distinct))
+    return np.where(counts > hot_chunks, 2, np.where(counts > 1, 1, 0)).astype(np.uint8)[codes]
 
 
 def _settled(columns: dict[str, np.ndarray], _: np.ndarray) -> np.ndarray:
