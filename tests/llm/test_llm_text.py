@@ -55,6 +55,8 @@ def test_quality_lines_first():
     assert judged[8] == 3  # two menus and the notice
     many = "\n".join(f"Item {i} | A{i} | B{i} | C{i} | D{i}" for i in range(40))
     assert quality_lines.judge(many + "\n" + body[0], quality_lines.LineRules())[6] is False
+    spam = "\n".join(" ".join(f"{w}$$$ %%%" for w in line.split()) + "." for line in body)
+    assert quality_lines.judge(spam, quality_lines.LineRules())[6] is False
 
 
 # --- language --------------------------------------------------------------------------------------

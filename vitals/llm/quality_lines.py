@@ -1,7 +1,7 @@
 """Quality rules that clean lines first and judge documents by what is left.
 
-A line with a word fails when it has no sentence end (punctuation), when it is mostly short items
-between separators (navigation), when it repeats an earlier line of its text, or when it holds a
+A line with a word fails when it has no sentence end or a symbol for every other word (punctuation), when it
+is mostly short items between separators (navigation), when it repeats an earlier line of its text, or when it holds a
 phrase of site boilerplate. Failing lines are removed. A document is rejected when it failed one of
 the base rules (too few words, too many repeated words) or keeps too small a share of its words.
 
@@ -40,6 +40,8 @@ class LineRules:
     #: A line is navigation when it has this many separators, and at least one to so many words.
     min_separators: int = 3
     words_per_separator: int = 4
+    #: A line with more symbols for its words than this fails as punctuation.
+    max_symbols_per_word: float = 0.5
     #: A document must keep this share of its words.
     min_kept_share: float = 0.5
 
@@ -69,7 +71,8 @@ def failing_rule(line: str, n_words: int, rules: LineRules) -> str | None:
         return "navigation"
     if _BOILERPLATE.search(line):
         return "boilerplate"
-    if not _SENTENCE_END.search(line):
+    symbols = sum(line.count(c) for c in _SYMBOLS)
+    if symbols > rules.max_symbols_per_word * n_words or not _SENTENCE_END.search(line):
         return "punctuation"
     return None
 
