@@ -149,6 +149,49 @@ SELECT page_id, host, path, rule, listed, CASE WHEN rule IN ('org/', 'com/fr/')
 FROM ruled"""
 
 
+_QUALITY_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+w AS (
+  SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i
+  FROM (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM d)),
+t AS (
+  SELECT doc_id, i, CASE WHEN lead(word, 2) OVER o IS NOT NULL
+    THEN concat(word, ' ', lead(word) OVER o, ' ', lead(word, 2) OVER o) END AS triple
+  FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+c AS (SELECT doc_id, i, triple IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, triple) > 1 AS again FROM t),
+r AS (
+  SELECT doc_id, again OR coalesce(lag(again) OVER o, false) OR coalesce(lag(again, 2) OVER o, false) AS covered
+  FROM c WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+words AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE covered) AS n_repeat_words FROM r GROUP BY doc_id),
+split AS (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS i
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM d)),
+lines AS (
+  SELECT doc_id, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
+    len(regexp_extract_all(line, '[|»›•·]')) AS separators, len(regexp_extract_all(line, '[#*$%&|<>]')) AS symbols,
+    row_number() OVER (PARTITION BY doc_id, line ORDER BY i) > 1 AS dup
+  FROM split WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+judged AS (
+  SELECT *, NOT dup AND NOT (separators >= 3 AND separators * 4 >= n) AND symbols <= 0.5 * n
+    AND NOT regexp_matches(line, 'all rights reserved|terms of (?:use|service)|privacy policy|cookie (?:policy|settings)|we use cookies|javascript|lorem ipsum|click here to|sign up for our newsletter|skip to (?:main )?content', 'i')
+    AND regexp_matches(line, '[.!?…。！？]["''”’»)\]]*(?:\s|$)') AS stays
+  FROM lines),
+left_ AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dup) AS n_dup_lines,
+    count(*) FILTER (WHERE NOT stays) AS n_lines_removed,
+    CAST(coalesce(sum(n) FILTER (WHERE stays), 0) AS BIGINT) AS n_words_kept
+  FROM judged GROUP BY doc_id),
+m AS (
+  SELECT doc_id, coalesce(n_words, 0) AS n_words,
+    CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+    coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines,
+    coalesce(n_lines_removed, 0) AS n_lines_removed, coalesce(n_words_kept, 0) AS n_words_kept
+  FROM d LEFT JOIN words USING (doc_id) LEFT JOIN left_ USING (doc_id))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_words_kept >= 0.5 * n_words AS kept
+FROM m"""
+
+
 def _secrets_sql() -> str:
     found = " UNION ALL ".join(
         f"SELECT doc_id, {i} AS place, '{r.kind}' AS kind, {r.min_chars} AS least, string_split_regex(text, $${r.pattern}$$) AS gaps,"
@@ -177,6 +220,7 @@ FROM documents LEFT JOIN joined USING (doc_id)"""
 LLM_SQL: dict[str, str] = {
     "op2_mixing": _MIXING_SQL,
     "op3_url_filter": _URL_SQL,
+    "op6_quality_lines": _QUALITY_SQL,
     "op10_secret_ledger": _secrets_sql(),
     "op7_exact_dedup": r"""
         WITH normal AS (
