@@ -30,13 +30,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Regex, pre_tokenizers
 
-from .common import stored, utf8
+from .common import blocks, stored
 from .lexicon import compile_lexicon, look_up
 
 #: Words in the transducer at most; bounds its file to about 10 MB.
 LEXICON_WORDS = 1 << 17
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
-_BLOCK = 1 << 20
 _OTHER, _LETTER, _NUMBER, _SPACE = range(4)
 
 
@@ -173,16 +172,6 @@ def _gather(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarr
     return pool[np.repeat(starts - (ends - sizes), sizes) + np.arange(total)]
 
 
-def _blocks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, bytes, offsets) of runs of rows that hold about a block of bytes."""
-    data, offsets = utf8(batch.column(column))
-    row = 0
-    while row < batch.num_rows:
-        stop = max(row + 1, int(np.searchsorted(offsets, offsets[row] + _BLOCK, "right")) - 1)
-        yield row, data[offsets[row] : offsets[stop]], offsets[row : stop + 1] - offsets[row]
-        row = stop
-
-
 def _segments(data: np.ndarray, offsets: np.ndarray, special: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
     """Where texts begin once special tokens are cut out, and the ids of the parts (-1: ordinary text)."""
     cuts: dict[int, int] = {}
@@ -224,7 +213,7 @@ def count_words(documents: DataFrame, text: str, special: dict[bytes, int]) -> D
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts: dict[bytes, int] = {}
-            for _, data, offsets in _blocks(batch, 0):
+            for _, data, offsets in blocks(batch.column(0)):
                 begins, kinds = _segments(data, offsets, special)
                 starts = words_of(data, begins)
                 ends = np.append(starts[1:], len(data))
@@ -281,7 +270,7 @@ def _mapped(path: str, places: dict[str, tuple[int, str, int]]) -> dict[str, np.
 class Encoder:
     """Encodes blocks of texts; keeps ids of recent words that the transducer lacks."""
 
-    def __init__(self, vocabulary: Vocabulary, lexicon: dict[str, np.ndarray], recent: int = 1 << 17):
+    def __init__(self, vocabulary: Vocabulary, lexicon: dict[str, np.ndarray], recent: int = 1 << 15):
         self.vocabulary, self.lexicon, self.recent = vocabulary, lexicon, recent
         self.unseen: dict[bytes, list[int]] = {}
         self.token_pool, self.token_starts = vocabulary.token_bytes()
@@ -335,7 +324,7 @@ class Encoder:
         return _gather(self.token_pool, starts, sizes), np.concatenate([[0], np.cumsum(sizes)])
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def _encoder(name: str, places: tuple, vocabulary) -> Encoder:
     return Encoder(vocabulary.value, _mapped(SparkFiles.get(name), dict(places)))
 
@@ -362,7 +351,7 @@ def _with_encoder(
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(name, places, shared)
         for batch in batches:
-            for row, data, offsets in _blocks(batch, 1):
+            for row, data, offsets in blocks(batch.column(1)):
                 made = rows(encoder, data, offsets)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(row, len(offsets) - 1)]

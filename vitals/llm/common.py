@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +56,16 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def blocks(column: pa.Array, size: int = 1 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, bytes, offsets) of runs of texts that hold about ``size`` bytes, or one longer text."""
+    data, offsets = utf8(column)
+    row, rows = 0, len(offsets) - 1
+    while row < rows:
+        stop = max(row + 1, int(np.searchsorted(offsets, offsets[row] + size, "right")) - 1)
+        yield row, data[offsets[row] : offsets[stop]], offsets[row : stop + 1] - offsets[row]
+        row = stop
+
+
 def without(documents: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
     """The documents whose key is not in the stored table of dropped keys; a null key is in no table.
 

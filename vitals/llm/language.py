@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, utf8, without
+from .common import blocks, stored, utf8, without
 
 LANGUAGES = ("de", "en", "es", "fr")
 #: The class of text in none of the languages.
@@ -58,12 +58,20 @@ _FOLD[48:58] = 48
 _FOLD[[9, 10, 11, 12, 13]] = 32
 
 
-def _per_text(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Sums over the trigrams that lie within each text; ``values`` has one entry per trigram of all bytes."""
-    running = np.concatenate([np.zeros((1, *values.shape[1:])), np.cumsum(values, axis=0, dtype=np.float64)])
-    ends = np.clip(np.maximum(offsets[1:] - 2, offsets[:-1]), 0, len(values))
-    starts = np.clip(offsets[:-1], 0, len(values))
-    return running[ends] - running[np.minimum(starts, ends)]
+def _per_text(table: np.ndarray, bins: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Sums (text, class) of the table's rows over the trigrams that lie within each text.
+
+    One class at a time, so that memory is some twenty bytes for each byte of text.
+    """
+    ends = np.maximum(offsets[1:] - 2, offsets[:-1])
+    sums = np.zeros((len(offsets) - 1, table.shape[1]))
+    running = np.zeros(len(bins) + 1)
+    for c in range(table.shape[1]):
+        np.cumsum(table[:, c][bins], dtype=np.float64, out=running[1:])
+        # Texts of no trigram may begin beyond the last one.
+        low, high = np.minimum(offsets[:-1], len(bins)), np.minimum(ends, len(bins))
+        sums[:, c] = running[high] - running[low]
+    return sums
 
 
 def trigram_counts(labelled: DataFrame) -> DataFrame:
@@ -122,18 +130,16 @@ def text_evidence(documents: DataFrame, text: str, logs: np.ndarray, carried: Se
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
         for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
-                data, offsets = utf8(part.column(0))
+            for row, data, offsets in blocks(batch.column(0)):
                 n = len(offsets) - 1
                 sums = np.zeros((n, classes))
                 if len(data) > 2:
-                    sums = _per_text(table[_trigram_bins(data)], offsets)
+                    sums = _per_text(table, _trigram_bins(data), offsets)
                 filled = np.concatenate([[0], np.cumsum(_FOLD[data] != 32)])
                 counts = np.diff(filled[offsets])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *part.columns[1:],
+                        *(c.slice(row, n) for c in batch.columns[1:]),
                         pa.array(counts, pa.int64()),
                         pa.ListArray.from_arrays(
                             pa.array(np.arange(n + 1) * classes, pa.int32()), pa.array(sums.ravel(), pa.float64())
