@@ -45,10 +45,17 @@ def stream_gold(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    """Metrics of all minutes the watermark has passed."""
+    """Metrics of all closed minutes, however records are dealt into files and these into micro-batches."""
+    return aggregates.minute_metrics(aggregates.closed_minutes(minute_counts(spark, sf)))
+
+
+def minute_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """The counts of all minutes, those still open included, as the stream wrote them."""
     classified = quality.classify(derived.raw_events(spark, sf, stream=True))
     timed = classified.withColumn("processed_ts", derived.processed_at())
-    return aggregates.minute_metrics(_written_by(aggregates.windowed_metrics(timed), "stream-metrics"))
+    folder = new_folder(spark, "stream-metrics")
+    aggregates.count_minutes(timed, f"{folder}/out", folder).awaitTermination()
+    return lake.read_table(spark, f"{folder}/out", aggregates.metric_counts(timed).schema)
 
 
 def _routed(spark: SparkSession, sf: str, tables: Lake) -> None:

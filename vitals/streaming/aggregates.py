@@ -16,7 +16,7 @@ from ..operators.enrich import latency_ms
 from ..operators.quality import is_valid
 from ..plans.jobs import rebuild_gold
 from ..schemas import GOLD_COLUMNS, PARTITIONS, SILVER
-from ..sources.lake import Lake, read_touched
+from ..sources.lake import Lake, read_touched, write_named
 from ..sources.streams import UNTIL_CAUGHT_UP, start_batches
 
 LATENESS = "1 hour"
@@ -59,6 +59,55 @@ def windowed_gold(silver: DataFrame, aggregated_at: Column, lateness: str = LATE
     ).select(GOLD_COLUMNS)
 
 
+def _outcome(processed_at: str, limits: Thresholds) -> tuple[Column, Column, Column, Column]:
+    """Whether a record is valid and its heart rate abnormal, its latency if valid, and its lag."""
+    valid, processed = is_valid(), F.col(processed_at)
+    return (
+        valid,
+        valid & is_abnormal(F.col("heart_rate"), limits),
+        F.when(valid, latency_ms(processed, F.col("event_time"))),
+        F.floor((F.unix_micros(processed) - F.unix_micros("arrival_ts")) / 1000),
+    )
+
+
+def metric_counts(
+    classified: DataFrame, processed_at: str = "processed_ts", limits: Thresholds = DEFAULT_THRESHOLDS
+) -> DataFrame:
+    """The counts of ``windowed_metrics`` for one batch, and when the last record of each was processed."""
+    valid, abnormal, latency, lag = _outcome(processed_at, limits)
+    minute = F.date_trunc("minute", F.col(processed_at)).cast("timestamp_ntz")
+    return classified.groupBy(
+        minute.alias("minute"), valid.alias("is_valid"), abnormal.alias("is_abnormal_hr"), latency.alias("latency_ms")
+    ).agg(F.count("*").alias("n"), F.max(lag).alias("lag_ms"), F.max(processed_at).alias("last_processed"))
+
+
+def count_minutes(
+    classified: DataFrame,
+    path: str,
+    checkpoint_root: str,
+    processed_at: str = "processed_ts",
+    limits: Thresholds = DEFAULT_THRESHOLDS,
+    trigger: Mapping = UNTIL_CAUGHT_UP,
+) -> StreamingQuery:
+    """Write the counts of each micro-batch, however late its records are; only this job writes there.
+
+    A minute's counts may lie in several batches; ``minute_metrics`` adds them up. A batch written again
+    replaces itself.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_named(metric_counts(batch, processed_at, limits), path, f"{batch_id:012d}", "parquet")
+
+    return start_batches(classified, "minute-counts", write, checkpoint_root, path, trigger)
+
+
+def closed_minutes(counts: DataFrame, lateness: str = "1 minute") -> DataFrame:
+    """The counts of minutes that ended ``lateness`` before the last record of all was processed."""
+    last = counts.agg(F.max("last_processed").cast("timestamp_ntz").cast("string").alias("last")).first()["last"]
+    end = F.col("minute") + F.expr("INTERVAL 1 MINUTE") + F.expr(f"INTERVAL {lateness}")
+    return counts.where(end <= F.lit(last).cast("timestamp_ntz"))
+
+
 def windowed_metrics(
     classified: DataFrame,
     processed_at: str = "processed_ts",
@@ -67,13 +116,10 @@ def windowed_metrics(
 ) -> DataFrame:
     """How often each outcome and latency occurred per minute of processing, with the worst lag, as a stream.
 
+    Records processed before the watermark are dropped; ``count_minutes`` has no such limit.
     ``minute_metrics`` makes a row per minute of what it wrote, with exact percentiles.
     """
-    valid = is_valid()
-    processed = F.col(processed_at)
-    latency = F.when(valid, latency_ms(processed, F.col("event_time")))
-    lag = F.floor((F.unix_micros(processed) - F.unix_micros("arrival_ts")) / 1000)
-    abnormal = valid & is_abnormal(F.col("heart_rate"), limits)
+    valid, abnormal, latency, lag = _outcome(processed_at, limits)
     return (
         classified.withWatermark(processed_at, lateness)
         .groupBy(
@@ -89,7 +135,7 @@ def windowed_metrics(
 
 
 def minute_metrics(counts: DataFrame) -> DataFrame:
-    """Counts, exact latency percentiles and worst lag per minute, from the counts of ``windowed_metrics``."""
+    """Counts, exact latency percentiles and worst lag per minute, from the counts of any number of batches."""
     upwards = Window.partitionBy("minute").orderBy("latency_ms")
     valid = (
         counts.where("is_valid").groupBy("minute", "latency_ms").agg(F.sum("n").alias("n"))
