@@ -14,6 +14,7 @@ import pytest
 
 from corpus import documents, empty, rows_of, sentence
 from vitals.llm import bpe, exchange, language, lexicon, lm_scoring, quality_lines, repeats
+from vitals.llm.queries import LLM_QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -107,6 +108,81 @@ def test_language_of_edge_rows(spark):
     assert rows_of(language.identify(empty(spark))) == []
 
 
+def fused(rows, languages, rules=language.FusionRules()):
+    """Plain Python fusion of (id, text, declared, host); trigram models of all declared rows, as of small tables."""
+    names = [*languages, language.UNKNOWN]
+    fold = lambda t: bytes(language._FOLD[b] for b in (t or "").encode())
+    bins = lambda d: [((a * 31 + b) * 1031 + c) * 2654435761 % 2**32 >> 16 for a, b, c in zip(d, d[1:], d[2:])]
+    counts = {n: collections.Counter() for n in languages}
+    for _, text, declared, _ in rows:
+        if text is not None and (declared or "").lower() in counts:
+            counts[declared.lower()].update(bins(fold(text)))
+    sizes = {n: c.total() + 0.05 * 65536 for n, c in counts.items()}
+    seen = []
+    for key, text, declared, host in rows:
+        data = fold(text)
+        own = bins(data)
+        logs = [sum(math.log((counts[n][b] + 0.05) / sizes[n]) for b in own) for n in languages] + [-math.log(65536) * len(own)]
+        filled = sum(b != 32 for b in data)
+        likely = names[logs.index(max(logs))] if filled > 2 else language.UNKNOWN
+        host = host or ""
+        parent = ".".join(host.split(".")[-2:])
+        seen.append((key, logs, likely, filled, (declared or "").lower(), host.split(".")[-1] if "." in host else "", host, parent))
+    told = [s for s in seen if s[3] > 2]
+    n_of = collections.Counter(s[2] for s in told)
+    top = {n: (n_of[n] + 1) / (len(told) + len(names)) for n in names}
+    result = []
+    for key, logs, likely, filled, declared, suffix, host, parent in seen:
+        evidence = []
+        for n, log in zip(names, logs):
+            total = rules.text_weight * log
+            for place, value in ((4, declared), (5, suffix)):
+                among = [s[2] for s in told if s[place] == value]
+                if value and among:
+                    share = rules.table_smoothing * len(among) / max(len(told), 1)
+                    total += math.log((among.count(n) + share) / (n_of[n] + rules.table_smoothing))
+            mine = [s[2] for s in told if s[6] == host]
+            others = [s[2] for s in told if s[7] == parent and s[6] != host]
+            k = rules.prior_strength
+            up = (others.count(n) + k * top[n]) / (len(others) + k)
+            total += math.log((mine.count(n) + k * up) / (len(mine) + k) if mine else top[n])
+            evidence.append(total)
+        best = max(evidence)
+        share = 1 / sum(math.exp(e - best) for e in evidence)
+        found = names[evidence.index(best)]
+        rejected = not filled or found == language.UNKNOWN or share < rules.min_confidence
+        result.append((key, language.UNKNOWN if rejected else found, round(share, 4), likely, declared or None, rejected))
+    return sorted(result, key=repr)
+
+
+def found_by(frame):
+    return sorted([(*r[:2], round(r[2], 4), *r[3:]) for r in map(tuple, frame.collect())], key=repr)
+
+
+def test_pages_are_told_by_address_and_markup(spark, tmp_path):
+    page = '<!DOCTYPE html><html{}><head><script>var t="</p>der die";</script></head><body><nav>the</nav><p>{}</p></body></html>'
+    rows, wanted = [], []
+    for i, text, declared, host, _ in multilingual(n=120):
+        rows.append((i, f"https://{host.upper()}:8080/a?b=//c", page.format(f' class="x" lang="{declared}-XX"' if i % 4 else "", text)))
+        wanted.append((i, language.page_text(rows[-1][2]), declared if i % 4 else None, host))
+    for i, url, host in ((900, "http://new.other.de/", "new.other.de"), (901, "http://a.new.com", "a.new.com"), (902, None, None)):
+        rows.append((i, url, page.format("", "Hm &amp;")))
+        wanted.append((i, language.page_text(rows[-1][2]), None, host))
+    assert language.page_text(rows[-1][2]).split() == ["Hm", "&"]
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = LLM_QUERIES["op1_page_language"](spark, str(tmp_path))
+    assert found_by(got) == fused(wanted, language.LANGUAGES)
+    language_of = {r["page_id"]: r["language"] for r in rows_of(got)}
+    assert (language_of[900], language_of[901]) == ("de", "en")  # hosts never seen, told by suffix alone
+
+
+def test_sources_are_smoothed_towards_the_table(spark):
+    """A host without dots is its own parent; its counts must not be smoothed with themselves."""
+    rows = [(i, text, declared, f"src{i % 7}") for i, text, declared, _, _ in multilingual(n=90)]
+    rows += [(900 + i, text, None, f"src{i}") for i, text in enumerate(("Hm", "of it", "auf", "", None))]
+    assert found_by(language.identify(documents(spark, rows))) == fused(rows, language.LANGUAGES)
+
+
 # --- language model --------------------------------------------------------------------------------
 
 

@@ -3,8 +3,9 @@
 Four kinds of evidence about a text's language are combined: its letters (byte trigrams under a model
 per language, and under a uniform model for text that is in none of them), the language that its markup
 declares, its address suffix, and its host. How far a declaration or a suffix can be trusted is counted
-over the whole table; hosts have priors smoothed towards their parent domain, parents towards the whole
-table, all by grouped aggregation. A document is rejected when no language has ``min_confidence``, when
+over the whole table; hosts have priors smoothed towards the other hosts of their parent domain, these
+towards the whole table, all by grouped aggregation. A host without dots, such as the name of a source, has
+no suffix and no other hosts in its parent, so its prior is smoothed towards the whole table at once. A document is rejected when no language has ``min_confidence``, when
 the fused evidence speaks for no language, or when its text has nothing but white space.
 
 The trigram models are fitted on a bounded sample of rows that declare a language: about
@@ -18,6 +19,8 @@ the priors; Spark splits its rows in the join.
 
 from __future__ import annotations
 
+import html
+import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -28,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import blocks, stored, utf8, without
+from .url_filter import host_of
 
 LANGUAGES = ("de", "en", "es", "fr")
 #: The class of text in none of the languages.
@@ -151,15 +155,20 @@ def text_evidence(documents: DataFrame, text: str, logs: np.ndarray, carried: Se
     return slim.mapInArrow(work, schema)
 
 
-def _host_priors(rows: DataFrame, parents: DataFrame, names: Sequence[str], strength: float) -> DataFrame:
-    """Class shares of each host, pulled towards those of its parent."""
-    counts = rows.groupBy("host", "parent").agg(
+def _host_priors(rows: DataFrame, names: Sequence[str], top: np.ndarray, strength: float) -> DataFrame:
+    """Class shares of each host, pulled towards those of its parent's other hosts, and these to the table's.
+
+    A host's own counts are taken from its parent's, so that they count once.
+    """
+    of = lambda by: rows.groupBy(*by).agg(
         *[F.count_if(F.col("likely") == n).alias(f"n_{n}") for n in names], F.count("*").alias("n")
     )
-    return counts.join(parents, "parent").select(
+    others = lambda c: F.col(f"p.{c}") - F.col(f"h.{c}")
+    up = lambda i, n: (others(f"n_{n}") + strength * float(top[i])) / (others("n") + strength)
+    return of(["host", "parent"]).alias("h").join(of(["parent"]).alias("p"), "parent").select(
         "host",
         F.array(*[
-            (F.col(f"n_{n}") + strength * F.col("up")[i]) / (F.col("n") + strength) for i, n in enumerate(names)
+            (F.col(f"h.n_{n}") + strength * up(i, n)) / (F.col("h.n") + strength) for i, n in enumerate(names)
         ]).alias("prior"),
     )
 
@@ -223,16 +232,7 @@ def identify(
             ]).alias(f"{column}_log"),
         ).filter(F.col(column) != "")
 
-    per_parent = told.groupBy("parent").agg(
-        *[F.count_if(F.col("likely") == n).alias(f"n_{n}") for n in names], F.count("*").alias("n")
-    ).select(
-        "parent",
-        F.array(*[
-            (F.col(f"n_{n}") + rules.prior_strength * float(top[i])) / (F.col("n") + rules.prior_strength)
-            for i, n in enumerate(names)
-        ]).alias("up"),
-    )
-    per_host = stored(_host_priors(told, per_parent, names, rules.prior_strength), "language-priors")
+    per_host = stored(_host_priors(told, names, top, rules.prior_strength), "language-priors")
     joined = (
         seen.join(per_host, "host", "left")
         .join(stored(reliability("declared"), "language-declared"), "declared", "left")
@@ -270,6 +270,38 @@ def identify(
     )
 
 
+#: Markup, and what is not prose: comments, programs, styles and menus.
+_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|nav)\b.*?(?:</\1\s*>|\Z)|<[a-z/!?][^<>]*>", re.I | re.S)
+
+
+def page_text(page: str | None) -> str | None:
+    """The text of a page, a space for each piece of markup."""
+    return page if page is None else html.unescape(_MARKUP.sub(" ", page))
+
+
+def identify_pages(
+    pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html", **options
+) -> DataFrame:
+    """``identify`` for web pages: host and suffix are those of the address, the language that of the html tag."""
+    host = F.regexp_replace(host_of(F.col(url)), r"^.*@|\.?(?::\d*)?$", "")
+    lang = F.regexp_extract(page, r"(?i)<html\b[^<>]*?\slang\s*=\s*[\"']?([a-z]{2,3})\b", 1)
+    slim = pages.select(
+        F.col(key).alias("id"), F.nullif(host, F.lit("")).alias("host"), F.nullif(F.lower(lang), F.lit("")).alias("lang"),
+        F.col(page).alias("page"),
+    )
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 500):
+                part = batch.slice(start, 500)
+                found = pa.array([page_text(p) for p in part.column(3).to_pylist()], pa.string())
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], found], names=["id", "host", "lang", "text"])
+
+    texts = slim.mapInArrow(work, f"id {slim.schema['id'].dataType.simpleString()}, host string, lang string, text string")
+    found = identify(stored(texts, "language-pages"), "id", "text", "lang", "host", **options)
+    return found.withColumnRenamed("id", key)
+
+
 def keep_identified(documents: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     """The documents that are not rejected, with all their columns; a row without key is kept."""
     rejected = identify(documents, key, **options).filter("rejected").select(key)

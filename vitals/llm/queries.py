@@ -29,6 +29,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_documents(spark, sf_dir))
 
 
+def op1_page_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_documents(spark, sf_dir))
     return mixed.select(
@@ -74,6 +78,7 @@ def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op1_page_language": op1_page_language,
     "op2_mixing": op2_mixing,
     "op3_url_filter": op3_url_filter,
     "op4_lm_scoring": op4_lm_scoring,
