@@ -273,3 +273,34 @@ def test_pipeline_stages(spark):
     assert collections.Counter(e["doc_id"] for e in encoded) == times
     by_id = {r["doc_id"]: r["text"] for r in mixed}
     assert all(e["decoded_sha256"] == hashlib.sha256(by_id[e["doc_id"]].encode()).hexdigest() for e in encoded)
+
+
+def test_rows_that_share_a_key_follow_their_own_decisions(spark):
+    rng = random.Random(3)
+    text = lambda: "\n".join(sentence(rng, 14) for _ in range(5))
+    x, y, z, q = text(), text(), text(), text()
+    junk = " \t\n"
+    rows = [
+        (3, y, "en", "a"), (5, x, "en", "a"), (5, y, "en", "a"), (6, z, "en", "a"), (6, q, "en", "b"), (6, q, "en", "b"),
+        (None, z, "en", "a"), (7, junk, "en", "a"), (7, text(), "en", "a"), (None, junk, "en", "a"), (None, text(), "en", "b"),
+    ]
+    rows += [(100 + i, text(), "en", "ab"[i % 2]) for i in range(60)]
+    stages = dict(corpus_pipeline.STAGES)
+    docs = documents(spark, rows).drop("kept", "size", "id", "key", "position")
+    count = lambda frame: collections.Counter((r["doc_id"], r["text"]) for r in rows_of(frame))
+    given = collections.Counter(r[:2] for r in rows)
+    known = collections.Counter({r: n for r, n in given.items() if r[1] != junk})
+    assert count(stages["language_id"](spark, docs, "")) == known
+    # y goes with 5 but x stays, q once, and z without a key goes.
+    good = docs.filter(docs.text != junk)
+    left = {r: 1 for r in known if r not in ((5, y), (None, z))}
+    assert count(stages["simhash"](spark, good, "")) == left
+    size_of = lambda t: len(t.split())
+    wanted = collections.Counter()
+    for g in rows_of(mixing.mix(good)):
+        if g["doc_id"] is not None:
+            wanted[g["doc_id"], g["size"]] += len(g["positions"])
+    got = collections.Counter()
+    for (key, t), n in count(stages["mixing"](spark, good, "")).items():
+        got[key, size_of(t)] += n
+    assert +got == +wanted

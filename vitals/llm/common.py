@@ -10,7 +10,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 #: The white space that separates words in every contract of this package.
 SPACE = r"[\x20\x09-\x0D]"
@@ -72,3 +73,27 @@ def without(documents: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
     Spark broadcasts the table where its size on disk is below the session's threshold.
     """
     return documents.join(dropped.select(key), key, "left_anti").select(*documents.columns)
+
+
+def digest(*columns: Column) -> Column:
+    """128 bits of the columns' values, null told from any value: rows that have it in common are alike."""
+    values = [*columns, *[c.isNull() for c in columns]]
+    return F.struct(F.xxhash64(*values).alias("a"), F.xxhash64(F.lit(1), *values).alias("b"))
+
+
+def row_digest(documents: DataFrame) -> Column:
+    return digest(*[documents[f"`{c}`"] for c in documents.columns])
+
+
+def digested(documents: DataFrame, row: Column) -> DataFrame:
+    """(row, doc): a digest of each document, and its columns."""
+    return documents.select(row.alias("row"), F.struct(*[documents[f"`{c}`"] for c in documents.columns]).alias("doc"))
+
+
+def one_of_each(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Rows (row, doc), of those whose digest is in the stored table of repeated ones one each."""
+    if repeated.isEmpty():
+        return rows
+    first = F.row_number().over(Window.partitionBy("row").orderBy("row"))
+    one = rows.join(repeated, "row", "left_semi").withColumn("n", first).filter("n = 1").drop("n")
+    return rows.join(repeated, "row", "left_anti").unionByName(one)

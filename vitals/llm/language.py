@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, stored, utf8, without
+from .common import blocks, digest, digested, stored, utf8
 from .url_filter import host_of
 
 LANGUAGES = ("de", "en", "es", "fr")
@@ -181,16 +181,19 @@ def identify(
     host: str | Column = "source",
     languages: Sequence[str] = LANGUAGES,
     rules: FusionRules = FusionRules(),
+    row: Column | None = None,
 ) -> DataFrame:
-    """Per row: key, language, confidence, text_language, declared, rejected."""
+    """Per row: key, language, confidence, text_language, declared, rejected, and ``row`` where it is given."""
+    marked = [] if row is None else ["row"]
     names = [*languages, UNKNOWN]
     whole = documents.select(
         F.col(key).alias("id"),
         F.col(text).alias("text"),
         F.lower(F.col(declared)).alias("declared"),
         (F.col(host) if isinstance(host, str) else host).alias("host"),
+        *([] if row is None else [row.alias("row")]),
     ).select(
-        "id", "text", "declared",
+        "id", "text", "declared", *marked,
         F.coalesce("host", F.lit("")).alias("host"),
         # The parent of a.b.c.d is c.d; a host without dots is its own.
         F.coalesce(F.substring_index("host", ".", -2), F.lit("")).alias("parent"),
@@ -198,7 +201,7 @@ def identify(
     )
     logs = fit_trigrams(whole, "id", "text", "declared", list(languages), rules.rows_per_language)
     seen = stored(
-        text_evidence(whole, "text", logs, ["id", "declared", "host", "parent", "suffix"])
+        text_evidence(whole, "text", logs, ["id", "declared", "host", "parent", "suffix", *marked])
         .withColumn(
             "likely",
             F.when(F.col("n_filled") < 3, UNKNOWN).otherwise(
@@ -241,7 +244,7 @@ def identify(
     # What no table has says nothing: no evidence of a value, and the whole table's shares of a host.
     nothing = F.array(*[F.lit(0.0)] * k)
     joined = joined.select(
-        "id", "declared", "logs", "likely", "n_filled",
+        "id", "declared", "logs", "likely", "n_filled", *marked,
         F.coalesce("declared_log", nothing).alias("declared_log"), F.coalesce("suffix_log", nothing).alias("suffix_log"),
         F.coalesce("prior", F.array(*[F.lit(float(t)) for t in top])).alias("prior"),
     )
@@ -259,6 +262,7 @@ def identify(
         F.col("likely").alias("text_language"),
         F.nullif("declared", F.lit("")).alias("declared"),
         (F.col("n_filled") > 0).alias("lettered"),
+        *marked,
     ).withColumn(
         "rejected",
         ~F.col("lettered") | (F.col("fused") == UNKNOWN) | (F.col("share") < rules.min_confidence),
@@ -266,7 +270,7 @@ def identify(
         key,
         F.when(F.col("rejected"), UNKNOWN).otherwise(F.col("fused")).alias("language"),
         F.round("share", 6).alias("confidence"),
-        "text_language", "declared", "rejected",
+        "text_language", "declared", "rejected", *marked,
     )
 
 
@@ -302,7 +306,15 @@ def identify_pages(
     return found.withColumnRenamed("id", key)
 
 
-def keep_identified(documents: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """The documents that are not rejected, with all their columns; a row without key is kept."""
-    rejected = identify(documents, key, **options).filter("rejected").select(key)
-    return without(documents, stored(rejected.filter(F.col(key).isNotNull()).distinct(), "language-rejected"), key)
+def keep_identified(
+    documents: DataFrame, key: str = "doc_id", text: str = "text", declared: str = "lang",
+    host: str | Column = "source", **options,
+) -> DataFrame:
+    """The documents that are not rejected, with all their columns.
+
+    A decision is joined back by a digest of the key and of all it depends on, so rows that share a key, or
+    have none, each follow their own.
+    """
+    row = digest(F.col(key), F.col(text), F.col(declared), F.col(host) if isinstance(host, str) else host)
+    rejected = identify(documents, key, text, declared, host, row=row, **options).filter("rejected").select("row")
+    return digested(documents, row).join(stored(rejected.distinct(), "language-rejected"), "row", "left_anti").select("doc.*")

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, stored
+from .common import WORD, digested, one_of_each, row_digest, stored
 
 SLICES = 4096
 #: Weight, and its schedule's start and end, of the sources in order, repeating.
@@ -83,13 +83,18 @@ def _moment(demand: Column, start: Column, end: Column) -> Column:
 
 def mix(
     documents: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
-    cycle=CYCLE, budget: float = 1.5, max_repeats: int = 2,
+    cycle=CYCLE, budget: float = 1.5, max_repeats: int = 2, row: Column | None = None,
 ) -> DataFrame:
-    """Per row: key, size, source_size, target, taken, positions (one per taken copy), in order of position."""
+    """Per row: key, size, source_size, target, taken, positions (one per taken copy), in order of position.
+
+    Where ``row`` is given, it is a last column, and the order of rows that share a key.
+    """
+    marked = [] if row is None else ["row"]
     place = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))
     sized = stored(
         documents.select(
-            F.col(key).alias("id"), F.col(source).alias("source"), size_in_words(text).alias("size"), place.alias("place")
+            F.col(key).alias("id"), F.col(source).alias("source"), size_in_words(text).alias("size"), place.alias("place"),
+            *([] if row is None else [row.alias("row")]),
         ).withColumn("slice", F.conv(F.substring("place", 1, 3), 16, 10).cast("int")),
         "mixing-sizes",
     )
@@ -102,7 +107,7 @@ def mix(
         .select("b.source", "slice", "begin", "source_size", "start", "end", "target"),
         "mixing-plan",
     )
-    within = Window.partitionBy("source", "slice").orderBy("place", "id")
+    within = Window.partitionBy("source", "slice").orderBy("place", "id", *marked)
     offset = F.coalesce(F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     placed = (
         sized.withColumn("offset", offset).alias("d")
@@ -121,7 +126,7 @@ def mix(
     positions = F.transform("middles", lambda m: _moment(m / F.col("target"), F.col("start"), F.col("end")))
     mixed = placed.select(
         F.col("id").alias(key), "size", "source_size", "target",
-        (F.size("middles") * F.col("size")).alias("taken"), positions.alias("positions"),
+        (F.size("middles") * F.col("size")).alias("taken"), positions.alias("positions"), *marked,
     )
     first = F.coalesce(F.get("positions", F.lit(0)), F.lit(2.0))
     return mixed.repartitionByRange(first, F.xxhash64(key)).sortWithinPartitions(first, F.xxhash64(key))
@@ -130,12 +135,18 @@ def mix(
 def curriculum(documents: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     """The taken documents with all columns, once per taken copy, in the order of training.
 
-    Rows without key are not mixed, as a decision on one cannot be told from that on another.
+    Positions are joined back by a digest of the row, so rows that share a key have each their own. Rows
+    without key are left out, though the mix counts their words.
     """
-    taken = mix(documents, key, **options).filter(F.col(key).isNotNull() & (F.col("taken") > 0))
-    copies = stored(taken.groupBy(key).agg(F.first("positions").alias("positions")), "mixing-taken")
-    rows = documents.select(F.struct(*documents.columns).alias("doc"), F.col(key).alias("id"))
-    placed = rows.join(copies.withColumnRenamed(key, "id"), "id").select(
-        "doc", F.explode("positions").alias("position"), F.xxhash64("id").alias("tie")
+    row = row_digest(documents)
+    taken = mix(documents, key, row=row, **options).filter(F.col(key).isNotNull() & (F.col("taken") > 0))
+    # Rows alike in all columns are one row with the positions of all.
+    copies = stored(
+        taken.groupBy("row").agg(F.flatten(F.collect_list("positions")).alias("positions")),
+        "mixing-taken",
+    )
+    repeated = stored(documents.groupBy(row.alias("row")).count().filter("count > 1").select("row"), "mixing-repeated")
+    placed = one_of_each(digested(documents, row), repeated).join(copies.select("row", "positions"), "row").select(
+        "doc", F.explode("positions").alias("position"), F.xxhash64("row").alias("tie")
     )
     return placed.repartitionByRange("position", "tie").sortWithinPartitions("position", "tie").select("doc.*")

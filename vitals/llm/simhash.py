@@ -25,10 +25,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, without
+from .common import digested, one_of_each, row_digest, stored
 
 SHINGLE = 4
 RADIUS = 4
@@ -59,18 +59,27 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     return int(np.packbits(majority, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(documents: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(id, fp) of each row, the fingerprint as a signed 64-bit integer."""
-    slim = documents.select(F.col(key).alias("id"), F.col(text).alias("text"))
+def fingerprints(
+    documents: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, row: Column | None = None
+) -> DataFrame:
+    """(id, fp) of each row, and ``row`` where it is given; the fingerprint as a signed 64-bit integer."""
+    slim = documents.select(
+        F.col(key).alias("id"), F.col(text).alias("text"), *([] if row is None else [row.alias("row")])
+    )
+    carried = [f for f in slim.schema.fields if f.name != "text"]
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in carried) + ", fp bigint"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
                 prints = [fingerprint(t or "", shingle) for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(prints, pa.int64())], names=["id", "fp"])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), *part.columns[2:], pa.array(prints, pa.int64())],
+                    names=[*(f.name for f in carried), "fp"],
+                )
 
-    return slim.mapInArrow(work, f"id {slim.schema['id'].dataType.simpleString()}, fp bigint")
+    return slim.mapInArrow(work, schema)
 
 
 def _forest(n: int, a: np.ndarray, b: np.ndarray, labels: np.ndarray) -> np.ndarray:
@@ -184,16 +193,21 @@ def components(edges: DataFrame) -> DataFrame:
         mark = tuple(row)
 
 
+def rooted(prints: DataFrame, radius: int) -> DataFrame:
+    """(fp, first, root) of the distinct fingerprints of (id, fp): the smallest key, and the component's root."""
+    distinct = stored(prints.groupBy("fp").agg(F.min("id").alias("first")), "simhash-distinct")
+    roots = components(links(distinct.select("fp"), radius))
+    return distinct.join(roots, distinct.fp == roots.node, "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root")
+    )
+
+
 def near_duplicates(
     documents: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS
 ) -> DataFrame:
     """Per row: key, fingerprint (16 hex digits), component_id, n_linked (other fingerprints of the component)."""
     prints = stored(fingerprints(documents, key, text, shingle), "simhash-prints")
-    distinct = stored(prints.groupBy("fp").agg(F.min("id").alias("first")), "simhash-distinct")
-    roots = components(links(distinct.select("fp"), radius))
-    member = distinct.join(roots, distinct.fp == roots.node, "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
-    )
+    member = rooted(prints, radius)
     whole = member.groupBy("root").agg(F.min("first").alias("component_id"), (F.count("*") - 1).alias("n_linked"))
     named = stored(member.join(whole, "root").select("fp", "component_id", "n_linked"), "simhash-components")
     return prints.join(named, "fp").select(
@@ -201,22 +215,23 @@ def near_duplicates(
     )
 
 
-def keep_first(documents: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """One document of each group, that with the smallest key, with all columns; rows without key are kept.
+def keep_first(
+    documents: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS
+) -> DataFrame:
+    """One document of each group, that with the smallest key, with all columns; a null key is the largest.
 
-    Of rows that repeat the smallest key one stays, the first by a hash of the row.
+    Of rows that share the smallest key one stays, the first by a digest of the row. Decisions are joined back
+    by that digest, so a key that other groups have too does no harm.
     """
-    found = stored(near_duplicates(documents, key, **options).select(key, "component_id"), "simhash-classes")
-    dropped = stored(found.filter(F.col(key) != F.col("component_id")).select(key).distinct(), "simhash-dropped")
-    left = without(documents, dropped, key)
-    repeated = stored(found.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1").select(key), "simhash-repeated")
-    if repeated.isEmpty():
-        return left
-    rows = left.select(F.col(key).alias("id"), F.struct(*left.columns).alias("doc"))
-    again = repeated.select(F.col(key).alias("id"))
-    one = (
-        rows.join(again, "id")
-        .withColumn("n", F.row_number().over(Window.partitionBy("id").orderBy(F.xxhash64("doc"))))
-        .filter("n = 1")
-    )
-    return rows.join(again, "id", "left_anti").select("doc.*").unionByName(one.select("doc.*"))
+    row = row_digest(documents)
+    prints = stored(fingerprints(documents, key, text, shingle, row), "simhash-prints")
+    member = stored(rooted(prints, radius).select("fp", "root"), "simhash-components")
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "row")
+    first = prints.groupBy("fp").agg(F.min(order).alias("least")).join(member, "fp")
+    kept = stored(first.groupBy("root").agg(F.min("least")["row"].alias("kept")), "simhash-kept")
+    keepers = member.join(kept, "root").select("fp", "kept")
+    found = prints.join(keepers, "fp")
+    dropped = stored(found.filter(F.col("row") != F.col("kept")).select("row").distinct(), "simhash-dropped")
+    repeated = stored(prints.groupBy("row").count().filter("count > 1").select("row"), "simhash-repeated")
+    left = digested(documents, row).join(dropped, "row", "left_anti")
+    return one_of_each(left, repeated).select("doc.*")
