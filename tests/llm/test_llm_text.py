@@ -253,6 +253,18 @@ def test_weights_follow_the_likelihood(spark):
     assert np.allclose(weights.sum(axis=1), 1) and np.array_equal(weights[7], weights[5])
 
 
+def test_weights_settle_by_default(spark):
+    """Pairs a third likelier than words win slowly; twelve rounds leave them some 0.92."""
+    part = lambda value, kind: exchange.pack(np.full(50, value, kind))
+    frame = spark.createDataFrame(
+        [(part(5, np.uint8), part(0.013, np.float32), part(10, np.float32), part(2, np.uint32))],
+        "octave binary, pair binary, word binary, n binary",
+    )
+    assert lm_scoring.learn_weights(frame, 1000, 100)[5, 0] > 0.995
+    with pytest.warns(RuntimeWarning, match="after 12 rounds"):
+        assert lm_scoring.learn_weights(frame, 1000, 100, rounds=12)[5, 0] < 0.95
+
+
 # --- repeats ---------------------------------------------------------------------------------------
 
 

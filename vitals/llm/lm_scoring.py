@@ -22,6 +22,7 @@ gives an empty result. Only key and text are read.
 
 from __future__ import annotations
 
+import warnings
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -44,6 +45,8 @@ _FOLD[9:14] = 32
 _END = np.uint64(0x5851F42D4C957F2D)
 _COUNTS = [("train", "<u8"), ("deleted", "<u8"), ("own", "u1")]
 OCTAVES = 65
+#: Weights that move less in a round are learned.
+SETTLED = 1e-4
 
 
 @dataclass(frozen=True)
@@ -117,11 +120,12 @@ def _answer(answers: dict[int, bytes]) -> np.ndarray:
     return np.concatenate([unpack(answers[b], np.dtype(_COUNTS)) for b in sorted(answers)])
 
 
-def learn_weights(statistics: DataFrame, n_words: int, n_known: int, rounds: int = 12) -> np.ndarray:
+def learn_weights(statistics: DataFrame, n_words: int, n_known: int, rounds: int = 1000) -> np.ndarray:
     """Weights (octave, order) of pair, word and uniform estimates by expectation-maximisation.
 
     ``statistics`` has packed columns octave, pair (an estimate), word (a count) and n, for each word that
     the deleted fold has in a context. An octave without any takes the weights of the nearest below.
+    Rounds go on until no weight moves by ``SETTLED``; where ``rounds`` do not suffice, a warning says so.
     """
     weights = np.full((OCTAVES, 3), 1 / 3)
     weights[0] = (0, 0.5, 0.5)
@@ -165,8 +169,10 @@ def learn_weights(statistics: DataFrame, n_words: int, n_known: int, rounds: int
         for level in np.nonzero(~seen)[0]:
             if level > 1:
                 weights[level] = weights[level - 1]
-        if moved < 1e-4:
+        if moved < SETTLED:
             break
+    else:
+        warnings.warn(f"weights still moved by {moved:.1e} after {rounds} rounds", RuntimeWarning, stacklevel=2)
     return weights
 
 
