@@ -7,8 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language, lm_scoring, mixing, quality_lines, repeats, secret_ledger, simhash, url_filter
-from .common import new_path
+from . import (
+    bpe,
+    decontaminate,
+    exact_dedup,
+    language,
+    lm_scoring,
+    mixing,
+    periodic_runs,
+    prefix_trie,
+    quality_lines,
+    repeats,
+    secret_ledger,
+    simhash,
+    url_filter,
+)
+from .common import WORD, new_path
 
 #: Words in the names of hosts whose pages are listed, and the contract's rules.
 LISTED_HOSTS = "adult-x|ads-track|casino-win|cheap-pills|free-bets|spam-farm"
@@ -76,6 +90,39 @@ def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_ledger.digest_spans(found)
 
 
+def _with_planted_period(documents: DataFrame) -> DataFrame:
+    """The contract's texts: of a tenth of the documents, words from a on repeat with period p."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    planned = (
+        documents.select("doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g"))
+        .withColumn("words", F.when((F.col("h") % 10 == 0), F.regexp_extract_all("text", F.lit(WORD), F.lit(0))))
+        .withColumn("n", F.coalesce(F.size("words"), F.lit(0)))
+        .withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+        .withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    )
+    planted = F.expr("array_join(transform(sequence(0, n - 1), i -> words[int(if(i < a, i, a + (i - a) % p))]), ' ')")
+    return planned.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digests(periodic_runs.find_runs(_with_planted_period(_documents(spark, sf_dir))))
+
+
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontaminate.find_benchmark(_documents(spark, sf_dir), benchmark)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    turns, ids = prefix_trie.share_heads(prefix_trie.number_turns(conversations), every=100, most=5)
+    return prefix_trie.trie(turns, ids)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op1_page_language": op1_page_language,
@@ -88,6 +135,9 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_bpe": op9_bpe,
     "op10_secret_ledger": op10_secret_ledger,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_decontaminate": op12_decontaminate,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 _MIXING_SQL = r"""
@@ -222,7 +272,64 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM documents LEFT JOIN joined USING (doc_id)"""
 
 
+_ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_LEAKS_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '{_ITEM_WORD}') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_LOWER}, '{_ITEM_WORD}') AS w FROM benchmark),
+patterns AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS l,
+    unnest([array_to_string(w[i:i + least(10, len(w)) - 1], ' ') FOR i IN range(1, greatest(len(w) - 9, 1) + 1)]) AS gram
+  FROM b WHERE len(w) > 0),
+grams AS (
+  SELECT r, l, unnest([{{'i': i, 'gram': array_to_string(w[i:i + l - 1], ' ')}} FOR i IN range(1, len(w) - l + 2)]) AS hit
+  FROM d, (SELECT DISTINCT l FROM patterns) WHERE len(w) >= l),
+hits AS (SELECT r, hit.i AS i, l, item_id FROM grams JOIN patterns USING (l) WHERE hit.gram = patterns.gram),
+covered AS (
+  SELECT r, count(DISTINCT k) AS n FROM (SELECT r, unnest(range(i, i + l)) AS k FROM hits) GROUP BY r),
+items AS (
+  SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(covered.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(covered.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (r) LEFT JOIN items USING (r)"""
+
+# DuckDB has no CRC-32: eight steps of the bitwise definition per byte of the decimal id.
+_CRC32 = """xor(4294967295, list_reduce(
+    [CAST(ascii(ch) AS BIGINT) FOR ch IN string_split(CAST(c AS VARCHAR), '')],
+    lambda crc, byte: list_reduce(range(8), lambda v, bit: xor(v >> 1, (v & 1) * 3988292384), xor(crc, byte)),
+    CAST(4294967295 AS BIGINT)))"""
+
+_TRIE_SQL = """
+WITH t AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS o,
+    {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS said
+  FROM conversations WHERE conv_id IS NOT NULL),
+whole AS (SELECT c, list(said ORDER BY o) AS own FROM t GROUP BY c),
+h AS (SELECT c, own, CRC32 % 6 AS h FROM whole),
+built AS (
+  SELECT h.c, list_concat(coalesce(base.own, [])[1:h.h], h.own[h.h + 1:]) AS turns
+  FROM h LEFT JOIN whole base ON base.c = h.c - h.c % 100),
+paths AS (SELECT c, len(turns) AS size, unnest(range(len(turns) + 1)) AS depth, turns FROM built),
+p AS (SELECT c, size, depth, turns[1:depth] AS node, turns[1:depth - 1] AS up, CASE WHEN depth > 0 THEN length(turns[depth].text) ELSE 0 END AS chars FROM paths),
+n AS (
+  SELECT depth, node, min(c) AS c, count(*) AS n_convs, (count(*) - 1) * max(chars) AS weight,
+    coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE size = depth), '') AS ids, max(up) AS up
+  FROM p GROUP BY depth, node),
+k AS (SELECT depth - 1 AS depth, up AS node, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY depth, up),
+full_ AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k ON k.depth = n.depth AND k.node = n.node),
+below AS (
+  SELECT a.depth, a.node, count(*) FILTER (WHERE f.n_children = 0) AS n_leaves, CAST(sum(f.weight) AS BIGINT) AS saved_tokens
+  FROM full_ f JOIN p a ON a.c = f.c AND a.depth <= f.depth GROUP BY a.depth, a.node)
+SELECT f.c AS conv_id, f.depth, u.c AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens, sha256(f.ids) AS ends_sha256
+FROM full_ f JOIN below b ON b.depth = f.depth AND b.node = f.node
+LEFT JOIN full_ u ON u.depth = f.depth - 1 AND u.node = f.up""".replace("CRC32", _CRC32)
+
+
 LLM_SQL: dict[str, str] = {
+    "op12_decontaminate": _LEAKS_SQL,
+    "op13_prefix_trie": _TRIE_SQL,
     "op2_mixing": _MIXING_SQL,
     "op3_url_filter": _URL_SQL,
     "op6_quality_lines": _QUALITY_SQL,
