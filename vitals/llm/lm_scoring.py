@@ -12,8 +12,9 @@ its counts are taken from all counts to get estimates that have not seen it. The
 training counts with these weights.
 
 Words and pairs are counted across chunks of texts: every chunk asks for the counts of the words and pairs
-it holds and gives its own. Words are told apart by 63-bit fingerprints. Rounds of EM run over a table of the
-deleted fold's counts; only sums per octave (65 at most) reach the driver.
+it holds and gives its own. Words are told apart by 63 bits of two independent polynomial fingerprints, pairs by
+63 bits of those of their words; two of n different keys are mistaken for one another with a chance of n**2 / 2**64.
+Rounds of EM run over a table of the deleted fold's counts; only sums per octave (65 at most) reach the driver.
 
 A null text counts as empty and has one token, its end. A null key is the text '' to crc32. Rows that
 repeat are scored, and counted, each. Without training documents every text has score 0. An empty table
@@ -86,7 +87,8 @@ class Tokens:
         self.ends = np.cumsum(sizes)
         self.starts = self.ends - sizes
         hashes = np.full(int(sizes.sum()), _END, np.uint64)
-        hashes[np.arange(len(starts)) + doc] = prints(data, starts, ends)
+        own = prints(data, starts, ends) + mix(prints(data, starts, ends, point=1) * np.uint64(0x9E3779B97F4A7C15))
+        hashes[np.arange(len(starts)) + doc] = mix(own)
         context = np.concatenate([[_END], hashes[:-1]]).astype(np.uint64)
         self.fold = np.array([folds.of(k) for k in chunk.keys])
         fold = np.repeat(self.fold, sizes)

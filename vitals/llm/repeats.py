@@ -21,7 +21,8 @@ a task grows with how often a string repeats; first bytes that very many chunks
 A null text counts as empty. Texts shorter than ``length`` bytes lose nothing. Keys are integers; a null key
 counts as smaller than all others. Rows that repeat a key are the same document: neither is smaller, so what
 only they share stays in both. An empty table gives an empty result. Only key and text are read.
-Fingerprints of strings have 88 bits or more.
+Strings are told apart by fingerprints: the last single ones by 64 bits and 24 of an independent second one, ranks by
+the bits of their block's key and 48 of their own, 88 or more together.
 """
 
 from __future__ import annotations
@@ -128,7 +129,7 @@ class Work:
         self.hit = _covered(len(self.data), low[verdict == 1], high[verdict == 1])
         open_at = np.nonzero(_covered(len(self.data), low[verdict == 2], high[verdict == 2]) & ~self.hit)[0]
         whole = prints(self.data, open_at, open_at + self.depth.length)
-        other = mix(prints(self.data, open_at + 1, open_at + self.depth.length) + self.data[open_at])
+        other = prints(self.data, open_at, open_at + self.depth.length, point=1)
         doc_key = self.doc_key[np.searchsorted(self.ends, open_at, "right")]
         order = np.lexsort((doc_key, whole))
         new = np.ones(len(order), bool)
