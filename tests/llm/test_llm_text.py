@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 
 from corpus import documents, empty, rows_of, sentence
-from vitals.llm import bpe, exchange, language, lexicon, lm_scoring, quality_lines, repeats
+from vitals.llm import bpe, exchange, language, lexicon, lm_scoring, prints, quality_lines, repeats
 from vitals.llm.queries import LLM_QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -213,6 +213,84 @@ def test_lm_base_and_model(spark):
     assert all(g["score"] < 0 for g in got)
 
 
+def doubled(size):
+    """Two words that sums of bytes times powers modulo 2**64 do not tell apart, whatever the bytes are."""
+    one, other = "a", "b"
+    while len(one) < size:
+        one, other = one + other, other + one
+    return one, other
+
+
+@pytest.mark.parametrize("size", [1024, 2048, 8192])
+def test_words_built_by_doubling_are_not_confused(spark, size):
+    one, other = doubled(size)
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
+    kept = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 not in (2, 3))
+    got = {g["doc_id"]: g for g in rows_of(lm_scoring.score(documents(spark, [(kept, one, "en", "s"), (held, other, "en", "s")])))}
+    assert (got[held]["n_known"], got[kept]["n_known"]) == (1, 2)
+    assert got[held]["base_score"] == pytest.approx(math.log10(1 / 5) + math.log10(2 / 5))
+
+
+def brute_scores(rows, deleted=3, held_out=2):
+    """The model in plain Python: counts, octaves of the context's count, weights by EM, and the score."""
+    fold = lambda key: zlib.crc32(("" if key is None else str(key)).encode()) % 7
+    words, pairs, words_left, pairs_left = (collections.Counter() for _ in range(4))
+    held = collections.Counter()
+    for d in rows:
+        own = tokens(d["text"])
+        own_pairs = list(zip([None, *own[:-1]], own))
+        if fold(d["doc_id"]) != held_out:
+            words.update(own)
+            pairs.update(own_pairs)
+            if fold(d["doc_id"]) == deleted:
+                held.update(own_pairs)
+            else:
+                words_left.update(own)
+                pairs_left.update(own_pairs)
+    # An end, None, is the last token of a text and also what precedes its first word.
+    total, left, known = sum(words.values()), sum(words_left.values()), len(words)
+    level = lambda n: n.bit_length()
+
+    def parts(counts, both, n, u, w):
+        seen = counts[u]
+        return level(seen), (both[u, w] / seen if seen else 0.0, counts[w] / n if n else 0.0, 1 / (known + 1))
+
+    weights = {i: [1 / 3] * 3 for i in range(65)} | {0: [0.0, 0.5, 0.5]}
+    told = [(*parts(words_left, pairs_left, left, u, w), n) for (u, w), n in held.items()]
+    moved = 1.0 if left else 0.0
+    if not left:
+        weights = {i: [0.0, 0.0, 1.0] for i in range(65)}
+    while moved >= 1e-4:
+        mass = collections.defaultdict(lambda: [0.0] * 3)
+        for at, estimates, n in told:
+            share = [x * y for x, y in zip(weights[at], estimates)]
+            for i in range(3):
+                mass[at][i] += n * share[i] / sum(share)
+        found = {at: [x / sum(m) for x in m] for at, m in mass.items()}
+        moved = max((abs(x - y) for at in found for x, y in zip(found[at], weights[at])), default=0.0)
+        for at in range(65):
+            weights[at] = found.get(at, weights[at - 1] if at > 1 else weights[at])
+    scores = []
+    for d in rows:
+        own, score = tokens(d["text"]), 0.0
+        for u, w in zip([None, *own[:-1]], own):
+            at, estimates = parts(words, pairs, total, u, w)
+            score += math.log10(sum(x * y for x, y in zip(weights[at], estimates)))
+        scores.append((str(d["doc_id"]), score))
+    return sorted(scores)
+
+
+def test_lm_score_equals_brute_force(spark):
+    rng = random.Random(8)
+    rows = [(i, sentence(rng, rng.randrange(1, 60)).lower().replace(".", ""), "en", "s") for i in range(150)]
+    rows += [(150, None, "en", "s"), (151, "", "en", "s"), (None, "the quick unheard", "en", "s"), rows[4]]
+    docs = documents(spark, rows)
+    got = sorted((str(g["doc_id"]), g["score"]) for g in rows_of(lm_scoring.score(docs, chunk_bytes=2_000, bucket_bytes=5_000)))
+    wanted = brute_scores(rows_of(docs))
+    assert [k for k, _ in got] == [k for k, _ in wanted]
+    assert [s for _, s in got] == pytest.approx([s for _, s in wanted], rel=1e-4)
+
+
 def test_lm_is_a_distribution_and_beats_words_alone(spark):
     """Texts in which each word tells the next; held-out texts must be likelier than under word counts."""
     rng = random.Random(4)
@@ -303,6 +381,31 @@ def test_repeats_of_edge_rows(spark, sizes):
     assert rows_of(repeats.remove_repeats(empty(spark))) == []
 
 
+@pytest.mark.parametrize("size", [64, 1024, 4096])
+def test_strings_built_by_doubling_are_not_repeats(spark, size):
+    one, other = doubled(size)
+    rows = [(1, one), (2, other), (3, "-" + one), (4, "-" + other)]
+    got = rows_of(repeats.remove_repeats(documents(spark, [(k, t, "en", "s") for k, t in rows]), with_text=False))
+    wanted = brute_repeats([{"doc_id": k, "text": t} for k, t in rows])
+    assert sorted((str(g["doc_id"]), g["n_bytes"], g["n_removed"], g["n_spans"], g["kept_sha256"]) for g in got) == wanted
+
+
+def test_fingerprints_are_polynomials_modulo_a_prime():
+    rng = np.random.default_rng(2)
+    prime, data = (1 << 61) - 1, rng.integers(0, 256, 2_300_000).astype(np.uint8)
+    starts = np.sort(np.append(rng.integers(0, 2_000_000, 40), 5))
+    ends = starts + rng.integers(0, 200, len(starts))
+    ends[0] = 2_200_000  # longer than a stretch of running sums
+    for point in (0, 1):
+        wanted = []
+        for a, z in zip(starts.tolist(), ends.tolist()):
+            value = 0
+            for byte in reversed(data[a:z].tolist()):
+                value = (value * prints._POINTS[point] + byte + 1) % prime
+            wanted.append(value + z - a)
+        assert prints.prints(data, starts, ends, point).tolist() == prints.mix(np.array(wanted, np.uint64)).tolist()
+
+
 def repetitive(seed, n=60):
     """Few letters, periodic texts, shared passages of lengths around the limit, cut at all places."""
     rng = random.Random(seed)
@@ -367,6 +470,28 @@ def test_chunks_hold_every_text_once(spark):
         assert len({c.number for c in chunks}) == len(chunks)
 
 
+def test_tasks_grow_with_the_input(spark):
+    """Twice the text gives twice the files of chunks, and so the tasks of every step; no table is left."""
+    rng = random.Random(1)
+    rows = [(i, sentence(rng, 200), "en", "s") for i in range(800)]
+    files = []
+    for n in (400, 800):
+        docs = documents(spark, rows[:n])
+        chunks = exchange.chunk_texts(docs, "doc_id", "text", 1_000, task_bytes=20_000)
+        files.append(exchange.task_count(spark, sum(len(r[1]) for r in rows[:n]), 20_000))
+        assert len(chunks.inputFiles()) <= files[-1]
+        numbers = [r["chunk"] for r in chunks.select("chunk").collect()]
+        answers = spark.createDataFrame([(n, 0, b"x") for n in numbers], "chunk bigint, bucket int, answer binary")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        told = exchange.over_chunks(chunks, lambda c, given: iter([{"chunk": c.number}]), "chunk bigint", [answers])
+        plan = told._jdf.queryExecution().executedPlan().toString()
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert f"SelectedBucketsCount: {files[-1]} out of {files[-1]}" in plan
+        assert sorted(r["chunk"] for r in told.collect()) == sorted(numbers)
+    assert files[1] in (2 * files[0] - 1, 2 * files[0])
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("chunks_")]
+
+
 # --- BPE -------------------------------------------------------------------------------------------
 
 tokenizers = pytest.importorskip("tokenizers")

@@ -6,8 +6,10 @@ answered as a whole, one bucket at a time; every chunk gets its answers back in
 key that is in every chunk reaches its bucket once per chunk, however often the chunk holds it, so no
 bucket grows with the frequency of a key. The number of buckets grows with the input.
 
-Chunks lie in a table in the shared folder, bucketed by chunk, so that joining the answers to them does
-not move the texts. What a chunk asks depends on its row only; a lost task asks the same again.
+Chunks lie in files in the shared folder, bucketed by chunk, so that joining the answers to them does not move
+the texts. There is a file, and a task of each step, for every ``TASK_BYTES`` of text, up to the most buckets that
+Spark takes; a task holds one chunk at a time, whatever its share. What a chunk asks depends on its row only; a lost
+task asks the same again.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import new_path, utf8
@@ -27,6 +29,8 @@ from .common import new_path, utf8
 #: Bytes of text in a chunk, and of text per bucket.
 CHUNK_BYTES = 4 << 20
 BUCKET_BYTES = 12 << 20
+#: Bytes of text per file of chunks.
+TASK_BYTES = 16 << 20
 
 
 @functools.cache
@@ -71,8 +75,10 @@ class Chunk:
         return cls(row["chunk"], row["keys"], np.frombuffer(raw, np.uint8), np.concatenate([[0], np.cumsum(sizes)]))
 
 
-def chunk_texts(documents: DataFrame, key: str, text: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """The chunks (chunk, keys, sizes, texts) as a bucketed table in the shared folder; null texts are empty."""
+def chunk_texts(
+    documents: DataFrame, key: str, text: str, chunk_bytes: int = CHUNK_BYTES, task_bytes: int = TASK_BYTES
+) -> DataFrame:
+    """The chunks (chunk, keys, sizes, texts) in bucketed files in the shared folder; null texts are empty."""
     spark = documents.sparkSession
     slim = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = slim.schema["key"].dataType.simpleString()
@@ -109,13 +115,22 @@ def chunk_texts(documents: DataFrame, key: str, text: str, chunk_bytes: int = CH
             yield chunk()
 
     schema = f"chunk bigint, keys array<{kind}>, sizes array<bigint>, texts binary"
+    buckets = task_count(spark, slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0, task_bytes)
+    # Spark reads files as bucketed only by way of a table; its name is dropped, the files stay.
     table = f"chunks_{uuid.uuid4().hex}"
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8)
     (
-        slim.mapInArrow(work, schema).write.bucketBy(buckets, "chunk").sortBy("chunk")
+        slim.mapInArrow(work, schema).repartition(buckets, "chunk").write.bucketBy(buckets, "chunk").sortBy("chunk")
         .option("path", new_path(spark, "chunks")).option("compression", "none").saveAsTable(table)
     )
-    return spark.table(table)
+    chunks = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return chunks
+
+
+def task_count(spark: SparkSession, text_bytes: int, task_bytes: int = TASK_BYTES) -> int:
+    """At least one for each core, as little text is no reason to leave cores idle."""
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    return min(most, max(spark.sparkContext.defaultParallelism, -(-text_bytes // task_bytes)))
 
 
 def bucket_count(chunks: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
