@@ -21,9 +21,10 @@ import json
 import os
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
@@ -35,7 +36,7 @@ from .lexicon import compile_lexicon, look_up
 
 #: Words in the transducer at most; bounds its file to about 10 MB.
 LEXICON_WORDS = 1 << 17
-VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 _OTHER, _LETTER, _NUMBER, _SPACE = range(4)
 
 
@@ -335,9 +336,9 @@ def build_lexicon(words: list[bytes], vocabulary: Vocabulary) -> dict[str, np.nd
 
 def _with_encoder(
     documents: DataFrame, key: str, text: str, vocabulary_path: str, most: int, columns: dict[str, tuple[str, pa.DataType]],
-    rows: Callable[[Encoder, np.ndarray, np.ndarray], list[list]],
+    rows: Callable[[Encoder, np.ndarray, np.ndarray], list[list]], keep: Sequence[str] = (),
 ) -> DataFrame:
-    """The key of each row and the columns that ``rows`` makes of blocks of texts."""
+    """The key of each row, columns to ``keep``, and the columns that ``rows`` makes of blocks of texts."""
     spark = documents.sparkSession
     vocabulary = Vocabulary(vocabulary_path)
     words = frequent_words(count_words(documents, text, vocabulary.special), most)
@@ -353,14 +354,17 @@ def _with_encoder(
         for batch in batches:
             for row, data, offsets in blocks(batch.column(1)):
                 made = rows(encoder, data, offsets)
+                kept = [batch.column(c).slice(row, len(offsets) - 1) for c in (0, *range(2, batch.num_columns))]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, len(offsets) - 1)]
-                    + [pa.array(values, kind) for values, (_, kind) in zip(made, columns.values(), strict=True)],
-                    names=["key", *columns],
+                    kept
+                    + [values if isinstance(values, pa.Array) else pa.array(values, kind) for values, (_, kind) in zip(made, columns.values(), strict=True)],
+                    names=["key", *keep, *columns],
                 )
 
-    slim = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    schema = f"key {slim.schema['key'].dataType.simpleString()}, " + ", ".join(f"{n} {t}" for n, (t, _) in columns.items())
+    slim = documents.select(F.col(key).alias("key"), F.col(text).alias("text"), *[F.col(f"`{c}`") for c in keep])
+    carried = {"key": slim.schema["key"], **{c: slim.schema[c] for c in keep}}
+    named = {n: f.dataType.simpleString() for n, f in carried.items()} | {n: t for n, (t, _) in columns.items()}
+    schema = ", ".join(f"`{n}` {t}" for n, t in named.items())
     return slim.mapInArrow(work, schema).withColumnRenamed("key", key)
 
 
@@ -389,9 +393,10 @@ def encode(
 
 def encode_digests(
     documents: DataFrame, key: str = "doc_id", text: str = "text",
-    vocabulary: str = VOCABULARY, lexicon_words: int = LEXICON_WORDS,
+    vocabulary: str = VOCABULARY, lexicon_words: int = LEXICON_WORDS, keep: Sequence[str] = (), with_ids: bool = False,
 ) -> DataFrame:
-    """Per row: key, n_tokens, and the hashes of its ids and of its decoded text."""
+    """Per row: key, columns to ``keep``, n_tokens, the hashes of its ids and of its decoded text, and, if asked
+    for, the ``ids`` themselves."""
 
     def rows(encoder: Encoder, data: np.ndarray, offsets: np.ndarray) -> list[list]:
         ids, bounds = encoder.encode(data, offsets)
@@ -400,9 +405,10 @@ def encode_digests(
             np.diff(bounds),
             [hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(cuts, cuts[1:])],
             [hashlib.sha256(t).hexdigest() for t in _texts(encoder, ids, bounds)],
+            *([pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids.astype(np.int32)))] if with_ids else []),
         ]
 
     columns = {
         "n_tokens": ("bigint", pa.int64()), "ids_sha256": ("string", pa.string()), "decoded_sha256": ("string", pa.string()),
-    }
-    return _with_encoder(documents, key, text, vocabulary, lexicon_words, columns, rows)
+    } | ({"ids": ("array<int>", pa.list_(pa.int32()))} if with_ids else {})
+    return _with_encoder(documents, key, text, vocabulary, lexicon_words, columns, rows, keep)

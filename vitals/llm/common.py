@@ -72,7 +72,8 @@ def without(documents: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
 
     Spark broadcasts the table where its size on disk is below the session's threshold.
     """
-    return documents.join(dropped.select(key), key, "left_anti").select(*documents.columns)
+    kept = documents.join(dropped.select(key), key, "left_anti")
+    return kept.select(*[f"`{c}`" for c in documents.columns])
 
 
 def digest(*columns: Column) -> Column:

@@ -121,7 +121,7 @@ def deduplicate(documents: DataFrame, key: str = "doc_id", text: str = "text", s
     if mixed.isEmpty() and nameless.isEmpty():
         return left
     told = F.unhex(F.sha2(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), f"{SPACE}+", " "), 256))
-    marked = left.select(F.struct(*left.columns).alias("doc"), F.col(key).alias("id"), told.alias("digest"))
+    marked = left.select(F.struct(*[f"`{c}`" for c in left.columns]).alias("doc"), F.col(key).alias("id"), told.alias("digest"))
     twice = marked.join(mixed.select(F.col(key).alias("id")), "id", "left_semi").unionByName(
         marked.filter("id IS NULL").select("id", "doc", "digest")
     )

@@ -5,14 +5,14 @@ Each source has a weight schedule: its weight at every moment of training, linea
 of all documents; a source takes ``max_repeats`` times its own words at most, and what it cannot take is
 shared by weight among the others until none is above.
 
-Within its source a document has a place by a hash of its key. Its words lie on a line of one pass over
+Within its source a document has a place by a hash of its key and text. Its words lie on a line of one pass over
 the source after the other; a copy of the document is taken when its middle lies before the target.
 A taken copy's training position is found by inverting the source's cumulative demand for words
 (the integral of its schedule, scaled to the target) at the copy's middle. Results are sorted by range of
 the first position.
 
 A null text counts as empty: size 0, nothing taken, no position. Null is a source of its own, last in
-order. A null key has the place of its hash like others; rows that repeat a key follow one another in
+order. A null key counts as empty in the place; rows that repeat key and text follow one another in
 any order, as they are alike. Where all sizes are 0, all targets are 0. An empty table gives an empty
 result. Only the named columns are read.
 
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from .common import WORD, digested, one_of_each, row_digest, stored
 
 SLICES = 4096
+POSITION = "training_position"
 #: Weight, and its schedule's start and end, of the sources in order, repeating.
 CYCLE = ((3.0, 4.0, 2.0), (1.0, 0.5, 1.5), (2.0, 2.0, 2.0))
 
@@ -90,7 +91,8 @@ def mix(
     Where ``row`` is given, it is a last column, and the order of rows that share a key.
     """
     marked = [] if row is None else ["row"]
-    place = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))
+    # With the text in it, rows without key or of one repeated key have places of their own.
+    place = F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(":"), F.coalesce(F.col(text), F.lit(""))))
     sized = stored(
         documents.select(
             F.col(key).alias("id"), F.col(source).alias("source"), size_in_words(text).alias("size"), place.alias("place"),
@@ -133,13 +135,15 @@ def mix(
 
 
 def curriculum(documents: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """The taken documents with all columns, once per taken copy, in the order of training.
+    """The taken documents with all columns, once per taken copy, and ``training_position``, in its order.
 
-    Positions are joined back by a digest of the row, so rows that share a key have each their own. Rows
-    without key are left out, though the mix counts their words.
+    The position says where a copy comes in training, from 0 to 1; files of a stored table are read in any order,
+    so it is a column (one that documents have of that name gives way to it). Positions are joined back by a
+    digest of the row, so rows that share a key, or have none, have each their own.
     """
+    documents = documents.drop(POSITION)
     row = row_digest(documents)
-    taken = mix(documents, key, row=row, **options).filter(F.col(key).isNotNull() & (F.col("taken") > 0))
+    taken = mix(documents, key, row=row, **options).filter(F.col("taken") > 0)
     # Rows alike in all columns are one row with the positions of all.
     copies = stored(
         taken.groupBy("row").agg(F.flatten(F.collect_list("positions")).alias("positions")),
@@ -149,4 +153,5 @@ def curriculum(documents: DataFrame, key: str = "doc_id", **options) -> DataFram
     placed = one_of_each(digested(documents, row), repeated).join(copies.select("row", "positions"), "row").select(
         "doc", F.explode("positions").alias("position"), F.xxhash64("row").alias("tie")
     )
-    return placed.repartitionByRange("position", "tie").sortWithinPartitions("position", "tie").select("doc.*")
+    sorted_ = placed.repartitionByRange("position", "tie").sortWithinPartitions("position", "tie")
+    return sorted_.select("doc.*", F.col("position").alias(POSITION))
