@@ -1,8 +1,9 @@
 """The corpus pipeline: language identification, exact and near de-duplication, mixing, encoding.
 
-Each stage takes (spark, documents, sf_dir) and returns a frame. All stages but the last return the
-columns of their documents; the last returns ids and decoded text, with the columns of the documents
-that the encoding does not replace.
+Each stage takes (spark, documents, sf_dir) and returns a frame. All stages but the last return the columns of
+their documents. Mixing adds ``training_position``, the order of the curriculum, which stored files do not keep;
+the last stage carries it on. That stage returns, per taken copy, doc_id, training_position, n_tokens, the ids
+and hashes of ids and of the decoded text.
 """
 
 from __future__ import annotations
@@ -34,8 +35,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and hashes of ids and decoded text of every document."""
-    return bpe.encode_digests(docs)
+    """Ids of every copy, with its place in training; hashes of ids and decoded text."""
+    return bpe.encode_digests(docs, keep=[c for c in docs.columns if c == mixing.POSITION], with_ids=True)
 
 
 STAGES = [
