@@ -20,7 +20,7 @@ NATIVE = {"op2_mixing", "op3_url_filter", "op10_secret_ledger"}
 @pytest.mark.parametrize("key", sorted(LLM_SQL))
 def test_query_agrees_with_sql(spark, sf_dir, key):
     duck = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "benchmark", "conversations"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{sf_dir}/{table}.parquet')")
     frame = LLM_QUERIES[key](spark, sf_dir)
     relation = duck.sql(LLM_SQL[key])
@@ -268,8 +268,11 @@ def test_pipeline_stages(spark):
     frame = spark.createDataFrame([tuple(r[c] for c in docs.columns) for r in distinct], docs.schema)
     mixed = rows_of(stages["mixing"](spark, frame, ""))
     times = collections.Counter(r["doc_id"] for r in mixed)
-    assert times == {g["doc_id"]: len(g["positions"]) for g in rows_of(mixing.mix(frame)) if g["positions"] and g["doc_id"] is not None}
-    encoded = rows_of(stages["bpe"](spark, spark.createDataFrame([tuple(r[c] for c in docs.columns) for r in mixed], docs.schema), ""))
+    positions = collections.Counter((g["doc_id"], p) for g in rows_of(mixing.mix(frame)) for p in g["positions"])
+    assert collections.Counter((r["doc_id"], r["training_position"]) for r in mixed) == positions
+    encoded = rows_of(stages["bpe"](spark, stages["mixing"](spark, frame, ""), ""))
+    assert collections.Counter((e["doc_id"], e["training_position"]) for e in encoded) == positions
+    assert all(len(e["ids"]) == e["n_tokens"] for e in encoded)
     assert collections.Counter(e["doc_id"] for e in encoded) == times
     by_id = {r["doc_id"]: r["text"] for r in mixed}
     assert all(e["decoded_sha256"] == hashlib.sha256(by_id[e["doc_id"]].encode()).hexdigest() for e in encoded)
@@ -298,9 +301,89 @@ def test_rows_that_share_a_key_follow_their_own_decisions(spark):
     size_of = lambda t: len(t.split())
     wanted = collections.Counter()
     for g in rows_of(mixing.mix(good)):
-        if g["doc_id"] is not None:
-            wanted[g["doc_id"], g["size"]] += len(g["positions"])
+        wanted[g["doc_id"], g["size"]] += len(g["positions"])
     got = collections.Counter()
     for (key, t), n in count(stages["mixing"](spark, good, "")).items():
         got[key, size_of(t)] += n
     assert +got == +wanted
+
+
+@pytest.mark.parametrize("dotted", [False, True])
+def test_stages_keep_columns_of_any_name(spark, dotted):
+    """Names that operators use for their own columns, and one with a dot."""
+    docs = documents(spark)
+    docs = docs.withColumn("a.b", docs.size).withColumn("training_position", docs.size) if dotted else docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, "")
+        assert set(out.columns) == set(docs.columns) | ({"training_position"} if name == "mixing" else set()), name
+        assert out.count() > 0 and {r["kept"] for r in out.select("kept").collect()} == {1}
+    assert {"doc_id", "ids"} <= set(corpus_pipeline.STAGES[-1][1](spark, docs, "").columns)
+
+
+def test_mix_takes_rows_without_key(spark):
+    rng = random.Random(4)
+    rows = [(i if i % 2 else None, sentence(rng, 6), "en", "ab"[i % 3 == 0]) for i in range(40)]
+    rows += [rows[0], rows[1]]
+    docs = documents(spark, rows)
+    taken = sum(g["taken"] for g in rows_of(mixing.mix(docs)))
+    copies = rows_of(mixing.curriculum(docs))
+    assert sum(len(r["text"].split()) for r in copies) == taken and any(r["doc_id"] is None for r in copies)
+    order = [r["training_position"] for r in copies]
+    assert order == sorted(order) and 0 <= order[0] and order[-1] <= 1
+
+
+def test_whole_pipeline_against_plain_python(spark, tmp_path):
+    """run() on a folder; what the first stage keeps is told by its texts, all else follows in plain Python."""
+    rng = random.Random(21)
+    text = lambda: "\n".join(sentence(rng, 14) for _ in range(5))
+    rows = [(i, text(), "en", f"s{i % 3}") for i in range(90)]
+    rows += [(100 + i, rows[i][1], "en", "s1") for i in range(12)]  # copies
+    rows += [(200 + i, rows[i][1].replace(" ", "\t", 1), "en", "s2") for i in range(20, 30)]  # copies but for white space
+    rows += [(300 + i, rows[i][1] + " And sing.", "en", "s2") for i in range(40, 44)]  # near copies
+    rows += [(400, None, "en", "s0"), (401, "", "en", "s1"), (402, " \t", None, None), (None, text(), "en", "s1"), (5, text(), "en", "s0")]
+    documents(spark, rows).select("doc_id", "text", "lang", "source").write.parquet(str(tmp_path / "documents.parquet"))
+    got = rows_of(corpus_pipeline.run(spark, str(tmp_path)))
+
+    kept, seen = [], set()
+    for row in sorted((r for r in rows if (r[1] or "").strip(" \t\n")), key=lambda r: (r[0] is None, r[0] or 0)):
+        normal = re.sub(r"[\x20\x09-\x0D]+", " ", row[1])
+        if normal not in seen:
+            seen.add(normal)
+            kept.append(row)
+    prints = [simhash.fingerprint(r[1]) & (2**64 - 1) for r in kept]
+    group = list(range(len(kept)))
+    for a in range(len(kept)):
+        for b in range(a):
+            if (prints[a] ^ prints[b]).bit_count() <= 4:
+                old, new = max(group[a], group[b]), min(group[a], group[b])
+                group = [new if g == old else g for g in group]
+    kept = [r for i, r in enumerate(kept) if group[i] == i]
+
+    words = lambda t: len(t.split())
+    sources = sorted({r[3] for r in kept})
+    size = {s: sum(words(r[1]) for r in kept if r[3] == s) for s in sources}
+    weight = {s: (3.0, 1.0, 2.0)[i % 3] for i, s in enumerate(sources)}
+    ends = {s: ((4.0, 2.0), (0.5, 1.5), (2.0, 2.0))[i % 3] for i, s in enumerate(sources)}
+    target, budget, open_ = {}, 1.5 * sum(size.values()), set(sources)
+    while open_:
+        level = (budget - sum(target.values())) / sum(weight[s] for s in open_)
+        full = {s for s in open_ if level * weight[s] > 2 * size[s]}
+        target |= {s: 2.0 * size[s] for s in full} if full else {s: level * weight[s] for s in open_}
+        open_ = open_ - full if full else set()
+    wanted = []
+    for s in sources:
+        line = sorted((r for r in kept if r[3] == s), key=lambda r: hashlib.md5(f"{'' if r[0] is None else r[0]}:{r[1]}".encode()).hexdigest())
+        a, b = ends[s]
+        for turn in range(2):
+            at = turn * size[s]
+            for r in line:
+                middle = at + words(r[1]) / 2
+                at += words(r[1])
+                if middle <= target[s]:
+                    asked = middle / target[s] * (a + b) / 2
+                    bend = (b - a) / 2
+                    moment = asked / a if not bend else (math.sqrt(a * a + 4 * bend * asked) - a) / (2 * bend)
+                    wanted.append((str(r[0]), round(moment, 9), hashlib.sha256(r[1].encode()).hexdigest()))
+    assert sorted((str(g["doc_id"]), round(g["training_position"], 9), g["decoded_sha256"]) for g in got) == sorted(wanted)
+    ids = {g["ids_sha256"]: g["ids"] for g in got}
+    assert all(hashlib.sha256(b"".join(i.to_bytes(4, "little") for i in v)).hexdigest() == k for k, v in ids.items())

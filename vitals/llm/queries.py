@@ -143,7 +143,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _MIXING_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-    md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS place FROM documents),
+    md5(concat(coalesce(CAST(doc_id AS VARCHAR), ''), ':', coalesce(text, ''))) AS place FROM documents),
 s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) % 3 AS turn
   FROM d GROUP BY source),
@@ -327,7 +327,29 @@ FROM full_ f JOIN below b ON b.depth = f.depth AND b.node = f.node
 LEFT JOIN full_ u ON u.depth = f.depth - 1 AND u.node = f.up""".replace("CRC32", _CRC32)
 
 
+_REPEATS_SQL = """
+WITH d AS (
+  SELECT doc_id, raw, octet_length(raw) AS n FROM (SELECT doc_id, encode(coalesce(text, '')) AS raw FROM documents)),
+w AS (
+  SELECT doc_id, i, raw[i:i + 49] AS s FROM (SELECT doc_id, raw, unnest(range(1, n - 48)) AS i FROM d WHERE n >= 50)),
+hit AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS least FROM w) WHERE least < doc_id),
+started AS (SELECT *, coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > 50, true) AS new FROM hit),
+numbered AS (SELECT *, count_if(new) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM started),
+spans AS (SELECT doc_id, min(i) AS a, max(i) + 49 AS z FROM numbered GROUP BY doc_id, k),
+sums AS (SELECT doc_id, count(*) AS n_spans, sum(z - a + 1) AS n_removed, min(a) AS first FROM spans GROUP BY doc_id),
+pieces AS (
+  SELECT doc_id, raw, 1 AS f, coalesce(first - 1, n) AS t FROM d LEFT JOIN sums USING (doc_id)
+  UNION ALL
+  SELECT doc_id, raw, z + 1, coalesce(lead(a) OVER (PARTITION BY doc_id ORDER BY a) - 1, n) FROM spans JOIN d USING (doc_id)),
+kept AS (SELECT doc_id, unhex(string_agg(hex(raw[f:t]), '' ORDER BY f)) AS bytes FROM pieces GROUP BY doc_id)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  coalesce(n_spans, 0) AS n_spans, sha256(bytes) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN sums USING (doc_id)"""
+
+
 LLM_SQL: dict[str, str] = {
+    "op5_repeats": _REPEATS_SQL,
     "op12_decontaminate": _LEAKS_SQL,
     "op13_prefix_trie": _TRIE_SQL,
     "op2_mixing": _MIXING_SQL,
