@@ -15,14 +15,17 @@ matters, so they are ordered by fingerprints of their first bytes.
 3. What remains is where copies begin and end. There every single suffix goes to its block and is
    sorted with the others, to the full depth.
 
+Which bytes are matched after step 2, and which suffixes are open, is stored, so steps 1 and 2 are not worked out
+again.
+
 A block holds a bounded part of the input, one string per chunk of documents at most, so neither a block nor
 a task grows with how often a string repeats; first bytes that very many chunks share are spread by rank.
 
 A null text counts as empty. Texts shorter than ``length`` bytes lose nothing. Keys are integers; a null key
 counts as smaller than all others. Rows that repeat a key are the same document: neither is smaller, so what
 only they share stays in both. An empty table gives an empty result. Only key and text are read.
-Strings are told apart by fingerprints: the last single ones by 64 bits and 24 of an independent second one, ranks by
-the bits of their block's key and 48 of their own, 88 or more together.
+Strings are told apart by fingerprints: single ones by 64 bits and 24 of an independent second one, ranks by the bits
+of their block's key (40 at least) and 48 of their own.
 """
 
 from __future__ import annotations
@@ -37,8 +40,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from .common import stored
-from .exchange import BUCKET_BYTES, CHUNK_BYTES, Chunk, answered, bucket_count, chunk_texts, over_chunks, pack, pack_sorted, split, unpack
-from .prints import mix, places, prints
+from .exchange import BUCKET_BYTES, CHUNK_BYTES, Chunk, answered, bucket_count, chunk_texts, over_chunks, pack, pack_sorted, split, unpack, unpack_sorted
+from .prints import mix, places, prints, windows
 
 #: Perfect difference sets, by period.
 COVERS = {
@@ -87,7 +90,7 @@ class Work:
             picked.append((doc, self.starts[doc] + at[inside[at % depth.period]]))
         self.at = np.concatenate([p for _, p in picked]) if picked else np.empty(0, np.int64)
         self.doc = np.repeat([d for d, _ in picked], [len(p) for _, p in picked]).astype(np.int64)
-        self.first = prints(self.data, self.at, self.at + depth.first_bytes)
+        self.first = windows(self.data, self.at, depth.first_bytes)
         self.keys, self.of = places(self.first & depth.key_mask)
         self.times = np.bincount(self.of, minlength=len(self.keys))
 
@@ -127,21 +130,33 @@ class Work:
         low = np.maximum(self.at - self.depth.period + 1, self.starts[self.doc])
         high = np.minimum(self.at, self.ends[self.doc] - self.depth.length) + 1
         self.hit = _covered(len(self.data), low[verdict == 1], high[verdict == 1])
-        open_at = np.nonzero(_covered(len(self.data), low[verdict == 2], high[verdict == 2]) & ~self.hit)[0]
-        whole = prints(self.data, open_at, open_at + self.depth.length)
-        other = prints(self.data, open_at, open_at + self.depth.length, point=1)
-        doc_key = self.doc_key[np.searchsorted(self.ends, open_at, "right")]
+        self.open_at = np.nonzero(_covered(len(self.data), low[verdict == 2], high[verdict == 2]) & ~self.hit)[0]
+
+
+class Open:
+    """The matches of a chunk as far as ranks tell them, and the suffixes that they leave open."""
+
+    def __init__(self, chunk: Chunk, depth: Depth, state: dict[int, bytes]):
+        self.data, self.depth = chunk.data, depth
+        self.hit = np.unpackbits(unpack(state[0], "u1"), count=len(chunk.data)).astype(bool)
+        self.open_at = open_at = unpack_sorted(state[1], "<u8").astype(np.int64)
+        whole = windows(self.data, open_at, depth.length)
+        keys = np.array([_NULL_KEY if k is None else k for k in chunk.keys], np.int64)
+        doc_key = keys[np.searchsorted(chunk.offsets[1:], open_at, "right")]
         order = np.lexsort((doc_key, whole))
         new = np.ones(len(order), bool)
         new[1:] = whole[order][1:] != whole[order][:-1]
         entry = np.empty(len(order), np.int64)
         entry[order] = np.cumsum(new) - 1
         chosen = order[new]
-        self.open_at, self.open_entry = open_at, entry
+        self.open_entry, self.chosen = entry, open_at[chosen]
         self.open_key, self.open_doc = whole[chosen], doc_key[chosen]
-        self.open_check = (other[chosen] >> np.uint64(40)).astype(np.uint32)
         self.hit[open_at[doc_key > self.open_doc[entry]]] = True
 
+    def check(self) -> np.ndarray:
+        """24 more bits of each open entry, independent of its key."""
+        return (windows(self.data, self.chosen, self.depth.length, point=1) >> np.uint64(40)).astype(np.uint32)
+
     def removed(self, found: np.ndarray) -> np.ndarray:
         """Which bytes go, given for each open entry whether a smaller document has it."""
         self.hit[self.open_at[found[self.open_entry] > 0]] = True
@@ -232,17 +247,18 @@ def remove_repeats(
         w = ranked(chunk, shared)
         yield from _asked(chunk.number, buckets, w.entry_key, rank=w.entry_rank, doc=w.entry_doc, hot=w.entry_hot)
 
-    def opened(chunk: Chunk, shared: dict, settled: dict) -> Work:
+    def opened(chunk: Chunk, shared: dict, settled: dict) -> Iterator[dict]:
         work = ranked(chunk, shared)
         work.suffixes(_in_order(settled))
-        return work
+        for part, packed in enumerate((pack(np.packbits(work.hit)), pack_sorted(work.open_at.astype("<u8")))):
+            yield {"chunk": chunk.number, "bucket": part, "answer": packed}
 
-    def ask_suffixes(chunk: Chunk, shared: dict, settled: dict) -> Iterator[dict]:
-        w = opened(chunk, shared, settled)
-        yield from _asked(chunk.number, buckets, w.open_key, check=w.open_check, doc=w.open_doc)
+    def ask_suffixes(chunk: Chunk, state: dict) -> Iterator[dict]:
+        w = Open(chunk, depth, state)
+        yield from _asked(chunk.number, buckets, w.open_key, check=w.check(), doc=w.open_doc)
 
-    def remove(chunk: Chunk, shared: dict, settled: dict, found: dict) -> Iterator[dict]:
-        gone = opened(chunk, shared, settled).removed(_in_order(found))
+    def remove(chunk: Chunk, state: dict, found: dict) -> Iterator[dict]:
+        gone = Open(chunk, depth, state).removed(_in_order(found))
         for doc, name in enumerate(chunk.keys):
             part = slice(*chunk.offsets[doc : doc + 2])
             own = gone[part]
@@ -262,12 +278,13 @@ def remove_repeats(
         ),
         "repeats-settled",
     )
+    state = stored(over_chunks(chunks, opened, "chunk bigint, bucket int, answer binary", [one, two]), "repeats-state")
     three = stored(
         answered(
-            over_chunks(chunks, ask_suffixes, f"{head}, check binary, doc binary", [one, two]),
+            over_chunks(chunks, ask_suffixes, f"{head}, check binary, doc binary", [state]),
             {"key": "<u8", "check": "<u4", "doc": "<i8"}, _found,
         ),
         "repeats-found",
     )
     schema = f"{key} bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-    return over_chunks(chunks, remove, schema + (", kept binary" if with_text else ""), [one, two, three])
+    return over_chunks(chunks, remove, schema + (", kept binary" if with_text else ""), [state, three])
