@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from . import (
     simhash,
     url_filter,
 )
-from .common import WORD, new_path
+from .common import WORD, new_path, stored
 
 #: Words in the names of hosts whose pages are listed, and the contract's rules.
 LISTED_HOSTS = "adult-x|ads-track|casino-win|cheap-pills|free-bets|spam-farm"
@@ -56,9 +57,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
-    listed = pages.filter(url_filter.host_of(F.col("url")).rlike(rf"(^|\.)({LISTED_HOSTS})\."))
-    return url_filter.judge(pages, listed, URL_RULES)
+    """The list: pages of some hosts, and whatever page has more links than paragraphs, on any host."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    farm = F.regexp_count("html", F.lit("<a ")) > F.regexp_count("html", F.lit("<p>"))
+    listed = pages.filter(url_filter.host_of(F.col("url")).rlike(rf"(^|\.)({LISTED_HOSTS})\.") | farm)
+    return url_filter.judge(pages, listed.select("url"), URL_RULES)
 
 
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,7 +89,17 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secret_ledger.scan(_documents(spark, sf_dir), new_path(spark, "secret-ledger"))
+    """Two commits: the texts without their last lines, under an older rule for hexadecimal keys; then the texts.
+
+    The second run scans texts that the first has not seen, and the others for the new version of that rule.
+    ``n_scans`` counts the rule versions that a text was scanned with.
+    """
+    documents, ledger = _documents(spark, sf_dir), new_path(spark, "secret-ledger")
+    earlier = documents.select("doc_id", F.regexp_replace("text", r"\n[^\n]*\z", "").alias("text"))
+    older = [replace(r, pattern="[0-9a-f]{32,}", version=0) if r.kind == "hex" else r for r in secret_ledger.RULES]
+    stored(secret_ledger.scan(earlier, ledger, rules=older), "secret-first-commit")
+    found = secret_ledger.scan(documents, ledger)
+    found = found.join(secret_ledger.scans_of(spark, ledger), "digest")
     return secret_ledger.digest_spans(found)
 
 
@@ -177,7 +190,7 @@ FROM m"""
 
 _URL_SQL = rf"""
 WITH parts AS (
-  SELECT page_id, url,
+  SELECT page_id, url, len(regexp_extract_all(html, '<a ')) > len(regexp_extract_all(html, '<p>')) AS farm,
     translate(coalesce(regexp_extract(url, '^.*?://([^/?#]*)([^?#]*)', 1, 's'), ''),
       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     coalesce(regexp_extract(url, '^.*?://([^/?#]*)([^?#]*)', 2, 's'), '') AS path,
@@ -197,7 +210,7 @@ ruled AS (
       WHEN (host = 'com' OR suffix(host, '.com')) AND starts_with(path, '/de/') THEN 'com/de/'
       WHEN (host = 'org' OR suffix(host, '.org')) AND starts_with(path, '/') THEN 'org/' END AS rule,
     coalesce(canonical IN (SELECT canonical FROM forms
-      WHERE canonical IS NOT NULL AND regexp_matches(host, '(^|\.)({LISTED_HOSTS})\.')), false) AS listed
+      WHERE canonical IS NOT NULL AND (farm OR regexp_matches(host, '(^|\.)({LISTED_HOSTS})\.'))), false) AS listed
   FROM forms)
 SELECT page_id, host, path, rule, listed, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow'
   WHEN rule IS NOT NULL OR listed THEN 'block' ELSE 'allow' END AS verdict
@@ -247,12 +260,23 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
 FROM m"""
 
 
+#: Kind, pattern, checked group and its least length, written anew here, so that a wrong rule of the operator shows.
+_SECRETS = (
+    ("assign", r"""((?:[Pp][Aa][Ss][Ss][Ww](?:[Oo][Rr])?[Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy]))["']?[ ]*[:=][ ]*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    ("access", "AKIA[A-Z0-9]+", 0, 20),
+    ("hex", "[0-9a-f]+", 0, 24),
+    ("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+    ("github", "gh[oprsu]_[0-9A-Za-z]+", 0, 40),
+    ("jwt", r"eyJ[-_0-9A-Za-z]{8,}[.][-_0-9A-Za-z]{8,}[.][-_0-9A-Za-z]{8,}", 0, 1),
+)
+
+
 def _secrets_sql() -> str:
     found = " UNION ALL ".join(
-        f"SELECT doc_id, {i} AS place, '{r.kind}' AS kind, {r.min_chars} AS least, string_split_regex(text, $${r.pattern}$$) AS gaps,"
-        f" regexp_extract_all(text, $${r.pattern}$$) AS hits, regexp_extract_all(text, $${r.pattern}$$, {r.group}) AS parts"
-        f" FROM documents WHERE regexp_matches(text, $${r.pattern}$$)"
-        for i, r in enumerate(secret_ledger.RULES)
+        f"SELECT doc_id, {i} AS place, '{kind}' AS kind, {least} AS least, string_split_regex(text, $${pattern}$$) AS gaps,"
+        f" regexp_extract_all(text, $${pattern}$$) AS hits, regexp_extract_all(text, $${pattern}$$, {group}) AS parts"
+        f" FROM documents WHERE regexp_matches(text, $${pattern}$$)"
+        for i, (kind, pattern, group, least) in enumerate(_SECRETS)
     )
     return f"""
 WITH found AS ({found}),
@@ -268,7 +292,9 @@ joined AS (
     string_agg(span, ',' ORDER BY begin, place) AS spans
   FROM texts GROUP BY doc_id)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
-  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+  CAST(CASE WHEN coalesce(text, '') IN (SELECT coalesce(regexp_replace(text, '\\n[^\\n]*\\z', ''), '') FROM documents)
+    THEN 7 ELSE 6 END AS BIGINT) AS n_scans
 FROM documents LEFT JOIN joined USING (doc_id)"""
 
 

@@ -20,7 +20,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -133,6 +133,12 @@ def scan(versions: DataFrame, ledger: str, path: str = "doc_id", text: str = "te
     )
 
 
+def scans_of(spark: SparkSession, ledger: str) -> DataFrame:
+    """(digest, n_scans): with how many versions of rules each blob has been scanned, over all runs."""
+    all_of = _ledger(spark, ledger).groupBy("digest").agg(F.array_distinct(F.flatten(F.collect_list("rules"))).alias("rules"))
+    return all_of.select("digest", F.size("rules").cast("bigint").alias("n_scans"))
+
+
 def _joined(findings: Column, rules: Sequence[SecretRule]) -> Column:
     """kind:start:end of the findings under these rules, by start, then rule as listed."""
     names = F.array(*[F.lit(r.name) for r in rules])
@@ -152,5 +158,5 @@ def digest_spans(scanned: DataFrame, path: str = "doc_id", rules: Sequence[Secre
     return scanned.select(
         path, *[count(r) for r in BASE_RULES],
         F.sha2(_joined(F.col("findings"), BASE_RULES), 256).alias("base_sha256"),
-        _joined(F.col("findings"), rules).alias("spans"),
+        _joined(F.col("findings"), rules).alias("spans"), *[c for c in scanned.columns if c == "n_scans"],
     )
