@@ -5,9 +5,9 @@ from pathlib import Path
 from events import LATER, event, records
 from test_readings import GOOD, MONDAY
 
-from vitals.operators import lineage, quality
+from vitals.operators import lineage, monitor, quality
 from vitals.plans import jobs
-from vitals.schemas import GOLD, METRICS, SILVER
+from vitals.schemas import ALARM_STATES, GOLD, METRICS, READING, SILVER
 from vitals.sources import lake as tables
 from vitals.sources.lake import Lake
 
@@ -181,6 +181,41 @@ def test_reading_jobs_end_to_end(spark, tmp_path):
     assert {"day", "datetime"} <= set(board.columns)
 
 
+def test_readings_advance_by_the_days_they_touch(spark, tmp_path):
+    lake, day = Lake(str(tmp_path)), 86_400
+    at = lambda t, bpm=70, device="a": (device, MONDAY + t, bpm, 10, 48.0, 2.0)
+    batches = [
+        [at(0), at(60, 80), at(day), at(day + 3600, 90, "b"), at(0, bpm=0)],  # the last one is not clean
+        [at(day + 7200, 50)],
+        [at(3 * day), at(3 * day + 1, 71)],
+    ]
+
+    def add(number):
+        rows = spark.createDataFrame(batches[number], READING)
+        tables.write_named(rows, lake.readings_bronze, f"{number:012d}", "json")
+
+    add(0)
+    first = jobs.advance_readings(spark, lake)
+    assert len(first) == 2
+    files = data_files(lake.readings_gold_days)
+    add(1)
+    assert jobs.advance_readings(spark, lake) == first[1:]
+    # One day is written anew, the other is left as it was.
+    kept = [f for f in data_files(lake.readings_gold_days) if f in files]
+    assert kept == [f for f in files if f"dt={first[0]}" in str(f)] and len(kept) == 1
+    assert jobs.advance_readings(spark, lake) == []
+    add(2)
+    assert len(jobs.advance_readings(spark, lake)) == 1
+    add(1)  # written again, as after a crash: it has been taken
+    assert jobs.advance_readings(spark, lake) == []
+    jobs.bronze_to_silver(spark, lake)
+    jobs.silver_to_gold(spark, lake)
+    of = lambda path: sorted(map(str, tables.load_dashboard(spark, path).collect()))
+    assert of(lake.readings_gold_days) == of(lake.readings_gold) and len(of(lake.readings_gold)) == 5
+    pruned = tables.read_table(spark, lake.readings_days, READING).count()
+    assert pruned == 7
+
+
 def test_files_of_answers_name_both_fields(spark, tmp_path):
     assert tables.load_answers(spark, str(tmp_path / "none")).count() == 0
     (tmp_path / "answers").mkdir()
@@ -208,11 +243,58 @@ def test_metrics_and_alarms_of_routed_batches(spark, tmp_path):
         # A batch delivered again replaces its metrics too.
         for _ in range(2):
             jobs.route_batch(records(spark, sent, at, first=minute * 100), lake, None, at)
-    changes = jobs.refresh_alarms(spark, lake)
-    assert [(c["alarm"], c["minute"].minute, c["to_state"]) for c in changes] == [
+    changes = jobs.refresh_alarms(spark, lake).orderBy("minute").collect()
+    assert [(c.alarm, c.minute.minute, c.to_state) for c in changes] == [
         ("abnormal_heart_rate", 30, "ALARM"), ("abnormal_heart_rate", 31, "OK"), ("abnormal_heart_rate", 33, "ALARM"),
     ]
     states = spark.read.parquet(lake.alarms)
     assert states.where("alarm = 'lagging'").count() == 4 and states.where("alarm = 'lagging' AND state = 'ALARM'").count() == 0
     stored = tables.read_table(spark, lake.metrics, METRICS)
     assert {(r.minute.minute, r.valid_events) for r in stored.collect()} == {(30, 3), (31, 3), (33, 3)}
+
+
+def minute_of_lag(spark, lake, hour, minute, lag, name):
+    """Stored metrics of one minute."""
+    at = datetime(2031, 5, 6, hour, minute)
+    row = (at, 1, 0, 0, lag, [(lag, 1)], "2031-05-06", f"{hour:02d}")
+    tables.write_batch(spark.createDataFrame([row], METRICS), lake.metrics, name, "parquet")
+
+
+def test_alarms_continue_from_the_last_hour(spark, tmp_path):
+    """Three lagging minutes in a row over the turn of an hour, stored in three runs; then all at once."""
+    lake, whole = Lake(str(tmp_path / "steps")), Lake(str(tmp_path / "whole"))
+    lags = {(13, 50): 90_000, (14, 57): 1, (14, 58): 70_000, (14, 59): 70_000, (15, 0): 70_000, (15, 1): 70_000, (15, 4): 5, (17, 0): 5}
+    runs = [[(13, 50), (14, 57), (14, 58)], [(14, 59), (15, 0)], [(15, 1), (15, 4)], [(17, 0)]]
+    for i, minutes in enumerate(runs):
+        for hour, minute in minutes:
+            for each in (lake, whole):
+                minute_of_lag(spark, each, hour, minute, lags[hour, minute], f"b{minute}")
+        before = data_files(lake.alarms)
+        jobs.refresh_alarms(spark, lake)
+        if i == 2:
+            # Hours before the last one are neither read nor written.
+            assert [f for f in data_files(lake.alarms) if "hour=15" not in str(f)] == [f for f in before if "hour=15" not in str(f)]
+    jobs.refresh_alarms(spark, whole)
+    read = lambda k: sorted(map(str, tables.read_table(spark, k.alarms, ALARM_STATES).collect()))
+    assert read(lake) == read(whole) and len(read(lake)) == 2 * (3 * 60 + 11)
+    changes = jobs.alarm_changes(spark, lake).orderBy("minute").collect()
+    assert [(f"{c.minute:%H:%M}", c.from_state, c.to_state) for c in changes] == [("15:00", "OK", "ALARM"), ("15:02", "ALARM", "OK")]
+
+
+def test_percentiles_of_stored_metrics_are_those_of_the_records(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    at = datetime(2031, 5, 6, 14, 30, tzinfo=timezone.utc)
+    classified = []
+    for b in range(4):
+        sent = [event(event_id=f"{b}-{i}", timestamp=f"2031-05-06T14:2{(i * b) % 9}:{i:02d}Z") for i in range(11 + b)] + ["junk"] * b
+        jobs.route_batch(records(spark, sent, at, first=1000 * b + 1), lake, None, at)
+        classified.append(quality.classify(quality.with_arrival(quality.to_envelope(records(spark, sent, at, first=1000 * b + 1)))))
+    rows = classified[0]
+    for more in classified[1:]:
+        rows = rows.unionByName(more)
+    stored = tables.read_table(spark, lake.metrics, METRICS)
+    assert stored.count() == 4
+    merged = monitor.merged_metrics(stored)
+    exact = monitor.latency_percentiles(monitor.measured(rows, jobs.instant(at)))
+    assert merged.select("minute", "p50_ms", "p99_ms").collect() == exact.collect()
+    assert merged.select("valid_events", "invalid_events").collect() == [(11 + 12 + 13 + 14, 6)]

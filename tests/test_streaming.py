@@ -1,19 +1,19 @@
 import json
 import os
-import re
 from datetime import datetime, timedelta, timezone
 from pathlib import Path
 
 import duckdb
 import pyarrow.parquet as pq
 import pytest
-from events import FIRST_SEQUENCE, LATER, as_json_lines, event, record
+from events import FIRST_SEQUENCE, LATER, as_json_lines, event, record, records
 from pyspark.sql import functions as F
 from test_readings import GOOD, MESSAGES
 
-from vitals.operators import gold, quality
+from vitals.operators import enrich, gold, quality
 from vitals.plans import jobs, streamed
 from vitals.plans.check_sql import CHECK_SQL
+from vitals.schemas import CLOSING, MINUTES, SILVER
 from vitals.session import checkpoint_for
 from vitals.sources import derived, streams
 from vitals.sources import lake as tables
@@ -208,23 +208,111 @@ def events_out_of_order(sf_dir, folder, files=5):
 
 
 def test_stream_metrics_lose_no_record_of_late_files(spark, sf_dir, tmp_path):
-    """Closed minutes against the check SQL, and all minutes against the same SQL without its limit."""
+    """All minutes, the last ones open, from files out of the order of time."""
     folder = events_out_of_order(sf_dir, tmp_path / "sf")
     duck = duckdb.connect()
     duck.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{sf_dir}/events.parquet')")
-    sql = CHECK_SQL["stream_metrics"]
-    limit = re.search(r"WHERE minute \+ .*\n", sql)[0]
-    counts = streamed.minute_counts(spark, folder)
-    for query, found in (
-        (sql, streamed.stream_metrics(spark, folder)),
-        (sql.replace(limit, ""), aggregates.minute_metrics(counts)),
-    ):
-        relation = duck.sql(query)
-        assert sorted(map(tuple, found.select(relation.columns).collect())) == sorted(relation.fetchall())
-    assert counts.agg(F.sum("n")).first()[0] == derived.raw_events(spark, sf_dir).count()
+    relation = duck.sql(CHECK_SQL["stream_metrics"])
+    found = streamed.stream_metrics(spark, folder)
+    assert sorted(map(tuple, found.select(relation.columns).collect())) == sorted(relation.fetchall())
+    sums = found.agg(F.sum("valid_events") + F.sum("invalid_events"), F.count_if(~F.col("is_closed"))).first()
+    assert sums[0] == derived.raw_events(spark, sf_dir).count() and sums[1] > 0
     duck.close()
 
 
+def timed_events(spark, inbox, **options):
+    records = streams.transport_records(spark, inbox, **options)
+    classified = quality.classify(quality.with_arrival(quality.to_envelope(records)))
+    return classified.withColumn("processed_ts", F.col("arrival_ts") + F.expr("INTERVAL 1 SECOND"))
+
+
+def minutes_of(spark, lake):
+    rows = tables.read_table(spark, lake.minutes, MINUTES).orderBy("minute").collect()
+    return [(f"{r.minute:%H:%M}", r.valid_events, r.invalid_events, r.is_closed) for r in rows]
+
+
+def test_minutes_are_replaced_in_place(spark, tmp_path):
+    lake, inbox = Lake(str(tmp_path / "lake")), str(tmp_path / "in")
+    at = lambda hour, minute: datetime(2031, 5, 6, hour, minute, 5, tzinfo=timezone.utc)
+
+    def run():
+        finish(aggregates.keep_minutes(timed_events(spark, inbox), lake))
+        return minutes_of(spark, lake)
+
+    arrive(inbox, "1.json", [event(), "junk"], FIRST_SEQUENCE, at(14, 58))
+    assert run() == [("14:58", 1, 1, False)]
+    # The next hour closes a minute of the hour before; its own is open.
+    arrive(inbox, "2.json", [event()], LATER, at(15, 1))
+    assert run() == [("14:58", 1, 1, True), ("15:01", 1, 0, False)]
+    # A record of a closed minute still counts, and the minute stays closed.
+    arrive(inbox, "3.json", [event(event_id="late")], LATER + 10, at(14, 58))
+    assert run() == [("14:58", 2, 1, True), ("15:01", 1, 0, False)]
+    arrive(inbox, "4.json", [event(event_id="on")], LATER + 20, at(15, 3))
+    assert run() == [("14:58", 2, 1, True), ("15:01", 1, 0, True), ("15:03", 1, 0, False)]
+    # The last micro-batch once more, as after a crash before it was committed.
+    for commits in Path(lake.root).glob("_checkpoints/minutes-*/commits"):
+        newest = max(int(f.name) for f in commits.iterdir() if f.name.isdigit())
+        (commits / str(newest)).unlink()
+        (commits / f".{newest}.crc").unlink(missing_ok=True)
+    assert run() == [("14:58", 2, 1, True), ("15:01", 1, 0, True), ("15:03", 1, 0, False)]
+
+
+def silver_part(spark, lake, batch, payloads, first):
+    classified = quality.classify(quality.with_arrival(quality.to_envelope(records(spark, payloads, NOW, first=first))))
+    silver = enrich.to_silver(classified.withColumn("batch", F.lit(batch)), processed_now(), keep=["batch"])
+    tables.write_batches(silver, lake.silver, "parquet")
+
+
+def report(spark, lake):
+    return {(r.dt[-2:], r.hour): (r.emitted, r.late_events, r.open) for r in aggregates.late_report(spark, lake).collect()}
+
+
+def test_late_events_are_kept_and_counted(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+
+    def run():
+        finish(aggregates.emit_closed_hours(streams.silver_stream(spark, lake.silver), lake, NOW))
+
+    silver_part(spark, lake, "a", [beat(1, 10, 5), beat(2, 10, 50), beat(1, 10, 5), beat(3, 11, 10)], FIRST_SEQUENCE)
+    run()
+    assert report(spark, lake) == {("06", "10"): (0, 0, 2), ("06", "11"): (0, 0, 1)}
+    # The watermark passes hours 10 and 11; an hour late is in time.
+    silver_part(spark, lake, "b", [beat(4, 13, 30), beat(5, 11, 40)], FIRST_SEQUENCE + 10)
+    run()
+    assert report(spark, lake) == {("06", "10"): (2, 0, 0), ("06", "11"): (2, 0, 0), ("06", "13"): (0, 0, 1)}
+    # Late: a new event, and one that gold has already; the day before was never open.
+    silver_part(spark, lake, "c", [beat(6, 10, 20), beat(2, 10, 50), beat(7, 9, 0, day="2031-05-05"), beat(8, 13, 31)], FIRST_SEQUENCE + 20)
+    run()
+    expected = {("05", "09"): (0, 1, 0), ("06", "10"): (2, 1, 0), ("06", "11"): (2, 0, 0), ("06", "13"): (0, 0, 2)}
+    assert report(spark, lake) == expected
+    assert tables.read_table(spark, lake.late, SILVER).count() == 3
+    before = gold_rows(tables.read_table(spark, lake.closed_gold, tables.GOLD))
+    # Partitions written again are judged as before.
+    silver_part(spark, lake, "c", [beat(6, 10, 20), beat(2, 10, 50), beat(7, 9, 0, day="2031-05-05"), beat(8, 13, 31)], FIRST_SEQUENCE + 20)
+    silver_part(spark, lake, "a", [beat(1, 10, 5), beat(2, 10, 50), beat(1, 10, 5), beat(3, 11, 10)], FIRST_SEQUENCE)
+    run()
+    assert report(spark, lake) == expected and tables.read_table(spark, lake.late, SILVER).count() == 3
+    assert gold_rows(tables.read_table(spark, lake.closed_gold, tables.GOLD)) == before
+    distinct = tables.read_silver(spark, lake).select("event_id", "dt", "hour").distinct().count()
+    assert sum(map(sum, expected.values())) == distinct
+    progress = tables.read_table(spark, lake.closing, CLOSING)
+    assert progress.agg(F.sum("on_time"), F.sum("late")).first()[:] == (7 + 5, 3 + 3)
+
+
+def test_windowed_gold_counts_what_it_drops(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+    batches = [[beat(1, 7, 5), beat(2, 7, 50)], [beat(3, 10, 30)], [beat(4, 7, 20), beat(5, 10, 40)], [beat(6, 14, 1)]]
+    query = None
+    for i, batch in enumerate(batches):
+        silver_part(spark, lake, f"b{i}", batch, FIRST_SEQUENCE + 10 * i)
+        silver = streams.silver_stream(spark, lake.silver)
+        query = finish(streams.start(aggregates.windowed_gold(silver, processed_now()), "gold-windows", "parquet", lake.root, str(tmp_path / "gold")))
+        if i == 2:
+            assert aggregates.dropped_rows(query) == 1
+    emitted = tables.read_table(spark, str(tmp_path / "gold"), tables.GOLD)
+    assert {(r.hour, r.event_count) for r in emitted.collect()} == {("07", 2), ("10", 2)}
+
+
 def shuffled_files(inbox, n=6):
     """The same events in files that arrive out of order of time."""
     for i in (3, 0, 5, 1, 4, 2)[:n]:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .functions.health import DEFAULT_THRESHOLDS, Thresholds
 from .plans import jobs
 from .session import build_session, configure
-from .sources import streams
+from .sources import catalog, streams
 from .sources.lake import Lake, register_views
 from .streaming import aggregates, alerting, ingest
 
@@ -101,6 +101,7 @@ JOBS = {
     ),
     "readings-silver": lambda s, k, a: jobs.bronze_to_silver(s, k, a.silver_format),
     "readings-gold": lambda s, k, a: jobs.silver_to_gold(s, k, a.silver_format),
+    "readings-advance": lambda s, k, a: jobs.advance_readings(s, k),
     "readings-answers": lambda s, k, a: jobs.answer_questions(s, k, a.silver_format),
     "alerts": _alerts,
     "notifications": lambda s, k, a: alerting.render_notifications(
@@ -123,10 +124,16 @@ JOBS = {
     ),
     "gold-refresh": lambda s, k, a: jobs.refresh_gold(s, k, _now(), a.hours_back, a.dt, a.hour),
     "expire": lambda s, k, a: jobs.expire(s, k, _now(), a.keep_days),
+    "compact": lambda s, k, a: jobs.compact(s, k),
+    "catalog": lambda s, k, a: catalog.publish(s, k),
+    "vacuum": lambda s, k, a: jobs.vacuum(s, k),
     "malformed": lambda s, k, a: alerting.report_malformed(
         _messages(s, a, "latest"), k, a.output, trigger=_trigger(a)
     ),
-    "alarms": lambda s, k, a: jobs.refresh_alarms(s, k),
+    "alarms": lambda s, k, a: [r.asDict() for r in jobs.refresh_alarms(s, k).orderBy("minute", "alarm").limit(a.rows or 20).collect()],
+    "closed-gold": lambda s, k, a: aggregates.emit_closed_hours(
+        streams.silver_stream(s, k.silver, **_pace(a)), k, trigger=_trigger(a)
+    ),
     "sql": _sql,
 }
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,9 +26,9 @@ def latency_ms(processed_at: Column, event_time: Column) -> Column:
 
 
 def enrich(
-    valid: DataFrame, processed_at: Column, limits: Thresholds = DEFAULT_THRESHOLDS
+    valid: DataFrame, processed_at: Column, limits: Thresholds = DEFAULT_THRESHOLDS, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Silver rows of valid events; ``processed_at`` is a TIMESTAMP column or literal."""
+    """Silver rows of valid events, with columns to ``keep``; ``processed_at`` is a TIMESTAMP column or literal."""
     event_time, heart_rate = F.col("event_time"), F.col("heart_rate")
     return valid.select(
         "event_id",
@@ -45,13 +47,14 @@ def enrich(
         latency_ms(processed_at, event_time).alias("end_to_end_latency_ms"),
         F.col("sequence_number").alias("kinesis_sequence_number"),
         *[c.alias(n) for n, c in hour_partition(event_time).items()],
-    ).select(SILVER_COLUMNS)
+        *keep,
+    ).select(*SILVER_COLUMNS, *keep)
 
 
 def to_silver(
-    classified: DataFrame, processed_at: Column, limits: Thresholds = DEFAULT_THRESHOLDS
+    classified: DataFrame, processed_at: Column, limits: Thresholds = DEFAULT_THRESHOLDS, keep: Sequence[str] = ()
 ) -> DataFrame:
-    return enrich(accepted(classified), processed_at, limits)
+    return enrich(accepted(classified), processed_at, limits, keep)
 
 
 def abnormal_event_log(silver: DataFrame) -> DataFrame:

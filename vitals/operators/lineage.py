@@ -87,6 +87,15 @@ def batch_lineage(classified: DataFrame) -> DataFrame:
     )
 
 
+def origin(batch: Column) -> Column:
+    """The name under which rows of one bronze partition lie in derived tables: its batch and arrival hour.
+
+    It does not depend on which job derives them or what else that job had at hand, so whatever derives a
+    bronze partition again replaces what was derived from it before.
+    """
+    return F.concat(batch, F.lit("."), "dt", F.lit("T"), "hour")
+
+
 def retained(table: DataFrame, as_of: str, days: int = 30) -> DataFrame:
     """Rows of partitions not older than ``days``."""
     cutoff = (datetime.fromisoformat(as_of) - timedelta(days=days)).date().isoformat()

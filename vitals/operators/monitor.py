@@ -7,6 +7,9 @@ A *timed* frame has one row per received record: ``minute`` (when it was process
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,10 +41,11 @@ def timed(records: DataFrame, processed_at: Column) -> DataFrame:
 
 
 def measured(
-    classified: DataFrame, processed_at: Column, limits: Thresholds = DEFAULT_THRESHOLDS
+    classified: DataFrame, processed_at: Column, limits: Thresholds = DEFAULT_THRESHOLDS, also: Sequence[Column] = ()
 ) -> DataFrame:
     valid = is_valid()
     return classified.select(
+        *also,
         *_timing(processed_at),
         valid.alias("is_valid"),
         (valid & is_abnormal(F.col("heart_rate"), limits)).alias("is_abnormal_hr"),
@@ -78,7 +82,11 @@ def metrics_per_minute(records: DataFrame) -> DataFrame:
 
 def latency_percentiles(records: DataFrame) -> DataFrame:
     """p50 and p99 per minute, exact: the least latency that so many percent of the values do not exceed."""
-    counts = records.where("is_valid").groupBy("minute", "latency_ms").agg(F.count("*").alias("n"))
+    return percentiles_of(records.where("is_valid").groupBy("minute", "latency_ms").agg(F.count("*").alias("n")))
+
+
+def percentiles_of(counts: DataFrame) -> DataFrame:
+    """The same from (minute, latency_ms, n), one row per minute and latency."""
     upwards = Window.partitionBy("minute").orderBy("latency_ms")
     ranked = counts.withColumn("below", F.sum("n").over(upwards)).withColumn(
         "total", F.sum("n").over(Window.partitionBy("minute"))
@@ -87,6 +95,18 @@ def latency_percentiles(records: DataFrame) -> DataFrame:
     return ranked.groupBy("minute").agg(least(50).alias("p50_ms"), least(99).alias("p99_ms"))
 
 
+def merged_metrics(stored: DataFrame) -> DataFrame:
+    """One row per minute from the stored metrics of any number of batches, with exact percentiles.
+
+    The latencies of a batch are stored as (latency_ms, n); those of all batches are added up by latency
+    before a minute's meet, so a minute's percentiles are those of its records, not of its batches.
+    """
+    latencies = stored.select("minute", F.inline("latencies")).groupBy("minute", "latency_ms").agg(F.sum("n").alias("n"))
+    sums = ("valid_events", "invalid_events", "abnormal_heart_rate")
+    totals = stored.groupBy("minute").agg(*[F.sum(c).alias(c) for c in sums], F.max("max_lag_ms").alias("max_lag_ms"))
+    return totals.join(percentiles_of(latencies), "minute", "left")
+
+
 def throughput_per_minute(records: DataFrame) -> DataFrame:
     """Records in by arrival minute, records processed and worst lag by processing minute."""
     nothing = F.lit(None).cast("bigint")
@@ -184,11 +204,37 @@ def alarm_lagging(
     return alarm_states(minute_spine(minutes), breaches, periods)
 
 
-def both_alarms(minutes: DataFrame) -> DataFrame:
-    """(minute, breaches, state, alarm) of both alarms; ``minutes`` should be stored, as it is read for each."""
-    states = (alarm_abnormal_hr(minutes), alarm_lagging(minutes))
-    named = [s.withColumn("alarm", F.lit(name)) for s, name in zip(states, ALARMS, strict=True)]
-    return named[0].unionByName(named[1])
+def continued(minutes: DataFrame, carried: DataFrame, start: datetime | None) -> DataFrame:
+    """(alarm, minute, breached, breaches, state, changed_from) of both alarms, from ``start`` on.
+
+    ``carried`` has the same columns for the minutes before, of which as many count as an alarm looks back;
+    ``minutes`` are those from the start on, and should be stored, as they are read for each alarm. Without a
+    start they begin with the first minute. ``changed_from`` is the state before a change, else null.
+    """
+    spark = minutes.sparkSession
+    each = minutes.select("minute")
+    if start is not None:
+        each = each.unionByName(spark.range(1).select(F.lit(start).cast("timestamp_ntz").alias("minute")))
+    spine = minute_spine(each)
+    rules = (
+        (F.col("abnormal_heart_rate") >= 1, 1),
+        (F.col("max_lag_ms") > LAG_THRESHOLD_MS, LAG_PERIODS),
+    )
+    found = []
+    for name, (breach, periods) in zip(ALARMS, rules, strict=True):
+        before = carried.where(F.col("alarm") == name)
+        breached = minutes.where(breach).select("minute")
+        states = alarm_states(spine, breached.unionByName(before.where("breached").select("minute")), periods)
+        told = states.select("minute", "state").unionByName(before.select("minute", "state"))
+        changes = alarm_transitions(told).select("minute", F.col("from_state").alias("changed_from"))
+        marked = states.join(breached.withColumn("breached", F.lit(True)), "minute", "left")
+        found.append(
+            marked.join(changes, "minute", "left").select(
+                F.lit(name).alias("alarm"), "minute", F.coalesce("breached", F.lit(False)).alias("breached"),
+                "breaches", "state", "changed_from",
+            )
+        )
+    return found[0].unionByName(found[1])
 
 
 def alarm_transitions(states: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -142,11 +144,11 @@ def accepted(classified: DataFrame) -> DataFrame:
     return classified.where(is_valid())
 
 
-def rejected(classified: DataFrame) -> DataFrame:
-    """Quarantine rows: the envelope as received, with the reasons."""
+def rejected(classified: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Quarantine rows: the envelope as received, with the reasons, and columns to ``keep``."""
     envelope = [c for c in [*ENVELOPE_COLUMNS, *PARTITIONS] if c in classified.columns]
     columns = [c for c in envelope if c not in PARTITIONS] + ["errors"]
-    return classified.where(~is_valid()).select(*columns, *[c for c in PARTITIONS if c in envelope])
+    return classified.where(~is_valid()).select(*columns, *[c for c in PARTITIONS if c in envelope], *keep)
 
 
 def route_counts(classified: DataFrame, limits: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .fixed import DELIVERIES
+
 # --- inputs derived from the events table ----------------------------------------------------------
 
 _READINGS = """readings AS (
@@ -71,11 +73,11 @@ p AS (
     ts + CASE WHEN event_id % 7 = 0 THEN INTERVAL '3' HOUR ELSE INTERVAL '2' SECOND END AS arrival
   FROM b),
 raw AS (
-  SELECT payload, dev AS partition_key, concat('496', lpad(CAST(event_id AS VARCHAR), 53, '0')) AS sequence_number,
-         'shardId-000000000000' AS shard_id, arrival AS arrival_ts FROM p
+  SELECT payload, dev AS partition_key, concat('881', lpad(CAST(event_id AS VARCHAR), 53, '0')) AS sequence_number,
+         'shard-0001' AS shard_id, arrival AS arrival_ts FROM p
   UNION ALL
-  SELECT payload, dev, concat('496', lpad(CAST(event_id + 1000000000 AS VARCHAR), 53, '0')),
-         'shardId-000000000000', arrival + INTERVAL '1' MINUTE FROM p WHERE event_id % 50 = 0)"""
+  SELECT payload, dev, concat('881', lpad(CAST(event_id + 1000000000 AS VARCHAR), 53, '0')),
+         'shard-0001', arrival + INTERVAL '1' MINUTE FROM p WHERE event_id % 50 = 0)"""
 
 _INT = "IN ('UBIGINT', 'BIGINT')"
 
@@ -455,9 +457,9 @@ FROM (SELECT arrival_minute AS minute, 1 AS arrived, 0 AS done, CAST(NULL AS BIG
   count(*) FILTER (WHERE NOT is_valid) AS invalid_events,
   count(*) FILTER (WHERE is_abnormal_hr) AS abnormal_heart_rate, max(lag_ms) AS max_lag_ms,
   quantile_disc(latency_ms, 0.5) FILTER (WHERE is_valid) AS p50_ms,
-  quantile_disc(latency_ms, 0.99) FILTER (WHERE is_valid) AS p99_ms
-FROM measured WHERE minute + INTERVAL '1' MINUTE <= (SELECT max(processed) FROM timed) - INTERVAL '1' MINUTE
-GROUP BY minute""",
+  quantile_disc(latency_ms, 0.99) FILTER (WHERE is_valid) AS p99_ms,
+  minute + INTERVAL '1' MINUTE <= (SELECT max(processed) FROM timed) - INTERVAL '1' MINUTE AS is_closed
+FROM measured GROUP BY minute""",
     ),
     "stream_route": _with(
         _SILVER,
@@ -467,4 +469,58 @@ FROM (SELECT 'bronze' AS layer, arrival_ts AS written, sequence_number, payload
     concat_ws('|', event_id, device_id, heart_rate, steps, battery, heart_rate_zone) FROM silver
   UNION ALL SELECT 'quarantine', arrival_ts, sequence_number, errors FROM classified WHERE errors <> '')""",
     ),
+    "stream_late_events": _with(
+        _SILVER,
+        f"""SELECT dt, hour, CASE WHEN closed THEN on_time ELSE 0 END AS emitted, late_events,
+  CASE WHEN closed THEN 0 ELSE on_time END AS open
+FROM (
+  SELECT dt, hour, any_value(closed) AS closed, count(*) FILTER (WHERE on_time) AS on_time,
+    count(*) FILTER (WHERE NOT on_time) AS late_events
+  FROM (
+    SELECT dt, hour, event_id, bool_or(hour_end > before) AS on_time, any_value(hour_end <= final) AS closed
+    FROM (
+      SELECT *, date_trunc('hour', event_time) + INTERVAL '1' HOUR AS hour_end,
+        (arrival_time >= TIMESTAMP '{DELIVERIES[0]}')::INT + (arrival_time >= TIMESTAMP '{DELIVERIES[1]}')::INT AS delivery
+      FROM silver) JOIN (
+      SELECT delivery, coalesce(max(mark) OVER (ORDER BY delivery ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+          TIMESTAMP '0001-01-01') AS before, max(mark) OVER () AS final
+      FROM (
+        SELECT (arrival_time >= TIMESTAMP '{DELIVERIES[0]}')::INT + (arrival_time >= TIMESTAMP '{DELIVERIES[1]}')::INT AS delivery,
+          max(event_time) - INTERVAL '1' HOUR AS mark FROM silver GROUP BY 1)) USING (delivery)
+    GROUP BY dt, hour, event_id)
+  GROUP BY dt, hour)""",
+    ),
+    "stored_metrics": _with(
+        _MEASURED,
+        """SELECT minute, count(*) FILTER (WHERE is_valid) AS valid_events,
+  count(*) FILTER (WHERE NOT is_valid) AS invalid_events,
+  count(*) FILTER (WHERE is_abnormal_hr) AS abnormal_heart_rate, max(lag_ms) AS max_lag_ms,
+  quantile_disc(latency_ms, 0.5) FILTER (WHERE is_valid) AS p50_ms,
+  quantile_disc(latency_ms, 0.99) FILTER (WHERE is_valid) AS p99_ms
+FROM measured GROUP BY minute""",
+    ),
+    "alarm_refresh": _with(
+        _MEASURED,
+        """SELECT alarm, minute, breached, breaches, state,
+  CASE WHEN state <> before THEN before END AS changed_from
+FROM (
+  SELECT *, lag(state, 1, 'OK') OVER (PARTITION BY alarm ORDER BY minute) AS before
+  FROM (
+    SELECT 'abnormal_heart_rate' AS alarm, minute, abnormal >= 1 AS breached, CAST(abnormal >= 1 AS BIGINT) AS breaches,
+      abnormal_state AS state FROM states
+    UNION ALL
+    SELECT 'lagging', minute, worst > 60000, breaches, lagging_state FROM states JOIN per_minute USING (minute)))""",
+    ),
+    "compacted_events": _with(
+        _RAW,
+        """SELECT strftime(arrival_ts, '%Y-%m-%d') AS dt, strftime(arrival_ts, '%H') AS hour, sequence_number, payload,
+  CAST(1 AS BIGINT) AS files FROM raw""",
+    ),
+}
+
+# What stored tables hold is what the operators make that fill them.
+CHECK_SQL |= {
+    "stored_readings": CHECK_SQL["bronze_lenient_parse"],
+    "stored_reading_gold": CHECK_SQL["gold_with_calendar"],
+    "stored_answers": CHECK_SQL["answers"],
 }

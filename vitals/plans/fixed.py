@@ -17,6 +17,8 @@ ONE_HOUR = ("2024-01-15", "12")
 ONE_DEVICE = "device_007"
 RETENTION_DAYS = 10
 VERSION_CHANGE = "2024-01-15"
+DELIVERIES = ("2024-01-11", "2024-01-21")  # the first days of later deliveries
+ALARMS_UNTIL = "2024-01-20"  # the last day of the first of two runs
 CUSTOM_THRESHOLDS = Thresholds(low=50, high=150)
 
 

@@ -7,14 +7,17 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.clock import hour_partition, to_stored
 from ..functions.health import DEFAULT_THRESHOLDS, Thresholds
 from ..operators import analysis, enrich, gold, lineage, monitor, quality, readings
-from ..schemas import GOLD, METRICS, SILVER
+from ..schemas import ALARM_STATES, BRONZE, GOLD, METRICS, QUARANTINE, READING, SILVER
 from ..session import size_shuffles
+from ..sources import compaction
 from ..sources import lake as tables
 from ..sources.lake import Lake
+from ..sources.manifest import sets_path
 
 
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
@@ -47,6 +50,35 @@ def silver_to_gold(spark: SparkSession, lake: Lake, silver_format: str = "parque
     return seen.get["rows"]
 
 
+def advance_readings(spark: SparkSession, lake: Lake) -> list[str]:
+    """Take what bronze has more since the last run into silver by day, and rebuild gold of the days it touches.
+
+    The days are returned. Silver names its batches by those of bronze, and what has been taken is noted after it
+    is written, so a run that fails is repeated without loss or repetition. The dashboard reads
+    ``readings_gold_days`` as it reads the table that ``silver_to_gold`` makes of everything.
+    """
+    taken = {r.source for r in tables.read_taken(spark, lake, "readings-silver").collect()}
+    new = [b for (b,) in tables.folders_below(spark, lake.readings_bronze, tables.BATCH) if b not in taken]
+    if new:
+        schema = tables.with_batch(READING)
+        bronze = tables.reader(spark, schema, "json").option("basePath", lake.readings_bronze)
+        rows = bronze.load([f"{lake.readings_bronze}/{tables.BATCH}={b}" for b in new]).select(schema.fieldNames())
+        day = hour_partition(F.timestamp_seconds("timestamp"))["dt"]
+        silver = readings.clean_readings(rows).withColumn("dt", day).hint("rebalance", "dt", tables.BATCH)
+        tables.write_partitions(silver, lake.readings_days, "parquet", "dt", tables.BATCH)
+        tables.note_taken(spark, lake, "readings-silver", [("all", "all", b) for b in new])
+    known = {(r.dt, r.source) for r in tables.read_taken(spark, lake, "readings-gold").collect()}
+    added = [p for p in tables.folders_below(spark, lake.readings_days, "dt", tables.BATCH) if p not in known]
+    days = sorted({dt for dt, _ in added})
+    if days:
+        schema = StructType([*READING.fields, StructField("dt", StringType())])
+        of_days = tables.read_table(spark, lake.readings_days, schema).where(F.col("dt").isin(days)).drop("dt")
+        gold_rows = gold.reading_gold(of_days).withColumn("dt", F.substring("hour", 1, 10)).hint("rebalance", "dt")
+        tables.write_partitions(gold_rows, lake.readings_gold_days, "parquet", "dt")
+        tables.note_taken(spark, lake, "readings-gold", [(dt, "all", b) for dt, b in added])
+    return days
+
+
 def answer_questions(spark: SparkSession, lake: Lake, silver_format: str = "parquet") -> None:
     silver = tables.read_readings(spark, lake.readings_silver, silver_format)
     analysis.answers(silver).write.mode("overwrite").json(lake.answers)
@@ -75,11 +107,13 @@ def route_batch(
         if counts["received"]:
             batch = batch or tables.batch_name(classified, "sequence_number")
             bronze = classified.select(*quality.ENVELOPE_COLUMNS, *quality.PARTITIONS)
-            silver = enrich.to_silver(classified.drop(*quality.PARTITIONS), processed, limits)
+            # Derived rows lie where the streams that derive them from bronze put them.
+            named = classified.withColumn(tables.BATCH, lineage.origin(F.lit(batch)))
+            silver = enrich.to_silver(named.drop(*quality.PARTITIONS), processed, limits, [tables.BATCH])
             metrics = monitor.metrics_per_minute(monitor.measured(classified, processed, limits))
             tables.write_batch(bronze, lake.bronze, batch, "json")
-            tables.write_batch(quality.rejected(classified), lake.quarantine, batch, "json")
-            tables.write_batch(silver, lake.silver, batch, "parquet")
+            tables.write_batches(quality.rejected(named, [tables.BATCH]), lake.quarantine, "json")
+            tables.write_batches(silver, lake.silver, "parquet")
             hour = hour_partition(F.col("minute").cast("timestamp"))
             tables.write_batch(metrics.withColumns(hour), lake.metrics, batch, "parquet")
         return {name: counts[name] for name in ("valid", "invalid", "abnormal")}
@@ -87,21 +121,42 @@ def route_batch(
         classified.unpersist()
 
 
-def refresh_alarms(spark: SparkSession, lake: Lake) -> list[dict]:
-    """States of both alarms in every minute, from the stored metrics; returns their changes, in order."""
+def refresh_alarms(spark: SparkSession, lake: Lake) -> DataFrame:
+    """States of both alarms in every minute, continued from the last hour written before.
+
+    Of the stored metrics the hours from there on are read, and these hours of states replaced: the last one
+    may have been incomplete. What an alarm looks back on is read from the states of the hours before it. Returns
+    the changes (alarm, minute, from_state, to_state) in the hours written, as a frame.
+    """
+    newest = tables.latest_hour(spark, lake.alarms)
     stored = tables.read_table(spark, lake.metrics, METRICS)
+    carried = tables.read_hours(spark, lake.alarms, ALARM_STATES, [])
+    start = None
+    if newest:
+        stored = stored.where(_not_before(newest))
+        begin = datetime.fromisoformat(f"{newest[0]}T{newest[1]}:00:00")
+        # The hour in which alarms began has no minutes before the first.
+        start = tables.read_hours(spark, lake.alarms, ALARM_STATES, [newest]).agg(F.min("minute")).first()[0]
+        back = begin - timedelta(minutes=monitor.LAG_PERIODS)
+        hours = [(t.date().isoformat(), f"{t.hour:02d}") for t in (back, begin - timedelta(hours=1))]
+        carried = tables.read_hours(spark, lake.alarms, ALARM_STATES, hours).where(F.col("minute") >= F.lit(back).cast("timestamp_ntz"))
     minutes = stored.groupBy("minute").agg(
         F.sum("abnormal_heart_rate").alias("abnormal_heart_rate"), F.max("max_lag_ms").alias("max_lag_ms")
     )
-    states = monitor.both_alarms(minutes)
-    states.write.mode("overwrite").partitionBy("alarm").parquet(lake.alarms)
-    written = spark.read.schema(states.schema).parquet(lake.alarms)
-    changes = [
-        monitor.alarm_transitions(written.where(F.col("alarm") == name)).withColumn("alarm", F.lit(name))
-        for name in monitor.ALARMS
-    ]
-    both = changes[0].unionByName(changes[1])
-    return [row.asDict() for row in both.orderBy("minute", "alarm").collect()]
+    states = monitor.continued(minutes, carried, start).withColumns(hour_partition(F.col("minute").cast("timestamp")))
+    tables.overwrite_hours(states.select(ALARM_STATES.fieldNames()), lake.alarms)
+    return alarm_changes(spark, lake, newest)
+
+
+def _not_before(hour: lineage.Hour) -> Column:
+    return (F.col("dt") > hour[0]) | ((F.col("dt") == hour[0]) & (F.col("hour") >= hour[1]))
+
+
+def alarm_changes(spark: SparkSession, lake: Lake, since: lineage.Hour | None = None) -> DataFrame:
+    """When alarms changed their state, of all stored minutes or from an hour on."""
+    states = tables.read_table(spark, lake.alarms, ALARM_STATES).where("changed_from IS NOT NULL")
+    states = states if since is None else states.where(_not_before(since))
+    return states.select("alarm", "minute", F.col("changed_from").alias("from_state"), F.col("state").alias("to_state"))
 
 
 def rebuild_gold(silver: DataFrame, lake: Lake, aggregated_at: datetime) -> None:
@@ -132,6 +187,36 @@ def refresh_gold(
     return [row.asDict() for row in report.orderBy(F.desc("dt"), F.desc("hour")).collect()]
 
 
+def _event_tables(lake: Lake) -> dict[str, tuple]:
+    """The tables to which batches are added: path, schema, format, and the layers derived from them."""
+    return {
+        "bronze": (lake.bronze, BRONZE, "json", ("silver", "quarantine")),
+        "silver": (lake.silver, SILVER, "parquet", ("gold",)),
+        "quarantine": (lake.quarantine, QUARANTINE, "json", ()),
+        "metrics": (lake.metrics, METRICS, "parquet", ()),
+    }
+
+
+def compact(spark: SparkSession, lake: Lake, min_batches: int = 2) -> dict[str, int]:
+    """Bring the batches of every hour into one set of files; how many hours were, by table."""
+    return {
+        name: len(compaction.compact(spark, path, schema, file_format, min_batches))
+        for name, (path, schema, file_format, _) in _event_tables(lake).items()
+    }
+
+
+def vacuum(spark: SparkSession, lake: Lake) -> dict[str, int]:
+    """Delete replaced batches that the streams of all derived layers have taken; how many, by table.
+
+    In a lake without such a stream, as when one job routes events to all tables, its layer takes nothing and
+    the batches stay until they expire.
+    """
+    return {
+        name: len(compaction.vacuum(spark, lake, path, consumers))
+        for name, (path, _, _, consumers) in _event_tables(lake).items()
+    }
+
+
 def expire(spark: SparkSession, lake: Lake, today: datetime, days: int = 30) -> dict[str, list[str]]:
     """Drop partitions older than the retention from the event tables and their metrics."""
     cutoff = (today - timedelta(days=days)).date().isoformat()
@@ -139,4 +224,8 @@ def expire(spark: SparkSession, lake: Lake, today: datetime, days: int = 30) ->
         "bronze": lake.bronze, "silver": lake.silver, "quarantine": lake.quarantine, "gold": lake.gold,
         "metrics": lake.metrics,
     }
+    derived = (lake.late, lake.closed_gold, lake.minute_counts, lake.minutes, lake.alarms)
+    noted = map(lake.taken, ("silver", "quarantine", "gold", "on-time", "late"))
+    for path in (*map(sets_path, paths.values()), *derived, *noted):
+        tables.expire_partitions(spark, path, cutoff)
     return {name: tables.expire_partitions(spark, path, cutoff) for name, path in paths.items()}

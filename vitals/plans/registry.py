@@ -22,6 +22,7 @@ from .fixed import (
     VERSION_CHANGE,
     processed_at,
 )
+from . import streamed
 from .streamed import new_folder, stream_alerts, stream_gold, stream_metrics, stream_route
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -408,4 +409,11 @@ QUERIES: dict[str, Query] = {
     "stream_gold": stream_gold,
     "stream_metrics": stream_metrics,
     "stream_route": stream_route,
+    "stream_late_events": streamed.stream_late_events,
+    "stored_metrics": streamed.stored_metrics,
+    "alarm_refresh": streamed.alarm_refresh,
+    "compacted_events": streamed.compacted_events,
+    "stored_readings": streamed.stored_readings,
+    "stored_reading_gold": streamed.stored_reading_gold,
+    "stored_answers": streamed.stored_answers,
 }

@@ -100,6 +100,46 @@ METRICS = _schema(
     **_PARTITION,
 )
 
+# How often each outcome and latency occurred per minute in one micro-batch.
+MINUTE_COUNTS = _schema(
+    minute=TIMESTAMP,
+    is_valid=BOOLEAN,
+    is_abnormal_hr=BOOLEAN,
+    latency_ms=BIGINT,
+    n=BIGINT,
+    lag_ms=BIGINT,
+    last_processed=TIMESTAMP,
+    **_PARTITION,
+)
+
+# A minute as it stands, over all micro-batches.
+MINUTES = _schema(
+    minute=TIMESTAMP,
+    valid_events=BIGINT,
+    invalid_events=BIGINT,
+    abnormal_heart_rate=BIGINT,
+    max_lag_ms=BIGINT,
+    p50_ms=BIGINT,
+    p99_ms=BIGINT,
+    last_processed=TIMESTAMP,
+    is_closed=BOOLEAN,
+    **_PARTITION,
+)
+
+# Both alarms in every minute, and the state before a change.
+ALARM_STATES = _schema(
+    alarm=STRING,
+    minute=TIMESTAMP,
+    breached=BOOLEAN,
+    breaches=BIGINT,
+    state=STRING,
+    changed_from=STRING,
+    **_PARTITION,
+)
+
+# The watermark after each micro-batch, and how many rows of it were on time and late.
+CLOSING = _schema(batch_id=BIGINT, watermark=TIMESTAMP, on_time=BIGINT, late=BIGINT)
+
 ENVELOPE_COLUMNS = list(_ENVELOPE)
 SILVER_COLUMNS = SILVER.fieldNames()
 GOLD_COLUMNS = GOLD.fieldNames()

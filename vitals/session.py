@@ -12,6 +12,8 @@ RUNTIME_CONF = {
     # A repeated JSON key is legal input; the last value wins.
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.adaptive.enabled": "true",
+    # Folders are listed by so many tasks at most, several each, and not by a task per folder.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
     # Streaming state on disk, so it may outgrow executor memory.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

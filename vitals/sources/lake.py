@@ -8,13 +8,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.clock import stream_order
 from ..operators.lineage import Hour
 from ..operators.serving import with_calendar
 from ..schemas import ANSWER, BRONZE, GOLD, PARTITIONS, QUARANTINE, READING, READING_GOLD, SILVER
 from ..session import configure
+from .files import hadoop, path_exists
+from .manifest import among, read_manifest, read_sets
 
 BATCH = "batch"  # partition naming the write, below dt and hour
 
@@ -45,6 +47,30 @@ class Lake:
     def metrics(self) -> str:
         return self.path("metrics/minutes")
 
+    def taken(self, layer: str) -> str:
+        """Which partitions of its source the stream into a layer has taken."""
+        return self.path(f"lineage/{layer}")
+
+    @property
+    def minute_counts(self) -> str:
+        return self.path("metrics/minute_counts")
+
+    @property
+    def minutes(self) -> str:
+        return self.path("metrics/all_minutes")
+
+    @property
+    def closed_gold(self) -> str:
+        return self.path("gold/closed_hours")
+
+    @property
+    def late(self) -> str:
+        return self.path("late/events")
+
+    @property
+    def closing(self) -> str:
+        return self.path("lineage/closed_hours")
+
     @property
     def alarms(self) -> str:
         return self.path("metrics/alarms")
@@ -66,56 +92,129 @@ class Lake:
     def readings_gold(self) -> str:
         return self.path("readings/gold")
 
+    @property
+    def readings_days(self) -> str:
+        return self.path("readings/silver_by_day")
+
+    @property
+    def readings_gold_days(self) -> str:
+        return self.path("readings/gold_by_day")
+
     @property
     def answers(self) -> str:
         return self.path("readings/answers")
 
 
-def _hadoop(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+def read_table(
+    spark: SparkSession, path: str, schema: StructType, file_format: str = "parquet"
+) -> DataFrame:
+    """Rows in the declared schema: a column a file lacks is null, a folder not yet written is empty.
+
+    Where batches have been compacted, the sets in force are read in their place.
+    """
+    configure(spark)
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    manifest = read_manifest(spark, path)
+    if not manifest.sets:
+        return reader(spark, schema, file_format).load(path).select(schema.fieldNames())
+    rows = reader(spark, with_batch(schema), file_format).load(path)
+    rows = rows.where(~among(BATCH, manifest.replaced())).select(schema.fieldNames())
+    return rows.unionByName(read_sets(spark, path, schema, file_format, manifest.in_force()))
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    files, hadoop_path = _hadoop(spark, path)
-    return files.exists(hadoop_path)
+def with_batch(schema: StructType) -> StructType:
+    return StructType([*schema.fields, StructField(BATCH, StringType())])
 
 
-def is_folder(spark: SparkSession, path: str) -> bool:
-    files, hadoop_path = _hadoop(spark, path)
-    return files.getFileStatus(hadoop_path).isDirectory()
+def reader(spark: SparkSession, schema: StructType, file_format: str):
+    reader = configure(spark).read.format(file_format).schema(schema)
+    return reader.option("mode", "DROPMALFORMED") if file_format == "json" else reader
 
 
-def read_table(
-    spark: SparkSession, path: str, schema: StructType, file_format: str = "parquet"
+def latest_hour(spark: SparkSession, path: str) -> Hour | None:
+    """The last hour partition of a table, by the names of folders."""
+
+    def last(folder: str, level: str) -> str | None:
+        files, root = hadoop(spark, folder)
+        names = [s.getPath().getName() for s in files.listStatus(root)] if files.exists(root) else []
+        return max((n.removeprefix(level) for n in names if n.startswith(level)), default=None)
+
+    dt = last(path, "dt=")
+    hour = last(f"{path}/dt={dt}", "hour=") if dt else None
+    return (dt, hour) if hour else None
+
+
+def folders_below(spark: SparkSession, path: str, *levels: str) -> list[tuple[str, ...]]:
+    """The partitions of a table, by the names of its folders, one value per level."""
+    files, pattern = hadoop(spark, "/".join([path, *[f"{level}=*" for level in levels]]))
+    found = [s.getPath().toString().split("/")[-len(levels) :] for s in files.globStatus(pattern) or ()]
+    return sorted(tuple(part.split("=", 1)[1] for part in parts) for parts in found)
+
+
+def hour_folder(path: str, dt: str, hour: str) -> str:
+    return f"{path}/dt={dt}/hour={hour}"
+
+
+def batch_folder(path: str, dt: str, hour: str, batch: str) -> str:
+    return f"{hour_folder(path, dt, hour)}/{BATCH}={batch}"
+
+
+def read_batches(
+    spark: SparkSession, path: str, schema: StructType, file_format: str, batches: Sequence[tuple[str, str, str]]
 ) -> DataFrame:
-    """Rows in the declared schema: a column a file lacks is null, a folder not yet written is empty."""
-    configure(spark)
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    reader = spark.read.format(file_format).schema(schema)
-    if file_format == "json":
-        reader = reader.option("mode", "DROPMALFORMED")
-    return reader.load(path).select(schema.fieldNames())
+    """The batches (dt, hour, batch) of a table, with their names, listing no other folder of it."""
+    named = with_batch(schema)
+    folders = [folder for folder in (batch_folder(path, *b) for b in batches) if path_exists(spark, folder)]
+    if not folders:
+        return configure(spark).createDataFrame([], named)
+    return reader(spark, named, file_format).option("basePath", path).load(folders).select(named.fieldNames())
+
+
+def batches_in(rows: DataFrame) -> list[tuple[str, str, str]]:
+    """The partitions (dt, hour, batch) that rows lie in: as many as there are folders, not rows."""
+    return sorted(map(tuple, rows.select(*PARTITIONS, BATCH).distinct().collect()))
+
+
+def note_taken(spark: SparkSession, lake: Lake, layer: str, taken: Sequence[tuple[str, str, str]]) -> None:
+    """Record that a layer has taken these partitions of its source; the same ones again replace themselves."""
+    if taken:
+        rows = spark.createDataFrame(taken, "dt STRING, hour STRING, source STRING").coalesce(1)
+        name = hashlib.sha256(repr(taken).encode()).hexdigest()[:24]
+        write_partitions(rows.withColumn(BATCH, F.lit(name)), lake.taken(layer), "parquet", "dt", BATCH)
+
+
+def read_taken(spark: SparkSession, lake: Lake, layer: str) -> DataFrame:
+    """(dt, hour, source): the partitions of its source that the stream into a layer has taken, once each."""
+    schema = StructType([StructField(c, StringType()) for c in (*PARTITIONS, "source")])
+    return read_table(spark, lake.taken(layer), schema).distinct()
 
 
 def read_hours(
     spark: SparkSession, path: str, schema: StructType, hours: Sequence[Hour]
 ) -> DataFrame:
-    """Some hour partitions of a Parquet table, listing no other folder of it."""
-    folders = [f"{path}/dt={dt}/hour={hour}" for dt, hour in dict.fromkeys(hours)]
-    folders = [folder for folder in folders if path_exists(spark, folder)]
-    if not folders:
-        return configure(spark).createDataFrame([], schema)
-    reader = configure(spark).read.schema(schema).option("basePath", path)
-    return reader.parquet(*folders).select(schema.fieldNames())
+    """Some hour partitions of a Parquet table, listing no other folder of it; sets in force as in ``read_table``."""
+    hours = list(dict.fromkeys(hours))
+    manifest = read_manifest(spark, path)
+    replaced = {hour: manifest.batches[hour] for hour in hours if hour in manifest.batches}
+    names = [f"{dt}/{hour}/{b}" for (dt, hour), batches in replaced.items() for b in batches]
+    rows = configure(spark).createDataFrame([], schema)
+    folders = [folder for folder in (hour_folder(path, *h) for h in hours) if path_exists(spark, folder)]
+    if folders:
+        chosen = reader(spark, with_batch(schema) if names else schema, "parquet").option("basePath", path)
+        rows = chosen.load(folders)
+        rows = (rows.where(~among(BATCH, names)) if names else rows).select(schema.fieldNames())
+    if names:
+        sets = [f"{dt}/{hour}/{manifest.sets[dt, hour]}" for dt, hour in replaced]
+        rows = rows.unionByName(read_sets(spark, path, schema, "parquet", sets))
+    return rows
 
 
 def bytes_of_hours(spark: SparkSession, path: str, hours: Sequence[Hour]) -> int:
     """Size of the files of some hour partitions."""
     total = 0
     for dt, hour in dict.fromkeys(hours):
-        files, folder = _hadoop(spark, f"{path}/dt={dt}/hour={hour}")
+        files, folder = hadoop(spark, f"{path}/dt={dt}/hour={hour}")
         if files.exists(folder):
             total += files.getContentSummary(folder).getLength()
     return total
@@ -196,28 +295,25 @@ def by_hour(rows: DataFrame) -> DataFrame:
     return rows.hint("rebalance", *PARTITIONS)
 
 
+def write_partitions(rows: DataFrame, path: str, file_format: str, *partitions: str) -> None:
+    """Replace exactly the partitions present in ``rows``."""
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partitions).format(file_format).save(path)
+
+
 def overwrite_hours(rows: DataFrame, path: str, file_format: str = "parquet") -> None:
     """Replace exactly the hour partitions present in ``rows``; all others stay as they are."""
-    (
-        by_hour(rows)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITIONS)
-        .format(file_format)
-        .save(path)
-    )
+    write_partitions(by_hour(rows), path, file_format, *PARTITIONS)
 
 
 def write_batch(rows: DataFrame, path: str, batch: str, file_format: str) -> None:
     """Add one batch to its hour partitions; writing the same batch again replaces what it wrote."""
-    (
-        by_hour(rows.withColumn(BATCH, F.lit(batch)))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITIONS, BATCH)
-        .format(file_format)
-        .save(path)
-    )
+    write_batches(rows.withColumn(BATCH, F.lit(batch)), path, file_format)
+
+
+def write_batches(rows: DataFrame, path: str, file_format: str) -> None:
+    """Add rows to their hour partitions, each to the batch it names, replacing what these held."""
+    write_partitions(by_hour(rows), path, file_format, *PARTITIONS, BATCH)
 
 
 def batch_name(rows: DataFrame, sequence: str) -> str | None:
@@ -238,21 +334,14 @@ def batch_name(rows: DataFrame, sequence: str) -> str | None:
 
 def write_named(rows: DataFrame, path: str, batch: str, file_format: str) -> None:
     """Add a batch to a table without hours; writing the same batch again replaces what it wrote."""
-    (
-        rows.withColumn(BATCH, F.lit(batch))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH)
-        .format(file_format)
-        .save(path)
-    )
+    write_partitions(rows.withColumn(BATCH, F.lit(batch)), path, file_format, BATCH)
 
 
 def expire_partitions(spark: SparkSession, path: str, cutoff: str) -> list[str]:
     """Delete the day folders before ``cutoff`` ('yyyy-MM-dd'); no data is read or rewritten."""
     if not path_exists(spark, path):
         return []
-    files, root = _hadoop(spark, path)
+    files, root = hadoop(spark, path)
     days = {
         status.getPath().getName().removeprefix("dt="): status.getPath()
         for status in files.listStatus(root)

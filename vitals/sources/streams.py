@@ -11,10 +11,12 @@ from collections.abc import Callable, Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..schemas import BRONZE, SILVER, TRANSPORT
 from ..session import checkpoint_for, configure
+from .files import path_exists
+from .lake import BATCH
 
 UNTIL_CAUGHT_UP = {"availableNow": True}
 
@@ -59,13 +61,21 @@ def transport_records(spark: SparkSession, path: str, **options: str) -> DataFra
     return _json_stream(spark, path, TRANSPORT, options)
 
 
+#: Vacuum deletes batches that a stream has taken, even if they were written again since.
+_MAY_BE_GONE = {"ignoreMissingFiles": "true"}
+
+
 def bronze_stream(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    return _json_stream(spark, path, BRONZE, options)
+    """Bronze rows as they are added, with the batch they were added in."""
+    schema = StructType([*BRONZE.fields, StructField(BATCH, StringType())])
+    return _json_stream(spark, path, schema, _MAY_BE_GONE | options)
 
 
 def silver_stream(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    rows = configure(spark).readStream.schema(SILVER).options(**options).parquet(path)
-    return rows.select(SILVER.fieldNames())
+    """Silver rows as they are added, with the batch they were added in."""
+    schema = StructType([*SILVER.fields, StructField(BATCH, StringType())])
+    rows = configure(spark).readStream.schema(schema).options(**(_MAY_BE_GONE | options)).parquet(path)
+    return rows.select(schema.fieldNames())
 
 
 def topic_records(spark: SparkSession, servers: str, topic: str, starting: str = "earliest", **options: str) -> DataFrame:
@@ -107,6 +117,25 @@ def start(
     return writer.start(path) if path else writer.start()
 
 
+def start_numbered(
+    frame: DataFrame,
+    name: str,
+    write: Callable[[DataFrame, int], None],
+    checkpoint_root: str,
+    path: str,
+    trigger: Mapping[str, object] = UNTIL_CAUGHT_UP,
+) -> StreamingQuery:
+    """Like ``start_batches``, for a ``write`` that names what it writes to ``path`` by the batch's number.
+
+    Numbers mean something together with the checkpoint only. Where it is lost they would start again and
+    replace the batches of before, so the stream does not start.
+    """
+    spark = frame.sparkSession
+    if not path_exists(spark, checkpoint_for(checkpoint_root, name, path)) and path_exists(spark, path):
+        raise ValueError(f"{path} has batches of a checkpoint that is lost; restore it, or move the table away")
+    return start_batches(frame, name, write, checkpoint_root, path, trigger)
+
+
 def start_batches(
     frame: DataFrame,
     name: str,
