@@ -34,7 +34,7 @@ def test_batch_is_routed_to_three_tables(spark, tmp_path):
     assert silver.schema == SILVER
     rows = silver.orderBy("kinesis_sequence_number").collect()
     assert [r.heart_rate_zone for r in rows] == ["resting", "bradycardia"]
-    assert rows[0].end_to_end_latency_ms == 2500
+    assert rows[0].end_to_end_latency_ms == 114_750
 
 
 def test_retried_batch_replaces_itself(spark, tmp_path):

@@ -32,6 +32,22 @@ def test_scans_read_only_needed_columns(spark, sf_dir):
     assert "parseJson" not in timing and "props" not in timing
 
 
+REPORTS = (
+    "silver_hour_scan", "latest_events", "hourly_device_metrics", "abnormal_heart_rate", "device_leaderboard", "data_quality",
+    "needs_attention", "gold_run_report", "hours_to_process", "retained_partitions",
+)
+
+
+@pytest.mark.parametrize("key", REPORTS)
+def test_reports_read_the_days_they_show(spark, sf_dir, key):
+    """Every scan prunes days while planning and parses nothing."""
+    frame = QUERIES[key](spark, sf_dir)
+    plan = plan_of(frame)
+    assert "parseJson" not in plan
+    scans = plan.split("PartitionFilters: [")[1:]
+    assert scans and all(scan.split("]")[0].count("dt#") > 0 for scan in scans)
+
+
 def test_entry_is_the_flagship(spark):
     frame = entry(spark)
     assert "last_battery" in frame.columns

@@ -191,7 +191,7 @@ def test_windowed_metrics(spark, tmp_path):
     row = rows[0]
     assert row.minute == datetime(2031, 5, 6, 14, 30)
     assert (row.valid_events, row.invalid_events, row.abnormal_heart_rate) == (2, 1, 1)
-    assert (row.p50_ms, row.max_lag_ms) == (6500, 1000)
+    assert (row.p50_ms, row.max_lag_ms) == (118_750, 1000)
 
 
 def events_out_of_order(sf_dir, folder, files=5):

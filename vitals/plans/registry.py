@@ -22,7 +22,7 @@ from .fixed import (
     VERSION_CHANGE,
     processed_at,
 )
-from . import streamed
+from . import daily, streamed
 from .streamed import new_folder, stream_alerts, stream_gold, stream_metrics, stream_route
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,14 +39,6 @@ def _gold(spark: SparkSession, sf: str) -> DataFrame:
     return gold.gold_hourly(_silver(spark, sf), processed_at())
 
 
-def _bronze(spark: SparkSession, sf: str) -> DataFrame:
-    return derived.bronze(derived.raw_events(spark, sf))
-
-
-def _quarantine(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.rejected(quality.classify(quality.with_arrival(_bronze(spark, sf))))
-
-
 def _clean(spark: SparkSession, sf: str) -> DataFrame:
     return readings.clean_readings(derived.readings(spark, sf))
 
@@ -244,7 +236,7 @@ def abnormal_event_log(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def silver_hour_scan(spark: SparkSession, sf: str) -> DataFrame:
-    return lineage.silver_hour(_silver(spark, sf), *ONE_HOUR)
+    return lineage.silver_hour(daily.silver(spark, sf), *ONE_HOUR)
 
 
 def union_silver_versions(spark: SparkSession, sf: str) -> DataFrame:
@@ -262,17 +254,17 @@ def batch_lineage(spark: SparkSession, sf: str) -> DataFrame:
 
 def hours_to_process(spark: SparkSession, sf: str) -> DataFrame:
     hours = lineage.recent_hours(NOW, 168)
-    selected = _silver(spark, sf).where(lineage.in_hours(hours))
+    selected = daily.silver(spark, sf).where(lineage.in_hours(hours))
     return selected.groupBy("dt", "hour").agg(F.count("*").alias("events"))
 
 
 def gold_run_report(spark: SparkSession, sf: str) -> DataFrame:
     hours = lineage.recent_hours(NOW, 168)
-    return lineage.run_report(_gold(spark, sf), hours)
+    return lineage.run_report(daily.gold_hours(spark, sf), hours)
 
 
 def retained_partitions(spark: SparkSession, sf: str) -> DataFrame:
-    kept = lineage.retained(_silver(spark, sf), AS_OF, RETENTION_DAYS)
+    kept = lineage.retained(daily.silver(spark, sf), AS_OF, RETENTION_DAYS)
     return kept.groupBy("dt", "hour").agg(F.count("*").alias("events"))
 
 
@@ -290,27 +282,27 @@ def gold_hourly(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def latest_events(spark: SparkSession, sf: str) -> DataFrame:
-    return serving.latest_events(_silver(spark, sf), AS_OF)
+    return serving.latest_events(daily.silver(spark, sf), AS_OF)
 
 
 def hourly_device_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    return serving.hourly_device_metrics(_gold(spark, sf), AS_OF)
+    return serving.hourly_device_metrics(daily.gold_hours(spark, sf), AS_OF)
 
 
 def abnormal_heart_rate(spark: SparkSession, sf: str) -> DataFrame:
-    return serving.abnormal_heart_rate(_silver(spark, sf), AS_OF)
+    return serving.abnormal_heart_rate(daily.silver(spark, sf), AS_OF)
 
 
 def device_leaderboard(spark: SparkSession, sf: str) -> DataFrame:
-    return serving.device_leaderboard(_gold(spark, sf), AS_OF)
+    return serving.device_leaderboard(daily.gold_hours(spark, sf), AS_OF)
 
 
 def data_quality(spark: SparkSession, sf: str) -> DataFrame:
-    return serving.data_quality(_bronze(spark, sf), _quarantine(spark, sf), AS_OF)
+    return serving.data_quality(daily.bronze(spark, sf), daily.quarantine(spark, sf), AS_OF)
 
 
 def needs_attention(spark: SparkSession, sf: str) -> DataFrame:
-    return serving.needs_attention(_silver(spark, sf), AS_OF)
+    return serving.needs_attention(daily.silver(spark, sf), AS_OF)
 
 
 # --- processing metrics and alarms ----------------------------------------------------------------

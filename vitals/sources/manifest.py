@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.lineage import Hour
-from .files import hadoop
+from .files import hadoop, move_new
 
 SET = "set"
 
@@ -66,18 +66,15 @@ def publish(spark: SparkSession, path: str, manifest: Manifest) -> None:
     hours = {"/".join(h): {SET: s, "batches": sorted(manifest.batches[h])} for h, s in manifest.sets.items()}
     text = json.dumps(hours, sort_keys=True).encode()
     name = f"{manifest.version:012d}.json"
-    jvm = spark._jvm
-    files, written = hadoop(spark, f"{_manifests(path)}/.{name}-{hashlib.sha256(text).hexdigest()[:16]}")
+    own = f"{_manifests(path)}/.{name}-{hashlib.sha256(text).hexdigest()[:16]}"
+    files, written = hadoop(spark, own)
     stream = files.create(written, True)
     try:
         stream.write(bytearray(text))
     finally:
         stream.close()
-    target = jvm.org.apache.hadoop.fs.Path(f"{_manifests(path)}/{name}")
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
-    # Unlike that of a file system, this rename fails where the target is there.
-    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
-    context.rename(written, target, options)
+    if not move_new(spark, own, f"{_manifests(path)}/{name}"):
+        raise FileExistsError(f"another manifest {name} of {path} exists")
 
 
 def among(level: str, names: Sequence[str]) -> Column:
