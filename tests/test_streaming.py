@@ -299,6 +299,24 @@ def test_late_events_are_kept_and_counted(spark, tmp_path):
     assert progress.agg(F.sum("on_time"), F.sum("late")).first()[:] == (7 + 5, 3 + 3)
 
 
+def test_compaction_leaves_batches_that_closed_hours_need(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+
+    def run():
+        silver = streams.silver_stream(spark, lake.silver)
+        finish(aggregates.refresh_touched_hours(silver, lake, NOW))
+        finish(aggregates.emit_closed_hours(silver, lake, NOW))
+
+    silver_part(spark, lake, "a", [beat(1, 10, 5)], FIRST_SEQUENCE)
+    silver_part(spark, lake, "b", [beat(2, 10, 6)], FIRST_SEQUENCE + 10)
+    run()
+    assert jobs.compact(spark, lake)["silver"] == 1 and jobs.vacuum(spark, lake)["silver"] == 0
+    silver_part(spark, lake, "c", [beat(3, 13, 0)], FIRST_SEQUENCE + 20)
+    run()
+    assert report(spark, lake) == {("06", "10"): (2, 0, 0), ("06", "13"): (0, 0, 1)}
+    assert {(r.hour, r.event_count) for r in tables.read_gold(spark, lake).collect()} == {("10", 2), ("13", 1)}
+
+
 def test_windowed_gold_counts_what_it_drops(spark, tmp_path):
     lake = Lake(str(tmp_path / "lake"))
     batches = [[beat(1, 7, 5), beat(2, 7, 50)], [beat(3, 10, 30)], [beat(4, 7, 20), beat(5, 10, 40)], [beat(6, 14, 1)]]

@@ -188,12 +188,13 @@ def refresh_gold(
 
 
 def _event_tables(lake: Lake) -> dict[str, tuple]:
-    """The tables to which batches are added: path, schema, format, and the layers derived from them."""
+    """The tables to which batches are added: path, schema, format, the layers derived from them, and those that
+    read batches again: an hour of gold that is emitted once needs its batches until it is."""
     return {
-        "bronze": (lake.bronze, BRONZE, "json", ("silver", "quarantine")),
-        "silver": (lake.silver, SILVER, "parquet", ("gold",)),
-        "quarantine": (lake.quarantine, QUARANTINE, "json", ()),
-        "metrics": (lake.metrics, METRICS, "parquet", ()),
+        "bronze": (lake.bronze, BRONZE, "json", ("silver", "quarantine"), ()),
+        "silver": (lake.silver, SILVER, "parquet", ("gold",), ("on-time", "late")),
+        "quarantine": (lake.quarantine, QUARANTINE, "json", (), ()),
+        "metrics": (lake.metrics, METRICS, "parquet", (), ()),
     }
 
 
@@ -201,7 +202,7 @@ def compact(spark: SparkSession, lake: Lake, min_batches: int = 2) -> dict[str,
     """Bring the batches of every hour into one set of files; how many hours were, by table."""
     return {
         name: len(compaction.compact(spark, path, schema, file_format, min_batches))
-        for name, (path, schema, file_format, _) in _event_tables(lake).items()
+        for name, (path, schema, file_format, *_) in _event_tables(lake).items()
     }
 
 
@@ -212,8 +213,8 @@ def vacuum(spark: SparkSession, lake: Lake) -> dict[str, int]:
     the batches stay until they expire.
     """
     return {
-        name: len(compaction.vacuum(spark, lake, path, consumers))
-        for name, (path, _, _, consumers) in _event_tables(lake).items()
+        name: len(compaction.vacuum(spark, lake, path, consumers, rereaders))
+        for name, (path, _, _, consumers, rereaders) in _event_tables(lake).items()
     }
 
 

@@ -71,17 +71,26 @@ def compact(
     return sorted(chosen)
 
 
-def vacuum(spark: SparkSession, lake: Lake, path: str, consumers: Sequence[str] = ()) -> list[str]:
+def vacuum(
+    spark: SparkSession, lake: Lake, path: str, consumers: Sequence[str] = (), rereaders: Sequence[str] = ()
+) -> list[str]:
     """Delete replaced batches that all consumers have taken, and sets no longer in force.
 
-    Run it when no reader is older than the last compaction. Returns the batches deleted (dt/hour/batch).
+    What a rereader has taken stays, as it reads batches again by their names. Run it when no reader is older
+    than the last compaction. Returns the batches deleted (dt/hour/batch).
     """
     manifest = read_manifest(spark, path)
     gone = set(manifest.replaced())
-    for layer in consumers:
+    days = F.col("dt").isin(sorted({h[0] for h in manifest.batches}))
+
+    def taken(layer: str) -> set[str]:
         # As many rows as there are folders that wait.
-        taken = tables.read_taken(spark, lake, layer).where(F.col("dt").isin(sorted({h[0] for h in manifest.batches})))
-        gone &= {f"{r.dt}/{r.hour}/{r.source}" for r in taken.collect()}
+        return {f"{r.dt}/{r.hour}/{r.source}" for r in tables.read_taken(spark, lake, layer).where(days).collect()}
+
+    for layer in consumers:
+        gone &= taken(layer)
+    for layer in rereaders:
+        gone -= taken(layer)
     present = [(dt, hour, b) for (dt, hour), names in listed(spark, path).items() for b in names]
     deleted = sorted(f"{dt}/{hour}/{b}" for dt, hour, b in present if f"{dt}/{hour}/{b}" in gone)
     for name in deleted:

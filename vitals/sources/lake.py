@@ -171,6 +171,13 @@ def read_batches(
     return reader(spark, named, file_format).option("basePath", path).load(folders).select(named.fieldNames())
 
 
+def read_all_batches(spark: SparkSession, path: str, schema: StructType, file_format: str = "parquet") -> DataFrame:
+    """Rows of all batches that are there, with their names, whether a set stands for them or not."""
+    if not path_exists(spark, path):
+        return configure(spark).createDataFrame([], with_batch(schema))
+    return reader(spark, with_batch(schema), file_format).load(path).select(with_batch(schema).fieldNames())
+
+
 def batches_in(rows: DataFrame) -> list[tuple[str, str, str]]:
     """The partitions (dt, hour, batch) that rows lie in: as many as there are folders, not rows."""
     return sorted(map(tuple, rows.select(*PARTITIONS, BATCH).distinct().collect()))

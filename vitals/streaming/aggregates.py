@@ -30,11 +30,11 @@ from ..sources.lake import (
     latest_hour,
     note_taken,
     overwrite_hours,
+    read_all_batches,
     read_batches,
     read_hours,
     read_table,
     read_taken,
-    with_batch,
     write_batch,
     write_batches,
     write_named,
@@ -126,7 +126,7 @@ def late_report(spark: SparkSession, lake: Lake) -> DataFrame:
     They add up to the distinct events of silver. Late rows of an event that was on time too are not lost.
     """
     parts = read_taken(spark, lake, "on-time").withColumnRenamed("source", BATCH)
-    silver = read_table(spark, lake.silver, with_batch(SILVER)).select("event_id", *PARTITIONS, BATCH)
+    silver = read_all_batches(spark, lake.silver, SILVER).select("event_id", *PARTITIONS, BATCH)
     on_time = silver.join(parts, [*PARTITIONS, BATCH], "left_semi").select("event_id", *PARTITIONS).distinct()
     late = read_table(spark, lake.late, SILVER).select("event_id", *PARTITIONS).distinct()
     lost = late.join(on_time, ["event_id", *PARTITIONS], "left_anti").groupBy(*PARTITIONS).agg(F.count("*").alias("late_events"))
@@ -213,7 +213,7 @@ def keep_minutes(
         counts = metric_counts(batch, processed_at, limits)
         counts = counts.withColumns(hour_partition(F.col("minute").cast("timestamp")))
         write_batch(counts, lake.minute_counts, f"{batch_id:012d}", "parquet")
-        added = read_table(spark, lake.minute_counts, with_batch(MINUTE_COUNTS)).where(F.col(BATCH) == f"{batch_id:012d}")
+        added = read_all_batches(spark, lake.minute_counts, MINUTE_COUNTS).where(F.col(BATCH) == f"{batch_id:012d}")
         found = added.groupBy(*PARTITIONS).agg(F.max("last_processed").alias("last")).collect()
         if not found:
             return
