@@ -100,5 +100,5 @@ def test_measured_frame(spark):
     processed = F.lit("2031-05-06 14:31:30").cast("timestamp")
     good, bad = monitor.measured(classified, processed).orderBy(F.desc("is_valid")).collect()
     assert (good.minute, good.arrival_minute) == (at(31), at(30))
-    assert (good.is_valid, good.is_abnormal_hr, good.latency_ms, good.lag_ms) == (True, True, 90_500, 90_000)
+    assert (good.is_valid, good.is_abnormal_hr, good.latency_ms, good.lag_ms) == (True, True, 202_750, 90_000)
     assert (bad.is_valid, bad.is_abnormal_hr, bad.latency_ms, bad.lag_ms) == (False, False, None, 90_000)
